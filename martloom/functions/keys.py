@@ -20,7 +20,8 @@ def to_id(col: Column) -> Column:
 def clamp_int(col: Column) -> Column:
     """Integer text as a 32-bit integer; values beyond its limits become the limit."""
     wide = col.try_cast("decimal(38,0)")
-    return F.least(F.greatest(wide, F.lit(S.INT_MIN)), F.lit(S.INT_MAX)).cast("int")
+    inside = F.least(F.greatest(wide, F.lit(S.INT_MIN)), F.lit(S.INT_MAX)).cast("int")
+    return F.when(wide.isNotNull(), inside)
 
 
 def first_id(col: Column) -> Column:
