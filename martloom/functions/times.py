@@ -9,7 +9,8 @@ from martloom import settings as S
 
 def is_offset_timestamp(col: Column) -> Column:
     """True for ``yyyy-mm-ddThh:mm:ss+hh:mm``: no fraction, no ``Z``, no negative offset."""
-    return col.rlike(S.OFFSET_TIMESTAMP)
+    # the pattern is 25 characters long and may be followed by a line end
+    return F.length(col).between(25, 26) & col.rlike(S.OFFSET_TIMESTAMP)
 
 
 def year_in_range(ts: Column) -> Column:
@@ -17,15 +18,20 @@ def year_in_range(ts: Column) -> Column:
     return F.when(F.year(ts).between(S.FIRST_YEAR, S.LAST_YEAR), ts)
 
 
+def _wall_clock(col: Column) -> Column:
+    """Time of an offset timestamp; the year is tested as text, so that the cell is parsed once."""
+    in_range = F.substring(col, 1, 4).between(str(S.FIRST_YEAR), str(S.LAST_YEAR))
+    return F.when(in_range, F.substring(col, 1, 19).try_cast("timestamp_ntz"))
+
+
 def local_timestamp(col: Column) -> Column:
     """Wall-clock time of an offset timestamp; NULL for other text and impossible dates."""
-    stamp = F.substring(col, 1, 19).try_cast("timestamp_ntz")
-    return F.when(is_offset_timestamp(col), year_in_range(stamp))
+    return F.when(is_offset_timestamp(col), _wall_clock(col))
 
 
 def local_timestamp_text(col: Column) -> Column:
     """Offset timestamps as ``yyyy-MM-dd HH:mm:ss``; other text is unchanged."""
-    return F.when(is_offset_timestamp(col), local_timestamp(col).cast("string")).otherwise(col)
+    return F.when(is_offset_timestamp(col), _wall_clock(col).cast("string")).otherwise(col)
 
 
 def to_datetime(col: Column) -> Column:

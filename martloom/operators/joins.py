@@ -39,40 +39,47 @@ def equi_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str)
     return joined.select("l.*") if how in ("left_semi", "left_anti") else joined.select("l.*", "r.*")
 
 
-def _salted_keys(df: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
-    """The most frequent keys with their number of salts, at most ``MAX_SALTED_KEYS`` rows."""
-    counts = df.select(F.col(key).alias("_hot")).where("_hot is not null").groupBy("_hot").count()
-    hot = counts.where(F.col("count") > rows_per_salt)
-    hot = hot.orderBy(F.col("count").desc(), F.col("_hot").asc()).limit(MAX_SALTED_KEYS)
-    return hot.select("_hot", F.ceil(F.col("count") / F.lit(rows_per_salt)).cast("int").alias("_ways"))
+def frequent_keys(df: DataFrame, key: Column, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Key values (NULL included) with more rows than one task should handle, and how many tasks they need.
+
+    Counts are partial per task before they are shuffled. At most ``MAX_SALTED_KEYS`` rows.
+    """
+    counts = df.select(key.alias("_hot")).groupBy("_hot").count().where(F.col("count") > rows_per_salt)
+    top = counts.orderBy(F.col("count").desc(), F.col("_hot").asc()).limit(MAX_SALTED_KEYS)
+    return top.select("_hot", F.ceil(F.col("count") / F.lit(rows_per_salt)).cast("int").alias("_ways"))
 
 
 def salted_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str = "left",
-                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                rows_per_salt: int = ROWS_PER_SALT, count_in: DataFrame | None = None) -> DataFrame:
     """:func:`equi_join` that spreads very frequent keys of the left side over many tasks.
 
-    Keys with more than ``rows_per_salt`` left rows are counted first (partial counts per task,
-    key column only). Their left rows get a salt from a hash of the row, their right rows are
-    repeated once per salt, and the join is on key and salt. Left rows without a key cannot
-    match and are spread as well. Results are the same as those of the plain join.
+    The frequent keys are counted first; the bounded list of them comes to the driver, and when it
+    is empty the plain join is returned. Otherwise their left rows get a salt from a hash of
+    the row, their right rows are repeated once per salt, and the join is on key and salt. Left
+    rows without a key cannot match and are spread the same way. Results do not change.
+
+    ``count_in`` is a table with the same key column to count in, where ``left`` is costly to
+    compute twice; the table it was joined from will do.
     """
     l, r = _same_type(left, lcol, right, rcol)
-    lhs = left.alias("l").select("l.*", l.alias("_lk"))
-    rhs = right.alias("r").select("r.*", r.alias("_rk"))
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
-    # limited above to MAX_SALTED_KEYS rows of a key and an int
-    hot = F.broadcast(_salted_keys(lhs, "_lk", rows_per_salt))
-    width = shuffle_width(left.sparkSession)
+    counted = (left if count_in is None else count_in).alias("l")
+    hot = frequent_keys(counted, l, rows_per_salt)
+    found = hot.collect()
+    if not found:
+        return equi_join(left, right, lcol, rcol, how)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
 
-    lhs = lhs.join(hot, F.col("_lk") == F.col("_hot"), "left")
-    ways = F.when(F.col("_lk").isNull(), F.lit(width)).otherwise(F.coalesce("_ways", F.lit(1)))
-    lhs = lhs.withColumn("_ls", F.pmod(F.xxhash64(*hashed), ways).cast("int")).drop("_hot", "_ways")
+    def ways(side: DataFrame) -> DataFrame:
+        joined = side.join(hot, F.col("_key").eqNullSafe(F.col("_hot")), "left").drop("_hot")
+        return joined.withColumn("_ways", F.coalesce("_ways", F.lit(1)))
 
-    rhs = rhs.join(hot, F.col("_rk") == F.col("_hot"), "left")
-    salts = F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)
-    rhs = rhs.withColumn("_rs", F.explode(salts)).drop("_hot", "_ways")
+    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
+    lhs = ways(left.alias("l").select("l.*", l.alias("_key")))
+    lhs = lhs.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.col("_ways")).cast("int"))
+    rhs = ways(right.alias("r").select("r.*", r.alias("_key")).where("_key is not null"))
+    rhs = rhs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ways") - 1)))
 
-    joined = lhs.alias("l").join(rhs.alias("r"), F.expr("l._lk = r._rk and l._ls = r._rs"), how)
+    joined = lhs.alias("l").join(rhs.alias("r"), F.expr("l._key = r._key and l._salt = r._salt"), how)
     out = [f"l.`{c}`" for c in left.columns]
     if how not in ("left_semi", "left_anti"):
         out += [f"r.`{c}`" for c in right.columns]
@@ -108,18 +115,24 @@ def one_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
 
 
 def enrich_left(df: DataFrame, other: DataFrame, on: tuple[str, str], columns: Mapping[str, str],
-                order_by: Sequence[str] = ("ID",), rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                order_by: Sequence[str] = ("ID",), spread: bool = False, count_in: DataFrame | None = None,
+                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Set the new columns from the matching row of ``other``, NULL where nothing matches.
 
     ``columns`` maps source columns to their new names. Where several rows match, the first in
     ``order_by`` is used, so the result does not depend on the run. Rows never multiply.
+    ``spread`` salts frequent keys of ``df``; use it where its key is not unique.
     """
     left_key, right_key = on
     ties = [c for c in columns if c not in order_by]
     narrow = other.select(*dict.fromkeys([right_key, *order_by, *columns]))
     best = one_per_key(narrow, right_key, (*order_by, *ties))
     best = best.select(F.col(right_key).alias("_match"), *[F.col(c).alias(n) for c, n in columns.items()])
-    out = salted_join(df.drop(*columns.values()), best, left_key, "_match", "left", rows_per_salt)
+    rows = df.drop(*columns.values())
+    if spread:
+        out = salted_join(rows, best, left_key, "_match", "left", rows_per_salt, count_in)
+    else:
+        out = equi_join(rows, best, left_key, "_match", "left")
     return out.drop("_match")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType, StructField
 
 from martloom import functions as fn
 
@@ -59,15 +60,24 @@ def max_id(df: DataFrame, id_col: str) -> DataFrame:
     return df.agg(F.max(id_col).alias("max_id"))
 
 
-def _votes(col: Column) -> Column:
-    """Counts for one text column, empty text left out."""
-    value = F.when(col != "", col)
-    return F.struct(
-        F.count(value).alias("n"),
-        F.count_if(fn.has_date_shape(value)).alias("dates"),
-        F.count_if(fn.has_leading_zero(value)).alias("zeros"),
-        F.count_if(fn.is_number(value)).alias("numbers"),
-        F.count_if(fn.is_integer(value)).alias("wholes"),
+# one bit per kind of value; a column's votes are the bits that occur
+_DATE, _LEADING_ZERO, _WHOLE, _FRACTION, _OTHER = 1, 2, 4, 8, 16
+
+
+def _vote(field: StructField) -> Column:
+    """Kind of each value of a column, NULL for unset and empty ones."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, IntegralType):
+        return F.when(col.isNotNull(), _WHOLE)
+    value = col.cast("string")
+    # no value is both whole or fractional and a date, so the dates can wait unless they start with 0
+    return (
+        F.when(value == "", None)
+        .when(fn.has_leading_zero(value), F.when(fn.has_date_shape(value), _DATE).otherwise(_LEADING_ZERO))
+        .when(fn.is_integer(value), _WHOLE)
+        .when(fn.is_number(value), _FRACTION)
+        .when(fn.has_date_shape(value), _DATE)
+        .when(value.isNotNull(), _OTHER)
     )
 
 
@@ -77,19 +87,19 @@ def infer_types(df: DataFrame, mode: str = "intended") -> DataFrame:
     Dates when all values have a date shape; text when a value has a leading zero or is no
     number; integers when all values are whole, else floats. Only the two explicit date shapes
     count, a bare number is not read as a date. ``mode="reference"`` gives what the loader does
-    in effect: text for every column. All columns are counted in one pass.
+    in effect: text for every column. All columns are voted on in one pass.
     """
     if mode == "reference":
         return df.sparkSession.createDataFrame([(c, "TEXT") for c in df.columns], "column_name string, sql_type string")
-    votes = df.agg(*[_votes(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns])
+    kinds = df.select(*[_vote(f).alias(f.name) for f in df.schema.fields])
+    votes = kinds.agg(*[F.bit_or(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
     def verdict(name: str) -> Column:
         v = F.col(f"`{name}`")
         kind = (
-            F.when(v["n"] == 0, "TEXT")
-            .when(v["dates"] == v["n"], "DATETIME")
-            .when((v["zeros"] > 0) | (v["numbers"] < v["n"]), "TEXT")
-            .when(v["wholes"] == v["n"], "INTEGER")
+            F.when(v == _DATE, "DATETIME")
+            .when(v.isNull() | (v.bitwiseAND(_DATE | _LEADING_ZERO | _OTHER) != 0), "TEXT")
+            .when(v == _WHOLE, "INTEGER")
             .otherwise("FLOAT")
         )
         return F.struct(F.lit(name).alias("column_name"), kind.alias("sql_type"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import settings as S
 from martloom.operators.filters import by_category, by_flag, int_ids, null_nonint
-from martloom.operators.joins import chain, enrich_left, rows_by_flags, rows_by_roles
+from martloom.operators.joins import ROWS_PER_SALT, chain, enrich_left, rows_by_flags, rows_by_roles
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
 from martloom.sources.tables import load_table
@@ -125,28 +126,32 @@ def deals_by_categories(chained: DataFrame) -> DataFrame:
     return rows.withColumn("mart", pick)
 
 
-def clean_ids(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def clean_ids(tables: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """The tables with integer ids: rows with other lead or contact ids go, other references become NULL."""
-    out = dict(tables)
-    out["crm_lead"] = int_ids(tables["crm_lead"], "ID", ("CONTACT_ID",))
-    out["crm_contact"] = int_ids(tables["crm_contact"], "ID")
     deals = null_nonint(tables["crm_deal"], "LEAD_ID")
-    out["crm_deal"] = deals.withColumn("LEAD_ID", F.col("LEAD_ID").cast("bigint"))
-    return out
+    typed = {
+        "crm_lead": int_ids(tables["crm_lead"], "ID", ("CONTACT_ID",)),
+        "crm_contact": int_ids(tables["crm_contact"], "ID"),
+        "crm_deal": deals.withColumn("LEAD_ID", F.col("LEAD_ID").cast("bigint")),
+    }
+    return ChainMap(typed, tables)
 
 
-def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = None) -> DataFrame:
+def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = None,
+                   rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Leads with columns of their contact and of their first deal.
 
     ``leads`` is the lead mart; by default it is built here. Only the columns that are needed are
-    read of contacts and deals, and only deals that name a lead take part.
+    read of contacts and deals, and only deals that name a lead take part. One contact may have
+    any share of the leads.
     """
+    tables = clean_ids(tables)
     if leads is None:
         leads = entity_chain(tables, "lead", "inner")
     leads = int_ids(leads, "ID", ("CONTACT_ID",))
-    tables = clean_ids(tables)
     contacts = tables["crm_contact"].select("ID", *S.LEAD_FROM_CONTACT)
-    out = enrich_left(leads, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT)
+    out = enrich_left(leads, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT, spread=True,
+                      count_in=tables["crm_lead"], rows_per_salt=rows_per_salt)
 
     base = [c for c in S.LEAD_FROM_DEAL if c in tables["crm_deal"].columns]
     extra = [c for c in S.LEAD_FROM_DEAL if c not in base]
@@ -176,7 +181,7 @@ def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, c
     leads.
     """
     root = root.rstrip("/")
-    used = clean_ids(tables) if clean else dict(tables)
+    used = clean_ids(tables) if clean else tables
 
     write_mart(entity_chain(used, "contact"), f"{root}/contacts", ["ID"])
     contacts = spark.read.parquet(f"{root}/contacts")

@@ -19,6 +19,8 @@ def build_session(app_name: str = "martloom", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.parquet.compression.codec": "zstd",
+        # the JVM does not compile methods above 8000 bytes; cleaning a wide table makes such ones
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

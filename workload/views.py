@@ -7,6 +7,8 @@ companies are a supplier.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -137,6 +139,24 @@ VIEWS = {f.__name__: f for f in (
 )}
 
 
-def crm_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All twelve CRM tables."""
-    return {name: view(spark, sf_dir) for name, view in VIEWS.items()}
+class CrmTables(Mapping):
+    """The twelve CRM tables by name, each set up when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = VIEWS[name](self._spark, self._sf_dir)
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(VIEWS)
+
+    def __len__(self) -> int:
+        return len(VIEWS)
+
+
+def crm_tables(spark: SparkSession, sf_dir: str) -> CrmTables:
+    return CrmTables(spark, sf_dir)
