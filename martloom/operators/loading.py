@@ -103,16 +103,17 @@ def load_if_nonempty(df: DataFrame, path: str, load: Callable[[DataFrame, str],
 
 
 def write_mart(df: DataFrame, path: str, keys: Sequence[str] = (), by: str | None = None,
-               ties: Sequence[str] = ()) -> None:
+               ties: Sequence[str] = (), ranged: bool = True) -> None:
     """Drop and create a mart, its files in key order.
 
     ``by`` splits it into one folder per value. Rows are ranged over tasks by that value and the
     keys, so every task writes to few folders, and a value or key with many rows is cut. The
-    columns in ``ties`` only serve to cut inside equal keys and are not stored.
+    columns in ``ties`` only serve to cut inside equal keys and are not stored. With
+    ``ranged=False`` rows stay where they are and are sorted within their task only.
     """
-    order = [*([by] if by else []), *keys, *ties]
+    order = [F.col(k).asc_nulls_first() for k in (*([by] if by else []), *keys, *ties)]
     if order:
-        df = df.orderBy(*[F.col(k).asc_nulls_first() for k in order])
+        df = df.orderBy(*order) if ranged else df.sortWithinPartitions(*order)
     writer = df.drop(*ties).write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
 

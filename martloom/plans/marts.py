@@ -146,12 +146,7 @@ def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = No
     any share of the leads.
     """
     tables = clean_ids(tables)
-    if leads is None:
-        leads = entity_chain(tables, "lead", "inner")
-    leads = int_ids(leads, "ID", ("CONTACT_ID",))
-    contacts = tables["crm_contact"].select("ID", *S.LEAD_FROM_CONTACT)
-    out = enrich_left(leads, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT, spread=True,
-                      count_in=tables["crm_lead"], rows_per_salt=rows_per_salt)
+    leads = entity_chain(tables, "lead", "inner") if leads is None else int_ids(leads, "ID", ("CONTACT_ID",))
 
     base = [c for c in S.LEAD_FROM_DEAL if c in tables["crm_deal"].columns]
     extra = [c for c in S.LEAD_FROM_DEAL if c not in base]
@@ -159,7 +154,13 @@ def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = No
     if extra:
         fields = tables["crm_deal_uf"].select("DEAL_ID", *extra)
         deals = chain(deals, [(fields, "DEAL_ID")]).drop("DEAL_ID")
-    return enrich_left(out, deals, ("ID", "LEAD_ID"), S.LEAD_FROM_DEAL)
+    # deals first: their join is on the id by which the leads are partitioned already
+    out = enrich_left(leads, deals, ("ID", "LEAD_ID"), S.LEAD_FROM_DEAL)
+    contacts = tables["crm_contact"].select("ID", *S.LEAD_FROM_CONTACT)
+    out = enrich_left(out, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT, spread=True,
+                      count_in=tables["crm_lead"], rows_per_salt=rows_per_salt)
+    own = [c for c in leads.columns if c not in (*S.LEAD_FROM_CONTACT.values(), *S.LEAD_FROM_DEAL.values())]
+    return out.select(*own, *S.LEAD_FROM_CONTACT.values(), *S.LEAD_FROM_DEAL.values())
 
 
 def mart_path(root: str, name: str) -> str:
@@ -172,18 +173,19 @@ def mart_path(root: str, name: str) -> str:
 
 
 def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, clean: bool = True,
-              multi: str = "first", dedupe: bool = False) -> list[str]:
+              multi: str = "first", dedupe: bool = False, ranged: bool = True) -> list[str]:
     """Write all 22 marts below ``root`` and return their names.
 
     The contact and the deal chain are joined once and written as their marts; the flag, role and
     category marts are derived from the written tables, one job per family, which also cuts the
     lineage. ``clean`` types the ids first; without it they are only typed for the enriched
-    leads.
+    leads. ``ranged=False`` keeps the partitioning of the joins for the two large marts and
+    orders each file only, which saves a shuffle of all their rows.
     """
     root = root.rstrip("/")
     used = clean_ids(tables) if clean else tables
 
-    write_mart(entity_chain(used, "contact"), f"{root}/contacts", ["ID"])
+    write_mart(entity_chain(used, "contact"), f"{root}/contacts", ["ID"], ranged=ranged)
     contacts = spark.read.parquet(f"{root}/contacts")
     write_mart(contacts_by_flags(contacts), f"{root}/contacts_by_flag", ["ID"], by="mart")
     by_deal = contacts_by_roles(contacts, used["entity_deal"], S.DEAL_ROLES, multi, dedupe)
@@ -191,7 +193,7 @@ def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, c
     by_company = contacts_by_roles(contacts, used["entity_company"], S.COMPANY_ROLES, multi, dedupe)
     write_mart(by_company, f"{root}/contacts_by_company_role", ["CONTACT_ID", "ID"], by="mart", ties=["_slice"])
 
-    write_mart(entity_chain(used, "deal"), f"{root}/deals", ["ID"])
+    write_mart(entity_chain(used, "deal"), f"{root}/deals", ["ID"], ranged=ranged)
     deals = spark.read.parquet(f"{root}/deals")
     write_mart(deals_by_categories(deals), f"{root}/deals_by_category", ["ID"], by="mart")
 

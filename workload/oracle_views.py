@@ -10,11 +10,11 @@ SQL_VIEWS = {
         FROM customer""",
     "crm_contact_uf": """
         SELECT user_id AS "CONTACT_ID", max(event_type) AS "NAME",
-               max(props) FILTER (WHERE event_type = 'error' AND value > 150) AS "UF_CRM_1643183509",
-               max(props) FILTER (WHERE event_type = 'click' AND value > 150) AS "UF_CRM_1606994316",
-               max(props) FILTER (WHERE event_type = 'view' AND value > 150) AS "UF_CRM_1606994331",
-               max(props) FILTER (WHERE event_type = 'purchase' AND value > 150) AS "UF_CRM_1604401780",
-               max(props) FILTER (WHERE event_type = 'signup' AND value > 150) AS "UF_CRM_1604401811"
+               max(event_id) FILTER (WHERE event_type = 'error' AND value > 150) AS "UF_CRM_1643183509",
+               max(event_id) FILTER (WHERE event_type = 'click' AND value > 150) AS "UF_CRM_1606994316",
+               max(event_id) FILTER (WHERE event_type = 'view' AND value > 150) AS "UF_CRM_1606994331",
+               max(event_id) FILTER (WHERE event_type = 'purchase' AND value > 150) AS "UF_CRM_1604401780",
+               max(event_id) FILTER (WHERE event_type = 'signup' AND value > 150) AS "UF_CRM_1604401811"
         FROM events GROUP BY user_id""",
     "entity_contact": """
         SELECT o_custkey AS "entity_contact_ID", max(o_orderkey) AS "sql_LAST_DEAL",
@@ -33,16 +33,16 @@ SQL_VIEWS = {
     "crm_deal_uf_raw": """
         SELECT l_orderkey AS "DEAL_ID", max(l_returnflag) AS "SOURCE_NAME",
                CAST(CAST(sum(l_quantity) AS BIGINT) AS VARCHAR) AS "UF_CRM_5E5634910DD58",
-               max(l_linestatus) AS "UF_CRM_1591275382",
+               CAST(max(l_linenumber) AS VARCHAR) AS "UF_CRM_1591275382",
                CAST(count(*) AS VARCHAR) AS "UF_CRM_5FA697664B231",
                CAST(min(l_suppkey) AS VARCHAR) AS "UF_CRM_6341774C87D94",
-               CAST(max(l_linenumber) AS VARCHAR) AS "UF_CRM_1611039011",
+               CAST(min(l_linenumber) AS VARCHAR) AS "UF_CRM_1611039011",
                CAST(min(l_partkey) AS VARCHAR) AS "UF_CRM_1691245430"
         FROM lineitem GROUP BY l_orderkey""",
     "crm_deal_uf": """
         SELECT l_orderkey AS "DEAL_ID", max(l_returnflag) AS "SOURCE_NAME",
                CAST(CAST(sum(l_quantity) AS BIGINT) AS VARCHAR) AS "UF_CRM_5E5634910DD58",
-               max(l_linestatus) AS "UF_CRM_1591275382",
+               CAST(max(l_linenumber) AS VARCHAR) AS "UF_CRM_1591275382",
                CAST(count(*) AS VARCHAR) AS "UF_CRM_5FA697664B231",
                CAST(min(l_suppkey) AS VARCHAR) AS "UF_CRM_6341774C87D94"
         FROM lineitem GROUP BY l_orderkey""",

@@ -27,7 +27,7 @@ def crm_contact(spark, d):
 
 def crm_contact_uf(spark, d):
     def flag(kind):
-        return F.max(F.when((F.col("event_type") == kind) & (F.col("value") > 150), F.col("props")))
+        return F.max(F.when((F.col("event_type") == kind) & (F.col("value") > 150), F.col("event_id")))
 
     e = load(spark, d, "events")
     return e.groupBy(F.col("user_id").alias("CONTACT_ID")).agg(
@@ -63,10 +63,10 @@ def crm_deal_uf_raw(spark, d):
     return i.groupBy(F.col("l_orderkey").alias("DEAL_ID")).agg(
         F.max("l_returnflag").alias("SOURCE_NAME"),
         F.sum("l_quantity").cast("bigint").cast("string").alias("UF_CRM_5E5634910DD58"),
-        F.max("l_linestatus").alias("UF_CRM_1591275382"),
+        F.max("l_linenumber").cast("string").alias("UF_CRM_1591275382"),
         F.count(F.lit(1)).cast("string").alias("UF_CRM_5FA697664B231"),
         F.min("l_suppkey").cast("string").alias("UF_CRM_6341774C87D94"),
-        F.max("l_linenumber").cast("string").alias("UF_CRM_1611039011"),
+        F.min("l_linenumber").cast("string").alias("UF_CRM_1611039011"),
         F.min("l_partkey").cast("string").alias("UF_CRM_1691245430"),
     )
 
