@@ -11,7 +11,7 @@ from pyspark.sql.types import (
 
 from martloom import functions as fn
 from martloom.operators.quality import check_int_key
-from martloom.sources.tables import has_table, load_table, table_path
+from martloom.sources.tables import MAIN, has_table, load_table, table_path
 
 # The audit table.
 SYNC_LOG = "synchronization_log"
@@ -69,15 +69,25 @@ def retype_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Drop and recreate: the table takes the schema of the rows."""
-    df.write.mode("overwrite").parquet(path)
+    """Drop and recreate: the table takes the schema and the contents of the rows.
 
+    ``path`` is a partition folder as :func:`table_path` gives it. It is swapped when the job commits: a
+    job that fails leaves the old contents, and the rows may come from the table itself.
+    """
+    table, _, partition = path.rstrip("/").rpartition("/")
+    key, is_partition, value = partition.partition("=")
+    if not is_partition:
+        raise ValueError(f"not a partition folder: {path}")
+    if df.isEmpty():
+        # an empty write names no partition to swap, so the folder is emptied directly
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+        return
+    writer = df.withColumn(key, F.lit(value)).write.mode("overwrite").partitionBy(key)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(table)
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """New contents under the stored schema, widened by the columns that are new.
 
-    Only the stored schema is read, so the rows must not come from the same folder.
-    """
+def full_refresh(df: DataFrame, path: str) -> None:
+    """New contents under the stored schema, widened by the columns that are new."""
     spark = df.sparkSession
     if has_table(spark, path):
         df = align_additive(df, spark.read.parquet(path).schema)
@@ -106,6 +116,9 @@ def write_mart(df: DataFrame, path: str, keys: Sequence[str] = (), by: str | Non
                ties: Sequence[str] = (), ranged: bool = True) -> None:
     """Drop and create a mart, its files in key order.
 
+    The old files go first, so write to a folder that the rows do not come from, and to a new one
+    where readers need the old mart until the new one is complete.
+
     ``by`` splits it into one folder per value. Rows are ranged over tasks by that value and the
     keys, so every task writes to few folders, and a value or key with many rows is cut. The
     columns in ``ties`` only serve to cut inside equal keys and are not stored. With
@@ -119,12 +132,12 @@ def write_mart(df: DataFrame, path: str, keys: Sequence[str] = (), by: str | Non
 
 
 def snapshot(spark: SparkSession, root: str, names: Iterable[str], suffix: str = "_transform",
-             database: str | None = None) -> list[str]:
+             database: str = MAIN) -> list[str]:
     """Copies of stored tables under the suffixed name; the work that follows leaves the originals alone."""
     copies = []
     for name in names:
         target = table_path(root, f"{name}{suffix}", database)
-        load_table(spark, root, name, database).write.mode("overwrite").parquet(target)
+        replace_table(load_table(spark, root, name, database), target)
         copies.append(target)
     return copies
 
@@ -134,13 +147,13 @@ def key_is_clean(df: DataFrame, id_col: str) -> bool:
     return check_int_key(df, id_col).isEmpty()
 
 
-def reset_log(spark: SparkSession, root: str, database: str | None = None) -> None:
+def reset_log(spark: SparkSession, root: str, database: str = MAIN) -> None:
     """An empty audit table."""
     empty = spark.createDataFrame([], SYNC_SCHEMA)
     empty.write.mode("overwrite").parquet(table_path(root, SYNC_LOG, database))
 
 
-def log_sync(entries: DataFrame, root: str, database: str | None = None) -> None:
+def log_sync(entries: DataFrame, root: str, database: str = MAIN) -> None:
     """Add audit rows, one per table that was loaded."""
     rows = entries.select(*[F.col(f.name).cast(f.dataType) for f in SYNC_SCHEMA.fields])
     rows.coalesce(1).write.mode("append").parquet(table_path(root, SYNC_LOG, database))

@@ -13,7 +13,7 @@ from martloom.operators.filters import by_category, by_flag, int_ids, null_nonin
 from martloom.operators.joins import ROWS_PER_SALT, chain, enrich_left, rows_by_flags, rows_by_roles
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
-from martloom.sources.tables import load_table
+from martloom.sources.tables import MAIN, load_table
 
 #: The stored tables the marts read.
 TABLES = list(S.TABLE_KEYS)
@@ -70,7 +70,7 @@ ENRICHED_LEADS = ("leads_enriched", "Prospects_TC")
 BY_NAME = {m.name: m for m in MARTS}
 
 
-def read_tables(spark: SparkSession, root: str, database: str | None = None,
+def read_tables(spark: SparkSession, root: str, database: str = MAIN,
                 suffix: str = "") -> dict[str, DataFrame]:
     """The stored tables the marts need, by name."""
     return {t: load_table(spark, root, f"{t}{suffix}", database) for t in TABLES}

@@ -15,7 +15,7 @@ from martloom.operators.loading import (
 )
 from martloom.operators.quality import date_columns
 from martloom.sources.pages import field_names, matrix_columns, read_envelope, read_matrix, spread_map
-from martloom.sources.tables import load_table, table_path
+from martloom.sources.tables import MAIN, load_table, table_path
 
 
 def audit_row(spark: SparkSession, at: datetime, database: str | None, table: str, loaded: int,
@@ -24,7 +24,7 @@ def audit_row(spark: SparkSession, at: datetime, database: str | None, table: st
     return spark.createDataFrame([(at, database, table, loaded, declared, error)], SYNC_SCHEMA)
 
 
-def _load(rows: DataFrame, root: str, table: str, database: str | None, declared: int | None,
+def _load(rows: DataFrame, root: str, table: str, database: str, declared: int | None,
           at: datetime, load: Callable[[DataFrame, str], None]) -> bool:
     spark = rows.sparkSession
     if not load_if_nonempty(rows, table_path(root, table, database), load):
@@ -35,7 +35,7 @@ def _load(rows: DataFrame, root: str, table: str, database: str | None, declared
     return True
 
 
-def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, database: str | None = None,
+def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, database: str = MAIN,
                    json_col: str = "value", payload: str = "result", items: str | None = None,
                    fields: Sequence[str] | None = None, unwrap: Callable[[DataFrame], DataFrame] | None = None,
                    include: Sequence[str] | None = None, exclude: Sequence[str] = (),
@@ -61,7 +61,7 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
                  replace_table if recreate else full_refresh)
 
 
-def refresh_connector(documents: DataFrame, root: str, table: str, database: str | None = None,
+def refresh_connector(documents: DataFrame, root: str, table: str, database: str = MAIN,
                       json_col: str = "value", empty_for_null: bool = False) -> bool:
     """Load a connector table from landed header-row matrices; it has no declared count and no audit row."""
     rows = read_matrix(documents, json_col, matrix_columns(documents, json_col))
@@ -70,7 +70,7 @@ def refresh_connector(documents: DataFrame, root: str, table: str, database: str
 
 
 def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], bool]]], root: str, at: datetime,
-            database: str | None = None) -> list[str]:
+            database: str = MAIN) -> list[str]:
     """Run the named jobs in turn. A job that fails leaves an audit row with its error; the others go on.
 
     Returns the names of the failed ones.

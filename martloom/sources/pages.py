@@ -69,7 +69,7 @@ def read_matrix(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFra
     """
     doc = df.select(F.from_json(F.col(json_col), "array<array<string>>").alias("_m"))
     cells = doc.select(
-        F.element_at("_m", 1).alias("_head"),
+        F.get("_m", F.lit(0)).alias("_head"),
         F.explode(F.slice("_m", F.lit(2), F.greatest(F.size("_m") - 1, F.lit(0)))).alias("_row"),
     )
 
@@ -82,7 +82,7 @@ def read_matrix(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFra
 
 def matrix_columns(df: DataFrame, json_col: str) -> list[str]:
     """Sorted names in the headers of all documents; only the distinct names come to the driver."""
-    head = F.element_at(F.from_json(F.col(json_col), "array<array<string>>"), 1)
+    head = F.get(F.from_json(F.col(json_col), "array<array<string>>"), F.lit(0))
     return sorted(r.c for r in df.select(F.explode(head).alias("c")).distinct().collect())
 
 

@@ -1,4 +1,8 @@
-"""Stored tables: Parquet folders under one root, one sub-folder per source database."""
+"""Stored tables: Parquet folders under one root, partitioned by source database.
+
+``<root>/<table>/database_name=<database>`` holds one source's rows. Reading the table folder gives
+all sources with a ``database_name`` column, and a filter on it reads only the folders it names.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +10,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def table_path(root: str, name: str, database: str | None = None) -> str:
-    """Folder of a table, below its source database where one is given."""
-    return "/".join(p.rstrip("/") for p in (root, database, name) if p)
+#: Source database of a table when none is named.
+MAIN = "main"
+
+
+def table_path(root: str, name: str, database: str = MAIN) -> str:
+    """Folder of one source's rows of a table."""
+    return f"{root.rstrip('/')}/{name}/database_name={database}"
 
 
-def load_table(spark: SparkSession, root: str, name: str, database: str | None = None) -> DataFrame:
-    """All rows of a stored table."""
+def load_table(spark: SparkSession, root: str, name: str, database: str = MAIN) -> DataFrame:
+    """All rows that one source has in a stored table."""
     return spark.read.parquet(table_path(root, name, database))
 
 

@@ -245,7 +245,7 @@ def snapshot_roundtrip(spark, d):
                  CAST(c_nationkey AS DOUBLE) AS c_rank FROM customer""")
 def refresh_keeps_schema(spark, d):
     """A second load without two columns and with a new one: old columns stay, as NULL."""
-    path, c = work_dir(spark, "refresh"), load(spark, d, "customer")
+    path, c = table_path(work_dir(spark, "refresh"), "customer"), load(spark, d, "customer")
     loading.full_refresh(c, path)
     loading.full_refresh(c.select("c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").alias("c_rank")), path)
     return spark.read.parquet(path)
@@ -253,7 +253,7 @@ def refresh_keeps_schema(spark, d):
 
 @query("SELECT c_custkey, c_nationkey AS c_rank FROM customer")
 def replace_drops_schema(spark, d):
-    path, c = work_dir(spark, "replace"), load(spark, d, "customer")
+    path, c = table_path(work_dir(spark, "replace"), "customer"), load(spark, d, "customer")
     loading.full_refresh(c, path)
     loading.replace_table(c.select("c_custkey", F.col("c_nationkey").alias("c_rank")), path)
     return spark.read.parquet(path)
@@ -261,7 +261,7 @@ def replace_drops_schema(spark, d):
 
 @query("SELECT * FROM customer")
 def refresh_empty_skip(spark, d):
-    path, c = work_dir(spark, "skip"), load(spark, d, "customer")
+    path, c = table_path(work_dir(spark, "skip"), "customer"), load(spark, d, "customer")
     assert loading.load_if_nonempty(c, path)
     assert not loading.load_if_nonempty(c.where("c_custkey is null"), path)
     return spark.read.parquet(path)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from martloom import sources as src
 from martloom.operators.columns import fields_of_type
+from martloom.operators.loading import replace_table
 from martloom.operators.ordering import top_page
+from martloom.session import work_dir
 from workload.registry import query
 from workload.views import load
 
@@ -157,10 +159,13 @@ def fields_of_type_columns(spark, d):
     return o.select(*fields_of_type(o.select(pair.alias("f")).select("f.*")))
 
 
-@query("SELECT * FROM customer")
+@query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, database_name FROM customer, (VALUES ('east'), ('west')) v(database_name)")
 def stored_table(spark, d):
-    path = src.table_path(d, "customer.parquet")
-    assert src.has_table(spark, path) and not src.has_table(spark, src.table_path(d, "absent.parquet"))
-    names = src.column_names(spark, path)
-    assert src.has_column(src.load_table(spark, d, "customer.parquet"), "C_CUSTKEY")
-    return src.load_table(spark, d, "customer.parquet").select(*names)
+    """Two sources store the table; it is read for each of them and as a whole."""
+    root = work_dir(spark, "stored")
+    for database in ("east", "west"):
+        path = src.table_path(root, "customer", database)
+        assert not src.has_table(spark, path)
+        replace_table(load(spark, d, "customer"), path)
+        assert src.has_table(spark, path) and src.has_column(src.load_table(spark, root, "customer", database), "C_CUSTKEY")
+    return spark.read.parquet(f"{root}/customer").select(*src.column_names(spark, path), "database_name")
