@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
@@ -142,6 +142,25 @@ def snapshot(spark: SparkSession, root: str, names: Iterable[str], suffix: str =
     return copies
 
 
+def snapshot_bucketed(tables: Mapping[str, DataFrame], keys: Mapping[str, str], buckets: int,
+                      suffix: str = "_transform", root: str | None = None) -> dict[str, DataFrame]:
+    """Copies as catalog tables, bucketed and sorted by the key the marts join them on.
+
+    Joins of these copies on their keys need no shuffle, however many marts are built from them.
+    Text keys are stored as they are, so tables that are joined should have keys of one type.
+    ``root`` places the files outside the catalog's own folder.
+    """
+    copies = {}
+    for name, df in tables.items():
+        key, target = keys[name], f"{name}{suffix}"
+        writer = df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet")
+        if root:
+            writer = writer.option("path", f"{root.rstrip('/')}/{target}")
+        writer.saveAsTable(target)
+        copies[name] = df.sparkSession.table(target)
+    return copies
+
+
 def key_is_clean(df: DataFrame, id_col: str) -> bool:
     """True when the id is an integer primary key."""
     return check_int_key(df, id_col).isEmpty()

@@ -37,18 +37,19 @@ def _load(rows: DataFrame, root: str, table: str, database: str, declared: int |
 
 def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, database: str = MAIN,
                    json_col: str = "value", payload: str = "result", items: str | None = None,
-                   fields: Sequence[str] | None = None, unwrap: Callable[[DataFrame], DataFrame] | None = None,
+                   fields: Sequence[str] | None = None, reshape: Callable[[DataFrame], DataFrame] | None = None,
                    include: Sequence[str] | None = None, exclude: Sequence[str] = (),
                    find_dates: bool = False, recreate: bool = False) -> bool:
     """Load ``entity_<entity>`` from landed API pages; False when there was nothing to load.
 
-    ``fields`` lists the columns to take (all that occur, by default), ``unwrap`` flattens
-    property columns, ``find_dates`` types columns made of timestamps only, ``recreate``
-    drops the stored schema. The audit row holds the stored and the declared count.
+    ``fields`` lists the columns to take (all that occur, by default), ``reshape`` works on the raw
+    columns before they are cleaned (unwrapping properties, dropping repeats, picking owners),
+    ``find_dates`` types columns made of timestamps only, ``recreate`` drops the stored schema.
+    The audit row holds the stored and the declared count.
     """
     records = read_envelope(pages, json_col, payload, items)
     raw = spread_map(records, fields or field_names(records))
-    raw = unwrap(raw) if unwrap else raw
+    raw = reshape(raw) if reshape else raw
     if include is not None:
         raw, _ = keep_columns(raw, include)
     raw = drop_columns(raw, exclude)

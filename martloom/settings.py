@@ -93,6 +93,18 @@ LEAD_FROM_DEAL = {
     "UF_CRM_6341774C87D94": "UF_CRM_6341774C87D94",
 }
 
+# Entity tables that are dropped and recreated on every run.
+RECREATED = ["deal", "contact", "lead", "company"]
+
+# Tables the connector delivers, in loading order.
+CONNECTOR_TABLES = [
+    "crm_lead", "crm_lead_uf", "crm_deal", "crm_deal_uf",
+    "crm_contact", "crm_contact_uf", "crm_company", "crm_company_uf",
+]
+
+# Owner type of the product rows that belong to a smart entity table.
+PRODUCT_ROW_OWNERS = {"entity_140": "T8c", "entity_160": "Ta0"}
+
 # Columns left out when a table is loaded, by table.
 EXCLUDED_COLUMNS = {
     "crm_deal_uf": ["UF_CRM_1611039011", "UF_CRM_5FA5304C6E73B", "UF_CRM_1691245430"],

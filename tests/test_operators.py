@@ -188,7 +188,7 @@ def test_entity_run(spark, tmp_path):
         spark,
         '{"result": [{"ID": "1", "AMOUNT": "5|EUR", "AT": "2024-05-06T10:11:12+03:00", "PROPERTY_7": {"10": "red"}, "SKIP": "s"}], "total": 3}',
         '{"result": [{"ID": "2", "AMOUNT": " ", "AT": null, "PROPERTY_7": {}, "SKIP": "s"}], "total": 3}')
-    assert refresh_entity(docs, root, "product", AT, "main", unwrap=unwrap_first, exclude=["SKIP"], find_dates=True)
+    assert refresh_entity(docs, root, "product", AT, "main", reshape=unwrap_first, exclude=["SKIP"], find_dates=True)
     stored = load_table(spark, root, "entity_product", "main")
     assert rows(stored.select("ID", "AMOUNT", "AT", "PROPERTY_7")) == [
         ("1", "5", datetime(2024, 5, 6, 10, 11, 12), "red"), ("2", None, None, None)]
