@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import (
     DoubleType, FloatType, IntegerType, StringType, StructField, StructType, TimestampNTZType,
 )
@@ -68,30 +68,51 @@ def retype_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: fn.to_datetime(F.col(f"`{c}`")) for c in columns})
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Drop and recreate: the table takes the schema and the contents of the rows.
+def _swap(df: DataFrame, path: str) -> int:
+    """Write the rows to a partition folder and return how many there were.
 
-    ``path`` is a partition folder as :func:`table_path` gives it. It is swapped when the job commits: a
-    job that fails leaves the old contents, and the rows may come from the table itself.
+    The folder is swapped when the job commits: a job that fails leaves the old contents, the rows
+    may come from the table itself, and no rows leave the folder as it is. Rows are counted on
+    their way to the files, which is exact because only finished write tasks report.
     """
     table, _, partition = path.rstrip("/").rpartition("/")
     key, is_partition, value = partition.partition("=")
     if not is_partition:
         raise ValueError(f"not a partition folder: {path}")
-    if df.isEmpty():
-        # an empty write names no partition to swap, so the folder is emptied directly
-        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
-        return
-    writer = df.withColumn(key, F.lit(value)).write.mode("overwrite").partitionBy(key)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(table)
+    counter = Observation()
+    rows = df.observe(counter, F.count(F.lit(1)).alias("n")).withColumn(key, F.lit(value))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key)
+    writer.parquet(table)
+    return counter.get["n"]
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """New contents under the stored schema, widened by the columns that are new."""
+def _aligned(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    if has_table(spark, path):
-        df = align_additive(df, spark.read.parquet(path).schema)
-    replace_table(df, path)
+    return align_additive(df, spark.read.parquet(path).schema) if has_table(spark, path) else df
+
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """Drop and recreate: the table takes the schema and the contents of the rows; their number is returned.
+
+    ``path`` is a partition folder as :func:`table_path` gives it.
+    """
+    n = _swap(df, path)
+    if n == 0:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    return n
+
+
+def full_refresh(df: DataFrame, path: str) -> int:
+    """New contents under the stored schema, widened by the columns that are new; the number of rows."""
+    return replace_table(_aligned(df, path), path)
+
+
+def load_if_nonempty(df: DataFrame, path: str, recreate: bool = False) -> int:
+    """Refresh, or with ``recreate`` replace, unless there are no rows: then the stored table stays as it is.
+
+    The rows are computed once; their number is returned.
+    """
+    return _swap(df if recreate else _aligned(df, path), path)
 
 
 def append_new(df: DataFrame, path: str, id_col: str) -> None:
@@ -104,14 +125,6 @@ def append_new(df: DataFrame, path: str, id_col: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def load_if_nonempty(df: DataFrame, path: str, load: Callable[[DataFrame, str], None] = full_refresh) -> bool:
-    """Load unless there are no rows, in which case the stored table stays as it is."""
-    if df.isEmpty():
-        return False
-    load(df, path)
-    return True
-
-
 def write_mart(df: DataFrame, path: str, keys: Sequence[str] = (), by: str | None = None,
                ties: Sequence[str] = (), ranged: bool = True) -> None:
     """Drop and create a mart, its files in key order.
@@ -146,14 +159,15 @@ def snapshot_bucketed(tables: Mapping[str, DataFrame], keys: Mapping[str, str],
                       suffix: str = "_transform", root: str | None = None) -> dict[str, DataFrame]:
     """Copies as catalog tables, bucketed and sorted by the key the marts join them on.
 
-    Joins of these copies on their keys need no shuffle, however many marts are built from them.
+    Joins of these copies on their keys need no shuffle, however many marts are built from them. Rows
+    are brought together by key first, so that every bucket is one file.
     Text keys are stored as they are, so tables that are joined should have keys of one type.
     ``root`` places the files outside the catalog's own folder.
     """
     copies = {}
     for name, df in tables.items():
         key, target = keys[name], f"{name}{suffix}"
-        writer = df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet")
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet")
         if root:
             writer = writer.option("path", f"{root.rstrip('/')}/{target}")
         writer.saveAsTable(target)

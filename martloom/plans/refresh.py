@@ -10,29 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom import settings as S
 from martloom.functions.cleaning import clean_connector, clean_entity
 from martloom.operators.columns import drop_columns, keep_columns
-from martloom.operators.loading import (
-    SYNC_SCHEMA, full_refresh, load_if_nonempty, log_sync, replace_table, retype_dates,
-)
+from martloom.operators.loading import SYNC_SCHEMA, load_if_nonempty, log_sync, retype_dates
 from martloom.operators.quality import date_columns
-from martloom.sources.pages import field_names, matrix_columns, read_envelope, read_matrix, spread_map
-from martloom.sources.tables import MAIN, load_table, table_path
+from martloom.sources.pages import matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
+from martloom.sources.tables import MAIN, table_path
 
 
-def audit_row(spark: SparkSession, at: datetime, database: str | None, table: str, loaded: int,
+def audit_row(spark: SparkSession, at: datetime, database: str, table: str, loaded: int,
               declared: int | None, error: str | None = None) -> DataFrame:
     """One audit entry; ``at`` is passed in, so that a run can be repeated with the same result."""
-    return spark.createDataFrame([(at, database, table, loaded, declared, error)], SYNC_SCHEMA)
-
-
-def _load(rows: DataFrame, root: str, table: str, database: str, declared: int | None,
-          at: datetime, load: Callable[[DataFrame, str], None]) -> bool:
-    spark = rows.sparkSession
-    if not load_if_nonempty(rows, table_path(root, table, database), load):
-        return False
-    # counted from the written files, so a task that ran twice is not counted twice
-    loaded = load_table(spark, root, table, database).count()
-    log_sync(audit_row(spark, at, database, table, loaded, declared), root, database)
-    return True
+    # as text, for a datetime literal would be moved to the time zone of the session
+    cells = (at.isoformat(sep=" "), database, table, loaded, declared, error)
+    values = (F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cells, SYNC_SCHEMA))
+    return spark.range(1).select(*values)
 
 
 def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, database: str = MAIN,
@@ -47,8 +37,14 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
     ``find_dates`` types columns made of timestamps only, ``recreate`` drops the stored schema.
     The audit row holds the stored and the declared count.
     """
-    records = read_envelope(pages, json_col, payload, items)
-    raw = spread_map(records, fields or field_names(records))
+    if fields is None:
+        fields, declared = survey_pages(pages, json_col, payload, items)
+    else:
+        total = F.max(F.get_json_object(json_col, "$.total").try_cast("bigint"))
+        declared = pages.agg(total.alias("n")).first().n
+    if not fields:
+        return False
+    raw = spread_map(read_envelope(pages, json_col, payload, items), fields)
     raw = reshape(raw) if reshape else raw
     if include is not None:
         raw, _ = keep_columns(raw, include)
@@ -56,18 +52,22 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
     rows = clean_entity(raw)
     if find_dates:
         rows = retype_dates(rows, date_columns(raw))
-    total = F.max(F.get_json_object(json_col, "$.total").try_cast("bigint"))
-    declared = pages.agg(total.alias("n")).first().n
-    return _load(rows, root, f"entity_{entity}", database, declared, at,
-                 replace_table if recreate else full_refresh)
+    table = f"entity_{entity}"
+    loaded = load_if_nonempty(rows, table_path(root, table, database), recreate)
+    if loaded:
+        log_sync(audit_row(pages.sparkSession, at, database, table, loaded, declared), root, database)
+    return loaded > 0
 
 
 def refresh_connector(documents: DataFrame, root: str, table: str, database: str = MAIN,
                       json_col: str = "value", empty_for_null: bool = False) -> bool:
     """Load a connector table from landed header-row matrices; it has no declared count and no audit row."""
-    rows = read_matrix(documents, json_col, matrix_columns(documents, json_col))
+    columns = matrix_columns(documents, json_col)
+    if not columns:
+        return False
+    rows = read_matrix(documents, json_col, columns)
     rows = clean_connector(drop_columns(rows, S.EXCLUDED_COLUMNS.get(table, [])), empty_for_null)
-    return load_if_nonempty(rows, table_path(root, table, database))
+    return load_if_nonempty(rows, table_path(root, table, database)) > 0
 
 
 def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], bool]]], root: str, at: datetime,

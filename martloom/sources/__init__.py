@@ -5,7 +5,7 @@ from martloom.sources.catalogs import (
 )
 from martloom.sources.pages import (
     dedupe_pages, field_names, matrix_columns, page_totals, read_envelope, read_matrix, spread_map,
-    unwrap_first, unwrap_key,
+    survey_pages, unwrap_first, unwrap_key,
 )
 from martloom.sources.tables import (
     column_names, has_column, has_table, keyset_scan, load_jdbc, load_table, table_path,
@@ -15,5 +15,5 @@ __all__ = [
     "column_names", "dedupe_pages", "entity_type_ids", "field_catalogue", "field_names",
     "has_column", "has_table", "keyset_scan", "list_catalogue", "load_jdbc", "load_table", "matrix_columns",
     "page_totals", "positive_ids", "read_envelope", "read_matrix", "rows_for_owners",
-    "spread_map", "table_path", "unwrap_first", "unwrap_key",
+    "spread_map", "survey_pages", "table_path", "unwrap_first", "unwrap_key",
 ]

@@ -44,6 +44,23 @@ def field_names(df: DataFrame, map_col: str = "row") -> list[str]:
     return sorted(r.k for r in names.collect())
 
 
+def survey_pages(df: DataFrame, json_col: str, payload: str = "result", items: str | None = None) -> tuple[list[str], int | None]:
+    """Names of all fields that occur and the largest declared total, from one pass over the pages.
+
+    Names are distinct per page and per task before they are shuffled; one row per name comes to
+    the driver.
+    """
+    rows = "array<map<string,string>>"
+    body = rows if items is None else f"struct<`{items}`: {rows}>"
+    page = df.select(F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint").alias("_page"))
+    records = F.col(f"_page.`{payload}`" if items is None else f"_page.`{payload}`.`{items}`")
+    names = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
+    found = page.select(F.explode_outer(names).alias("name"), F.col("_page.total").alias("total"))
+    found = found.groupBy("name").agg(F.max("total").alias("total")).collect()
+    totals = [r.total for r in found if r.total is not None]
+    return sorted(r.name for r in found if r.name is not None), max(totals, default=None)
+
+
 def spread_map(df: DataFrame, fields: Sequence[str], map_col: str = "row") -> DataFrame:
     """One column per field of a map column, in the order given; absent fields are NULL."""
     return df.select(*[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])

@@ -6,7 +6,6 @@ all sources with a ``database_name`` column, and a filter on it reads only the f
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -36,14 +35,10 @@ def load_jdbc(spark: SparkSession, url: str, table: str, id_col: str, lower: int
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a readable table."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    """True when the folder holds Parquet files; asks the file system, reads none of them."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.parquet")
+    found = files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files)
+    return found is not None and len(found) > 0
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:

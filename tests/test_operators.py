@@ -226,4 +226,6 @@ def test_a_failed_job_is_logged_and_the_others_go_on(spark, tmp_path):
 
 
 def test_audit_row_types(spark):
-    assert audit_row(spark, AT, None, "t", 1, None).schema == loading.SYNC_SCHEMA
+    row = audit_row(spark, AT, "main", "t", 1, None)
+    assert row.dtypes == [(f.name, f.dataType.simpleString()) for f in loading.SYNC_SCHEMA]
+    assert tuple(row.first()) == (AT, "main", "t", 1, None, None)

@@ -3,14 +3,16 @@
 import pytest
 from pyspark.sql import functions as F
 
+from martloom import settings as S
 from martloom import sources as src
 from martloom.operators import joins as J
+from martloom.operators.loading import snapshot_bucketed
 from martloom.plans import marts as M
 from workload import ORACLE, QUERIES
 from workload.views import crm_tables, load
 
 # these run jobs of their own while they are built
-_WRITES = {n for n, q in QUERIES.items() if "work_dir" in q.__code__.co_names} | {"marts_written", "snapshot_counts"}
+_WRITES = {n for n, q in QUERIES.items() if "work_dir" in q.__code__.co_names} | {"snapshot_counts"}
 
 
 def plan(df):
@@ -49,19 +51,19 @@ def test_chain_shuffles_each_table_once(spark, sf_dir, no_broadcast):
     assert text.count("Exchange hashpartitioning") == 3
 
 
-def test_bucketed_tables_are_not_shuffled(spark, sf_dir, no_broadcast):
+def test_bucketed_tables_are_not_shuffled(spark, sf_dir, tmp_path, no_broadcast):
     tables = crm_tables(spark, sf_dir)
-    keys = {"crm_deal": "ID", "crm_deal_uf": "DEAL_ID", "entity_deal": "entity_deal_ID"}
-    for name, key in keys.items():
-        spark.sql(f"drop table if exists b_{name}")
-        tables[name].write.bucketBy(4, key).sortBy(key).saveAsTable(f"b_{name}")
+    names = ["crm_deal", "crm_deal_uf", "entity_deal"]
+    for name in names:
+        spark.sql(f"drop table if exists {name}_test")
+    copies = snapshot_bucketed({n: tables[n] for n in names}, S.TABLE_KEYS, 4, "_test", str(tmp_path))
     try:
-        bucketed = {n: spark.table(f"b_{n}") for n in keys}
-        text = plan(M.entity_chain(bucketed, "deal"))
+        text = plan(M.entity_chain(copies, "deal"))
         assert "SortMergeJoin" in text and "Exchange" not in text
+        assert len(list((tmp_path / "crm_deal_test").glob("*.parquet"))) <= 4
     finally:
-        for name in keys:
-            spark.sql(f"drop table if exists b_{name}")
+        for name in names:
+            spark.sql(f"drop table if exists {name}_test")
 
 
 def test_first_match_is_decided_before_the_shuffle(spark, sf_dir, no_broadcast):

@@ -36,6 +36,12 @@ def test_fields_found_and_spread(spark):
     assert rows(src.spread_map(df, ["b", "ID", "missing"])) == [(None, "2", None), ("x", "1", None)]
 
 
+def test_survey_is_names_and_total_in_one_pass(spark):
+    df = pages(spark, {"result": [{"b": 1}, {"a": 2}], "total": 2}, {"result": [], "total": 7}, {"total": 9})
+    assert src.survey_pages(df, "value") == (["a", "b"], 9)
+    assert src.survey_pages(pages(spark, {"result": {"items": [{"c": 1}]}}), "value", items="items") == (["c"], None)
+
+
 def test_earliest_page_wins(spark):
     df = pages(spark, {"result": [{"ID": "1", "v": "a"}, {"ID": "2", "v": "b"}]}, {"result": [{"ID": "2", "v": "c"}, {"ID": "3", "v": "d"}]})
     flat = src.read_envelope(df, "value", keep=["page"]).select("page", F.col("row")["ID"].alias("ID"), F.col("row")["v"].alias("v"))

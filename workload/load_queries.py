@@ -160,7 +160,7 @@ def row_count(spark, d):
 def sync_log(spark, d):
     root = work_dir(spark, "log")
     counts = quality.reconcile(crm_tables(spark, d), _declared(spark, d))
-    entries = counts.select(F.lit(AT).alias("timestamp"), F.lit("main").alias("database_name"), "table_name",
+    entries = counts.select(F.lit(str(AT)).cast("timestamp_ntz").alias("timestamp"), F.lit("main").alias("database_name"), "table_name",
                             F.col("n_loaded").alias("db_entry_count"), F.col("n_source").alias("crm_entry_count"),
                             F.lit(None).cast("string").alias("error_message"))
     loading.reset_log(spark, root, "main")
