@@ -25,8 +25,12 @@ def clamp_int(col: Column) -> Column:
 
 
 def first_id(col: Column) -> Column:
-    """The leading integer of a relation cell: 12 of ``'12, 15'``; NULL for empty text."""
-    return F.nullif(F.regexp_extract(col.cast("string"), r"^\s*(-?\d+)", 1), F.lit("")).try_cast("bigint")
+    """The leading integer of a relation cell: 12 of ``'12, 15'``; NULL for empty text.
+
+    Most cells are one id and are cast as they are; only the others are searched.
+    """
+    lead = F.regexp_extract(col.cast("string"), r"^\s*(-?\d+)", 1).try_cast("bigint")
+    return F.coalesce(col.try_cast("bigint"), lead)
 
 
 def id_list(col: Column) -> Column:

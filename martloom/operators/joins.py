@@ -145,14 +145,12 @@ def role_counts(relation: DataFrame, roles: Mapping[str, str], multi: str = "fir
     if multi not in ("first", "explode"):
         raise ValueError("multi is 'first' or 'explode'")
 
-    def named(label: str, column: str) -> Column:
-        ids = fn.id_list(F.col(column)) if multi == "explode" else F.array(fn.first_id(F.col(column)))
-        return F.transform(ids, lambda i: F.struct(i.alias("id"), F.lit(label).alias("role")))
-
-    pairs = relation.select(F.explode(F.flatten(F.array(*[named(k, v) for k, v in roles.items()]))).alias("p"))
-    pairs = pairs.select("p.id", "p.role").where("id is not null")
-    counts = pairs.groupBy(F.col("id").alias("_role_id")).agg(
-        *[F.count_if(F.col("role") == label).alias(f"_n{i}") for i, label in enumerate(roles)]
+    read = fn.id_list if multi == "explode" else fn.first_id
+    cells = relation.select(F.posexplode(F.array(*[read(F.col(c)) for c in roles.values()])).alias("role", "id"))
+    if multi == "explode":
+        cells = cells.select("role", F.explode("id").alias("id"))
+    counts = cells.where("id is not null").groupBy(F.col("id").alias("_role_id")).agg(
+        *[F.count_if(F.col("role") == i).alias(f"_n{i}") for i in range(len(roles))]
     )
     named_n = [F.struct(F.lit(label).alias("role"), F.col(f"_n{i}").alias("n")) for i, label in enumerate(roles)]
     return counts.select("_role_id", F.filter(F.array(*named_n), lambda s: s["n"] > 0).alias("_roles"))
