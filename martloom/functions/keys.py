@@ -13,27 +13,26 @@ def is_integer(col: Column) -> Column:
 
 
 def to_id(col: Column) -> Column:
-    """Integer text as bigint, NULL for the rest."""
-    return col.try_cast("bigint")
+    """Integer text as bigint, NULL for the rest.
+
+    A cast that fails costs as much as many that succeed, so the text is tested first.
+    """
+    return F.when(is_integer(col), col.try_cast("bigint"))
 
 
 def clamp_int(col: Column) -> Column:
     """Integer text as a 32-bit integer; values beyond its limits become the limit."""
-    wide = col.try_cast("decimal(38,0)")
+    wide = F.when(is_integer(col), col.try_cast("decimal(38,0)"))
     inside = F.least(F.greatest(wide, F.lit(S.INT_MIN)), F.lit(S.INT_MAX)).cast("int")
     return F.when(wide.isNotNull(), inside)
 
 
 def first_id(col: Column) -> Column:
-    """The leading integer of a relation cell: 12 of ``'12, 15'``; NULL for empty text.
-
-    Most cells are one id and are cast as they are; only the others are searched.
-    """
-    lead = F.regexp_extract(col.cast("string"), r"^\s*(-?\d+)", 1).try_cast("bigint")
-    return F.coalesce(col.try_cast("bigint"), lead)
+    """The leading integer of a relation cell: 12 of ``'12, 15'``; NULL for empty text."""
+    return F.nullif(F.regexp_extract(col.cast("string"), r"^\s*(-?\d+)", 1), F.lit("")).try_cast("bigint")
 
 
 def id_list(col: Column) -> Column:
     """Every integer of a comma-separated relation cell."""
-    parts = F.transform(F.split(col.cast("string"), ","), lambda x: F.trim(x).try_cast("bigint"))
+    parts = F.transform(F.split(col.cast("string"), ","), lambda x: to_id(F.trim(x)))
     return F.filter(parts, lambda x: x.isNotNull())

@@ -14,7 +14,7 @@ def by_flag(df: DataFrame, flag: str) -> DataFrame:
 
 def by_category(df: DataFrame, category: int, col: str = "CATEGORY_ID") -> DataFrame:
     """Rows of one category; the code may be stored as text."""
-    return df.where(F.col(col).try_cast("int") == F.lit(category))
+    return df.where(fn.to_id(F.trim(F.col(col).cast("string"))) == F.lit(category))
 
 
 def greater_than(df: DataFrame, col: str, bound) -> DataFrame:
@@ -36,6 +36,4 @@ def int_ids(df: DataFrame, id_col: str, references: tuple[str, ...] = (), clamp:
     """Rows with an integer id, id and references retyped to bigint (or a clamped 32-bit int)."""
     cast = fn.clamp_int if clamp else fn.to_id
     rows = delete_nonint_ids(df, id_col)
-    for col in references:
-        rows = null_nonint(rows, col)
     return rows.withColumns({c: cast(F.col(c)) for c in (id_col, *references)})

@@ -51,7 +51,7 @@ def check_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 def check_int_key(df: DataFrame, id_col: str) -> DataFrame:
     """Ids that break an integer primary key: repeated, NULL or not integer text."""
-    typed = df.select(F.when(fn.is_integer(F.col(id_col)), fn.to_id(F.col(id_col).cast("string"))).alias(id_col))
+    typed = df.select(fn.to_id(F.col(id_col)).alias(id_col))
     return check_key(typed, id_col)
 
 

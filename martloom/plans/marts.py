@@ -9,7 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import settings as S
-from martloom.operators.filters import by_category, by_flag, int_ids, null_nonint
+from martloom.functions import to_id
+from martloom.operators.filters import by_category, by_flag, int_ids
 from martloom.operators.joins import ROWS_PER_SALT, chain, enrich_left, rows_by_flags, rows_by_roles
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
@@ -118,7 +119,7 @@ def contacts_by_roles(chained: DataFrame, relation: DataFrame, roles: Mapping[st
 
 def deals_by_categories(chained: DataFrame) -> DataFrame:
     """The five category marts in one pass, with a ``mart`` column."""
-    code = F.col("CATEGORY_ID").try_cast("int")
+    code = to_id(F.trim(F.col("CATEGORY_ID").cast("string")))
     rows = chained.where(code.isin(*S.DEAL_CATEGORIES.values()))
     pick = F.lit(None).cast("string")
     for name, value in S.DEAL_CATEGORIES.items():
@@ -128,11 +129,10 @@ def deals_by_categories(chained: DataFrame) -> DataFrame:
 
 def clean_ids(tables: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """The tables with integer ids: rows with other lead or contact ids go, other references become NULL."""
-    deals = null_nonint(tables["crm_deal"], "LEAD_ID")
     typed = {
         "crm_lead": int_ids(tables["crm_lead"], "ID", ("CONTACT_ID",)),
         "crm_contact": int_ids(tables["crm_contact"], "ID"),
-        "crm_deal": deals.withColumn("LEAD_ID", F.col("LEAD_ID").cast("bigint")),
+        "crm_deal": tables["crm_deal"].withColumn("LEAD_ID", to_id(F.col("LEAD_ID"))),
     }
     return ChainMap(typed, tables)
 
