@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from martloom import settings as S
+from martloom.functions.text import join_list
 
 
 def first_value(col: Column) -> Column:
@@ -27,3 +28,17 @@ def first_in_text(col: Column) -> Column:
     """Like :func:`first_value` for text cells: JSON objects give their first value, other text stays."""
     parsed = F.from_json(col, "map<string,string>")
     return F.when(parsed.isNotNull(), first_value(parsed)).otherwise(col)
+
+
+def typed_text(col: Column, as_json: Column) -> Column:
+    """Text of a variant cell: lists joined, booleans as 0 and 1, the rest as it reads.
+
+    ``as_json`` is the cell's JSON, in which text is quoted: text that looks like a list or a
+    boolean is not taken for one.
+    """
+    return (
+        F.when(as_json.startswith("["), join_list(F.from_json(as_json, "array<string>")))
+        .when(as_json == "false", "0")
+        .when(as_json == "true", "1")
+        .otherwise(col.cast("string"))
+    )

@@ -82,27 +82,29 @@ def _vote(field: StructField) -> Column:
 
 
 def infer_types(df: DataFrame, mode: str = "intended") -> DataFrame:
-    """Type of every column by a vote of its values read as text: ``column_name``, ``sql_type``.
+    """Type of every column by a vote of its values read as text: ``column_name``, ``sql_type``, ``n_values``.
 
     Dates when all values have a date shape; text when a value has a leading zero or is no
     number; integers when all values are whole, else floats. Only the two explicit date shapes
     count, a bare number is not read as a date. ``mode="reference"`` gives what the loader does
-    in effect: text for every column. All columns are voted on in one pass.
+    in effect: text for every column. Empty values have no vote. All columns are voted on in one pass.
     """
-    if mode == "reference":
-        return df.sparkSession.createDataFrame([(c, "TEXT") for c in df.columns], "column_name string, sql_type string")
     kinds = df.select(*[_vote(f).alias(f.name) for f in df.schema.fields])
-    votes = kinds.agg(*[F.bit_or(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    votes = kinds.agg(*[
+        F.struct(F.bit_or(F.col(f"`{c}`")).alias("kinds"), F.count(F.col(f"`{c}`")).alias("n")).alias(c) for c in df.columns
+    ])
 
     def verdict(name: str) -> Column:
-        v = F.col(f"`{name}`")
+        v = F.col(f"`{name}`")["kinds"]
         kind = (
             F.when(v == _DATE, "DATETIME")
             .when(v.isNull() | (v.bitwiseAND(_DATE | _LEADING_ZERO | _OTHER) != 0), "TEXT")
             .when(v == _WHOLE, "INTEGER")
             .otherwise("FLOAT")
         )
-        return F.struct(F.lit(name).alias("column_name"), kind.alias("sql_type"))
+        if mode == "reference":
+            kind = F.lit("TEXT")
+        return F.struct(F.lit(name).alias("column_name"), kind.alias("sql_type"), F.col(f"`{name}`")["n"].alias("n_values"))
 
     return votes.select(F.inline(F.array(*[verdict(c) for c in df.columns])))
 

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom import settings as S
 from martloom.functions import to_id
+from martloom.operators.columns import prefix_columns
 from martloom.operators.filters import by_category, by_flag, int_ids
 from martloom.operators.joins import ROWS_PER_SALT, chain, enrich_left, rows_by_flags, rows_by_roles
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
-from martloom.sources.tables import MAIN, load_table
+from martloom.sources.tables import MAIN, has_column, load_table
 
 #: The stored tables the marts read.
 TABLES = list(S.TABLE_KEYS)
@@ -73,8 +74,13 @@ BY_NAME = {m.name: m for m in MARTS}
 
 def read_tables(spark: SparkSession, root: str, database: str = MAIN,
                 suffix: str = "") -> dict[str, DataFrame]:
-    """The stored tables the marts need, by name."""
-    return {t: load_table(spark, root, f"{t}{suffix}", database) for t in TABLES}
+    """The stored tables the marts need, by name; relation tables get their mart column names."""
+    tables = {t: load_table(spark, root, f"{t}{suffix}", database) for t in TABLES}
+    for entity in ENTITIES:
+        name = f"entity_{entity}"
+        if has_column(tables[name], "ID"):
+            tables[name] = prefix_columns(tables[name], entity)
+    return tables
 
 
 def entity_chain(tables: Mapping[str, DataFrame], entity: str, how: str = "left",

@@ -12,7 +12,7 @@ from martloom.functions.cleaning import clean_connector, clean_entity
 from martloom.operators.columns import drop_columns, keep_columns
 from martloom.operators.loading import SYNC_SCHEMA, load_if_nonempty, log_sync, retype_dates
 from martloom.operators.quality import date_columns
-from martloom.sources.pages import matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
+from martloom.sources.pages import TYPED_ROWS, matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
 from martloom.sources.tables import MAIN, table_path
 
 
@@ -44,7 +44,7 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
         declared = pages.agg(total.alias("n")).first().n
     if not fields:
         return False
-    raw = spread_map(read_envelope(pages, json_col, payload, items), fields)
+    raw = spread_map(read_envelope(pages, json_col, payload, items, TYPED_ROWS), fields)
     raw = reshape(raw) if reshape else raw
     if include is not None:
         raw, _ = keep_columns(raw, include)

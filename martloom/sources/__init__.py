@@ -4,7 +4,7 @@ from martloom.sources.catalogs import (
     entity_type_ids, field_catalogue, list_catalogue, positive_ids, rows_for_owners,
 )
 from martloom.sources.pages import (
-    dedupe_pages, field_names, matrix_columns, page_totals, read_envelope, read_matrix, spread_map,
+    TYPED_ROWS, dedupe_pages, field_names, matrix_columns, page_totals, read_envelope, read_matrix, spread_map,
     survey_pages, unwrap_first, unwrap_key,
 )
 from martloom.sources.tables import (
@@ -12,7 +12,7 @@ from martloom.sources.tables import (
 )
 
 __all__ = [
-    "column_names", "dedupe_pages", "entity_type_ids", "field_catalogue", "field_names",
+    "TYPED_ROWS", "column_names", "dedupe_pages", "entity_type_ids", "field_catalogue", "field_names",
     "has_column", "has_table", "keyset_scan", "list_catalogue", "load_jdbc", "load_table", "matrix_columns",
     "page_totals", "positive_ids", "read_envelope", "read_matrix", "rows_for_owners",
     "spread_map", "survey_pages", "table_path", "unwrap_first", "unwrap_key",

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import MapType, VariantType
 
 from martloom import functions as fn
 from martloom import settings as S
 
+#: Row schema that remembers whether a cell was a list, a boolean, a number or text.
+TYPED_ROWS = "map<string,variant>"
+
 
 def read_envelope(
     df: DataFrame,
@@ -62,8 +65,15 @@ def survey_pages(df: DataFrame, json_col: str, payload: str = "result", items: s
 
 
 def spread_map(df: DataFrame, fields: Sequence[str], map_col: str = "row") -> DataFrame:
-    """One column per field of a map column, in the order given; absent fields are NULL."""
-    return df.select(*[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])
+    """One text column per field of a map column, in the order given; absent fields are NULL.
+
+    Cells read with :data:`TYPED_ROWS` keep apart lists, booleans and text that looks like them.
+    """
+    cells = df.select(*[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])
+    if not isinstance(df.schema[map_col].dataType.valueType, VariantType):
+        return cells
+    cells = cells.select("*", *[F.to_json(F.col(f"`{f}`")).alias(f"_json {f}") for f in fields])
+    return cells.select(*[fn.typed_text(F.col(f"`{f}`"), F.col(f"`_json {f}`")).alias(f) for f in fields])
 
 
 def dedupe_pages(df: DataFrame, id_col: str, page_col: str | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martloom.functions.cleaning import clean_entity
 from martloom.operators.joins import one_per_key
 from martloom.operators.loading import append_new
-from martloom.sources.pages import read_envelope, spread_map
+from martloom.sources.pages import TYPED_ROWS, read_envelope, spread_map
 
 
 def stream_new_rows(spark: SparkSession, in_dir: str, target: str, checkpoint: str, fields: Sequence[str],
@@ -24,7 +24,8 @@ def stream_new_rows(spark: SparkSession, in_dir: str, target: str, checkpoint: s
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = clean_entity(spread_map(read_envelope(reader.load(in_dir), "value", payload, items), fields))
+    records = read_envelope(reader.load(in_dir), "value", payload, items, TYPED_ROWS)
+    rows = clean_entity(spread_map(records, fields))
 
     def add(batch: DataFrame, _: int) -> None:
         append_new(one_per_key(batch, id_col, fields), target, id_col)

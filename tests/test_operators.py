@@ -99,8 +99,9 @@ def test_reconcile(spark):
 ])
 def test_type_votes(spark, values, verdict):
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    assert rows(quality.infer_types(df)) == [("v", verdict)]
-    assert rows(quality.infer_types(df, mode="reference")) == [("v", "TEXT")]
+    n = sum(bool(v) for v in values)
+    assert rows(quality.infer_types(df)) == [("v", verdict, n)]
+    assert rows(quality.infer_types(df, mode="reference")) == [("v", "TEXT", n)]
 
 
 def test_date_columns_need_every_value(spark):

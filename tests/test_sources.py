@@ -36,6 +36,14 @@ def test_fields_found_and_spread(spark):
     assert rows(src.spread_map(df, ["b", "ID", "missing"])) == [(None, "2", None), ("x", "1", None)]
 
 
+def test_typed_cells(spark):
+    df = pages(spark, {"result": [{"list": ["2", None, 1], "none": [], "no": False, "yes": True, "text": "[12]", "word": "false",
+                                   "n": 12, "f": 1.5, "null": None, "map": {"7": "a"}}]})
+    names = ["list", "none", "no", "yes", "text", "word", "n", "f", "null", "map", "absent"]
+    out = src.spread_map(src.read_envelope(df, "value", row_schema=src.TYPED_ROWS), names)
+    assert tuple(out.first()) == ("2, None, 1", "", "0", "1", "[12]", "false", "12", "1.5", None, '{"7":"a"}', None)
+
+
 def test_survey_is_names_and_total_in_one_pass(spark):
     df = pages(spark, {"result": [{"b": 1}, {"a": 2}], "total": 2}, {"result": [], "total": 7}, {"total": 9})
     assert src.survey_pages(df, "value") == (["a", "b"], 9)

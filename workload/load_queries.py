@@ -169,8 +169,10 @@ def sync_log(spark, d):
     return load_table(spark, root, loading.SYNC_LOG, "main")
 
 
-@query("""SELECT * FROM (VALUES ('ID', 'INTEGER'), ('CATEGORY_ID', 'INTEGER'), ('LEAD_ID', 'TEXT'), ('SOURCE_NAME', 'TEXT'),
-                 ('SOURCE_DESCRIPTION', 'TEXT'), ('OPPORTUNITY_RAW', 'TEXT'), ('CREATED_RAW', 'DATETIME')) v(column_name, sql_type)""")
+@query("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{kind}' AS sql_type, count(nullif(CAST("{c}" AS VARCHAR), '')) AS n_values FROM crm_deal"""
+    for c, kind in {"ID": "INTEGER", "CATEGORY_ID": "INTEGER", "LEAD_ID": "TEXT", "SOURCE_NAME": "TEXT", "SOURCE_DESCRIPTION": "TEXT",
+                    "OPPORTUNITY_RAW": "TEXT", "CREATED_RAW": "DATETIME"}.items()), "crm_deal")
 def infer_types_fixed(spark, d):
     return quality.infer_types(crm_deal(spark, d))
 
@@ -185,7 +187,8 @@ def _vote_sql(table: str, *names: str) -> str:
             CASE WHEN count({v}) = 0 THEN 'TEXT'
                  WHEN bool_and(regexp_full_match({v}, {date})) THEN 'DATETIME'
                  WHEN bool_or(starts_with({v}, '0') AND length({v}) > 1) OR NOT bool_and(regexp_full_match({v}, {number})) THEN 'TEXT'
-                 WHEN bool_and(regexp_full_match({v}, '-?[0-9]+')) THEN 'INTEGER' ELSE 'FLOAT' END AS sql_type FROM {table}""")
+                 WHEN bool_and(regexp_full_match({v}, '-?[0-9]+')) THEN 'INTEGER' ELSE 'FLOAT' END AS sql_type,
+            count({v}) AS n_values FROM {table}""")
     return "\nUNION ALL ".join(parts)
 
 
@@ -195,8 +198,9 @@ def infer_types(spark, d):
         "l_orderkey", "l_quantity", "l_discount", "l_extendedprice", "l_returnflag"))
 
 
-@query("SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS column_name,"
-       " 'TEXT' AS sql_type")
+@query("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, 'TEXT' AS sql_type, count({c}) AS n_values FROM orders"
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")))
 def infer_types_in_effect(spark, d):
     return quality.infer_types(load(spark, d, "orders"), mode="reference")
 

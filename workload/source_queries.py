@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martloom import sources as src
+from martloom.functions.cleaning import clean_entity
 from martloom.operators.columns import fields_of_type
 from martloom.operators.loading import replace_table
 from martloom.operators.ordering import top_page
@@ -54,6 +55,20 @@ def envelope_fields_found(spark, d):
     return src.spread_map(rows, src.field_names(rows))
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS "ID", o_orderstatus || ', ' || o_orderpriority AS "TAGS",
+                 CASE WHEN o_totalprice > 100000 THEN '1' ELSE '0' END AS "LARGE", '[' || o_orderstatus || ']' AS "NOTE",
+                 CAST(o_custkey AS VARCHAR) AS "OWNER" FROM orders""")
+def typed_cells(spark, d):
+    o = load(spark, d, "orders")
+    record = F.struct(
+        F.col("o_orderkey").alias("ID"), F.array("o_orderstatus", "o_orderpriority").alias("TAGS"),
+        (F.col("o_totalprice") > 100000).alias("LARGE"), F.concat(F.lit("["), "o_orderstatus", F.lit("]")).alias("NOTE"),
+        F.col("o_custkey").alias("OWNER"))
+    pages = o.select(F.to_json(F.struct(F.array(record).alias("result"))).alias("page"))
+    rows = src.read_envelope(pages, "page", row_schema=src.TYPED_ROWS)
+    return clean_entity(src.spread_map(rows, ["ID", "TAGS", "LARGE", "NOTE", "OWNER"]))
+
+
 @query("SELECT o_orderpriority, max(o_orderkey) + 2 AS n_source FROM orders GROUP BY o_orderpriority")
 def declared_totals(spark, d):
     return src.page_totals(order_pages(spark, d), "page", "o_orderpriority")
