@@ -30,15 +30,16 @@ def first_in_text(col: Column) -> Column:
     return F.when(parsed.isNotNull(), first_value(parsed)).otherwise(col)
 
 
-def typed_text(col: Column, as_json: Column) -> Column:
+def typed_text(col: Column, text: Column) -> Column:
     """Text of a variant cell: lists joined, booleans as 0 and 1, the rest as it reads.
 
-    ``as_json`` is the cell's JSON, in which text is quoted: text that looks like a list or a
-    boolean is not taken for one.
+    ``text`` is the cell cast to text. Only where it looks like a list or a boolean is the cell's
+    JSON made, in which real text is quoted.
     """
+    as_json = F.to_json(col)
     return (
-        F.when(as_json.startswith("["), join_list(F.from_json(as_json, "array<string>")))
-        .when(as_json == "false", "0")
-        .when(as_json == "true", "1")
-        .otherwise(col.cast("string"))
+        F.when(text.startswith("["), F.when(as_json.startswith("["), join_list(F.from_json(text, "array<string>"))).otherwise(text))
+        .when(text == "false", F.when(as_json == "false", "0").otherwise(text))
+        .when(text == "true", F.when(as_json == "true", "1").otherwise(text))
+        .otherwise(text)
     )

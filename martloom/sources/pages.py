@@ -72,8 +72,8 @@ def spread_map(df: DataFrame, fields: Sequence[str], map_col: str = "row") -> Da
     cells = df.select(*[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])
     if not isinstance(df.schema[map_col].dataType.valueType, VariantType):
         return cells
-    cells = cells.select("*", *[F.to_json(F.col(f"`{f}`")).alias(f"_json {f}") for f in fields])
-    return cells.select(*[fn.typed_text(F.col(f"`{f}`"), F.col(f"`_json {f}`")).alias(f) for f in fields])
+    cells = cells.select("*", *[F.col(f"`{f}`").cast("string").alias(f"_text {f}") for f in fields])
+    return cells.select(*[fn.typed_text(F.col(f"`{f}`"), F.col(f"`_text {f}`")).alias(f) for f in fields])
 
 
 def dedupe_pages(df: DataFrame, id_col: str, page_col: str | None = None) -> DataFrame:
