@@ -6,22 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import mixing, simhash
+from martloom.llm import decontaminate, mixing, quality, simhash, warc
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_payload=0)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, weights=(3, 1, 2), max_copies=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op9_simhash_near_dedup)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op3_mix_sources, op6_quality, op9_simhash_near_dedup, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
@@ -52,3 +65,50 @@ extra AS (SELECT doc_id FROM c WHERE upto <= need UNION ALL SELECT doc_id FROM e
 SELECT u.doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN e.doc_id IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
 FROM u LEFT JOIN extra e ON u.doc_id = e.doc_id
 """
+
+ORACLE["op1_warc"] = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS last FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((('0x' || substr(sha, CAST(k // 4 * 5 + 1 AS INT), 5))::BIGINT >> CAST(15 - 5 * (k % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m
+"""
+
+ORACLE["op6_quality"] = r"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM t),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+c AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM r) GROUP BY doc_id),
+b AS (SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(ls) AS n_lines,
+        CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN c USING (doc_id)),
+m AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+        CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END AS f1, CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS f2,
+        CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS f3, CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS f4 FROM b),
+f AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([f1, f2, f3, f4]) AS v FROM m WHERE NOT base_failed),
+bins AS (SELECT lang, source, k, CAST(floor(v / pow(2.0, greatest(length(bin(v)) - 6, 0))) * pow(2.0, greatest(length(bin(v)) - 6, 0)) AS BIGINT) AS bin FROM f),
+s AS (SELECT lang, source, k, bin, count(*) AS n FROM bins GROUP BY ALL),
+o AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY lang, source, k) AS size FROM s),
+own AS (SELECT lang, source, k, any_value(size) AS size, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o GROUP BY lang, source, k),
+s2 AS (SELECT lang, k, bin, sum(n) AS n FROM s GROUP BY ALL),
+o2 AS (SELECT *, sum(n) OVER (PARTITION BY lang, k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY lang, k) AS size FROM s2),
+own2 AS (SELECT lang, k, any_value(size) AS size, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o2 GROUP BY lang, k),
+s3 AS (SELECT k, bin, sum(n) AS n FROM s GROUP BY ALL),
+o3 AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY k) AS size FROM s3),
+own3 AS (SELECT k, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o3 GROUP BY k),
+q AS (SELECT own.lang, own.source, own.k,
+        CASE WHEN own.size >= 50 THEN own.q1 WHEN own2.size >= 50 THEN own2.q1 ELSE own3.q1 END AS q1,
+        CASE WHEN own.size >= 50 THEN own.q3 WHEN own2.size >= 50 THEN own2.q3 ELSE own3.q3 END AS q3
+      FROM own JOIN own2 ON own.lang IS NOT DISTINCT FROM own2.lang AND own.k = own2.k JOIN own3 ON own.k = own3.k),
+lim AS (SELECT *, greatest(3 * (q3 - q1), ([3000, 100, 300, 200])[k]) AS away FROM q),
+bad AS (SELECT DISTINCT m.doc_id FROM (SELECT doc_id, lang, source, unnest([1, 2, 3, 4]) AS k, unnest([f1, f2, f3, f4]) AS v FROM m) m
+        LEFT JOIN lim ON m.lang IS NOT DISTINCT FROM lim.lang AND m.source IS NOT DISTINCT FROM lim.source AND m.k = lim.k
+        WHERE coalesce(v NOT BETWEEN q1 - away AND q3 + away, TRUE))
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM m LEFT JOIN bad ON m.doc_id = bad.doc_id
+"""
