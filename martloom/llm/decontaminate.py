@@ -31,19 +31,11 @@ def seeds_of(tokens: Column, mask: Sequence[int]) -> Column:
 
 
 def _placed(df: DataFrame, tokens: str, masks: Sequence[Sequence[int]], *keep: str) -> DataFrame:
-    """(keep, tokens, mask, at, seed): one row a seed; seeds of all masks come out of one explode."""
-    many = F.array(*[seeds_of(F.col(tokens), m) for m in masks])
-    df = df.select(*keep, tokens, many.alias("many"))
-    sizes = F.transform("many", lambda x: F.size(x))
-    df = df.select(*keep, tokens, F.flatten("many").alias("flat"), sizes.alias("sizes"))
-    df = df.select(*keep, tokens, "sizes", F.posexplode("flat").alias("at", "seed"))
-    mask, at = F.lit(0), F.col("at")
-    below = F.lit(0)
-    for k in range(1, len(masks)):
-        below = below + F.get("sizes", F.lit(k - 1))
-        mask = F.when(F.col("at") >= below, k).otherwise(mask)
-        at = F.when(F.col("at") >= below, F.col("at") - below).otherwise(at)
-    return df.select(*keep, tokens, "seed", mask.alias("mask"), at.alias("at"))
+    """(keep, tokens, mask, at, seed): one row a seed."""
+    per_mask = F.array(*[F.struct(F.lit(k).alias("mask"), seeds_of(F.col(tokens), m).alias("seeds")) for k, m in enumerate(masks)])
+    df = df.select(*keep, tokens, F.explode(per_mask).alias("m"))
+    df = df.select(*keep, tokens, F.col("m.mask").alias("mask"), F.col("m.seeds").alias("seeds"))
+    return df.select(*keep, tokens, "mask", F.posexplode("seeds").alias("at", "seed"))
 
 
 def masks_for(items: DataFrame) -> list[tuple[int, ...]]:
