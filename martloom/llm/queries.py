@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, mixing, quality, simhash, warc
+from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, toxicity, warc
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,16 +16,28 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_payload=0)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, weights=(3, 1, 2), max_copies=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -34,7 +46,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op3_mix_sources, op6_quality, op9_simhash_near_dedup, op10_decontaminate)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op6_quality, op8_lm_scores, op9_simhash_near_dedup,
+                                        op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
