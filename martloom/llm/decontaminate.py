@@ -12,6 +12,8 @@ from martloom.llm.common import col, small, stored
 #: Positions that count of each seed. Any 13 words in a row of which two differ contain, at some shift, all positions of one seed.
 SEEDS: tuple[tuple[int, ...], ...] = ((0, 1, 4, 5, 6, 9), (0, 2, 5, 7, 8, 9))
 WINDOW, EQUAL = 13, 11
+#: Tokens that a window may have before or after a seed in it, and seeds to a piece of text.
+EDGE, CHUNK = 3, 32
 #: Seeds of the benchmark up to which they are broadcast; more are joined by shuffle.
 BROADCAST = 200_000
 
@@ -22,22 +24,38 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def seeds_of(tokens: Column, mask: Sequence[int]) -> Column:
-    """Hash of the tokens at the mask's positions, for every shift of the mask inside the text; the others are ignored."""
+def seeds_of(tokens: Column, mask: Sequence[int], skip: int = 0, most: int | None = None) -> Column:
+    """Hash of the tokens at the mask's positions, for every shift of the mask inside the array; the others are ignored.
+
+    The first ``skip`` tokens start no seed, nor do those after the next ``most``.
+    """
     span = mask[-1] + 1
-    at = F.sequence(F.lit(0), F.size(tokens) - F.lit(span))
-    hashed = F.transform(at, lambda i: F.xxhash64(*[F.get(tokens, i + F.lit(k)) for k in mask], F.lit(span)))
-    return F.when(F.size(tokens) >= span, hashed).otherwise(F.array().cast("array<bigint>"))
+    count = F.size(tokens) - F.lit(skip + span - 1)
+    count = F.least(count, F.lit(most)) if most else count
+    hashed = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(*[F.get(tokens, i + F.lit(skip + k)) for k in mask], F.lit(span)))
+    return F.when(count > 0, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
-def _placed(df: DataFrame, tokens: str, masks: Sequence[Sequence[int]], *keep: str) -> DataFrame:
+def _placed(df: DataFrame, tokens: str, masks: Sequence[Sequence[int]], *keep: str, skip: int = 0, most: int | None = None) -> DataFrame:
     """(keep, tokens, mask, at, seed): one row a seed."""
-    per_mask = F.array(*[F.struct(F.lit(k).alias("mask"), seeds_of(F.col(tokens), m).alias("seeds")) for k, m in enumerate(masks)])
+    per_mask = F.array(*[F.struct(F.lit(k).alias("mask"), seeds_of(F.col(tokens), m, skip, most).alias("seeds")) for k, m in enumerate(masks)])
     df = df.select(*keep, tokens, F.explode(per_mask).alias("m"))
     df = df.select(*keep, tokens, F.col("m.mask").alias("mask"), F.col("m.seeds").alias("seeds"))
     return df.select(*keep, tokens, "mask", F.posexplode("seeds").alias("at", "seed"))
 
 
+def chunks(df: DataFrame, span: int, *keep: str) -> DataFrame:
+    """(keep, tokens): pieces of CHUNK tokens with the EDGE before them and what a seed and its window may reach after them.
+
+    Seeds carry their piece along instead of the text, so a long text costs no more a word than a short one.
+    """
+    wide = F.concat(F.array_repeat(F.lit(None).cast("bigint"), EDGE), F.col("tokens"))
+    df = df.select(*keep, "tokens", wide.alias("wide"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - 1, F.lit(0)), F.lit(CHUNK))
+    pieces = F.transform(starts, lambda c: F.slice("wide", c + 1, CHUNK + 2 * EDGE + span - 1))
+    return df.select(*keep, F.explode(pieces).alias("tokens"))
+
+
 def masks_for(items: DataFrame) -> list[tuple[int, ...]]:
     """The spaced seeds, and one seed of all words for each length below theirs that some item has."""
     least = min(m[-1] + 1 for m in SEEDS)
@@ -79,12 +97,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = masks_for(items)
     seeds = small(stored(benchmark_seeds(items, masks), "benchmark-seeds").withColumnsRenamed({"mask": "seed_mask"}), BROADCAST)
     texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(F.coalesce(col("text").cast("string"), F.lit(""))).alias("content"), token_hashes(col("text")).alias("tokens"))
-    hits = _placed(texts, "tokens", masks, "doc_id", "content").join(seeds, "seed").filter("mask = seed_mask")
-    # the item's surroundings clipped to the document: what lies before its start or after its end counts as different
-    cut = F.greatest(F.col("left") - F.col("at"), F.lit(0))
-    theirs = F.slice("around", cut + 1, F.size("around"))
-    ours = F.slice("tokens", F.col("at") - F.col("left") + cut + 1, F.size("around") - cut)
-    hits = hits.select("doc_id", "content", "item_id", theirs.alias("theirs"), ours.alias("ours"), F.size("around").alias("wide"))
+    pieces = chunks(texts, max(m[-1] + 1 for m in masks), "doc_id", "content")
+    hits = _placed(pieces, "tokens", masks, "doc_id", "content", skip=EDGE, most=CHUNK).join(seeds, "seed").filter("mask = seed_mask")
+    # what would lie before the text's start or after its end is no token, and equal to none
+    ours = F.slice("tokens", F.col("at") - F.col("left") + (EDGE + 1), F.size("around"))
+    hits = hits.select("doc_id", "content", "item_id", F.col("around").alias("theirs"), ours.alias("ours"), F.size("around").alias("wide"))
     hits = hits.select("doc_id", "content", "item_id", "wide", best_overlap(F.col("ours"), F.col("theirs")).alias("equal"))
     need = F.when(F.col("wide") >= WINDOW, EQUAL).otherwise(F.col("wide") - F.floor(F.col("wide") / 6) * (F.col("wide") >= 10).cast("int"))
     return hits.filter(F.col("equal") >= need).groupBy("doc_id", "content", "item_id").agg(F.max("equal").alias("equal"))
