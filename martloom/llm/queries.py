@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, toxicity, warc
+from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, substring, toxicity, warc
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"), window=35, period=21, stable=True)
+
+
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op6_quality, op8_lm_scores, op9_simhash_near_dedup,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op6_quality, op7_substring_dedup, op8_lm_scores, op9_simhash_near_dedup,
                                         op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
@@ -125,3 +129,14 @@ bad AS (SELECT DISTINCT m.doc_id FROM (SELECT doc_id, lang, source, unnest([1, 2
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM m LEFT JOIN bad ON m.doc_id = bad.doc_id
 """
+
+ORACLE["op7_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+p AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM p QUALIFY count(*) OVER (PARTITION BY md5(s)) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM r),
+t AS (SELECT doc_id, k, ws[k] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS k FROM w)),
+k AS (SELECT t.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY t.k) AS kept FROM t LEFT JOIN c ON t.doc_id = c.doc_id AND t.k = c.k WHERE c.k IS NULL GROUP BY t.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id
+"""
