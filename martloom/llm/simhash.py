@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from martloom.llm.common import ascii_lower, col, packed, stored, text_of, words
 from martloom.llm.components import components
+from martloom.llm.repeats import numbered
 
 #: The eight bits of a byte, one to a byte of a 64-bit word: 255 hashes can be added up without a carry between bits.
 LANES = np.array([int.from_bytes(bytes((b >> k) & 1 for k in range(8)), "little") for b in range(256)], dtype=np.uint64)
@@ -117,3 +118,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> Da
     prints = stored(fingerprints(docs.select("doc_id", "text"), shingle).select(F.col("row.doc_id").alias("id"), "print"), "simhash-prints")
     found = prints.join(groups(prints, radius), "print")
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 5, radius: int = 2, stable: bool = False) -> DataFrame:
+    """``docs`` without near duplicates: of each component the row with the smallest doc_id stays, of repeated rows the first.
+
+    A NULL id is the smallest. NULL and blank texts are copies of each other. Empty table: no rows. All columns as they came.
+    ``stable`` says that ``docs`` is read straight from files, else it is written first.
+    """
+    rows = numbered(docs.select(packed(docs)), stable)
+    keyed = rows.select(F.struct(F.col("row.doc_id").alias("doc_id"), "id").alias("id"), F.col("row.text").alias("text"))
+    prints = stored(fingerprints(keyed, shingle).select("row.id", "print"), "simhash-rows")
+    gone = prints.join(groups(prints, radius), "print").filter("id <> component_id").select("id.id")
+    return rows.join(gone, "id", "left_anti").select("row.*")
