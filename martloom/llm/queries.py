@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, substring, toxicity, warc
+from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, substring, suffix, toxicity, warc
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(table(spark, sf_dir, "documents"), stable=True)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -50,7 +54,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op6_quality, op7_substring_dedup, op8_lm_scores, op9_simhash_near_dedup,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op5_suffix_dedup, op6_quality, op7_substring_dedup, op8_lm_scores, op9_simhash_near_dedup,
                                         op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
@@ -140,3 +144,16 @@ k AS (SELECT t.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY t.k) AS
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
+
+ORACLE["op5_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+p AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 100) AS s FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2 - 49)) AS i FROM d)),
+r AS (SELECT doc_id, i FROM p QUALIFY min(doc_id) OVER (PARTITION BY md5(s)) < doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM r),
+n AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < k - 1) AS n_spans
+      FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM c) GROUP BY doc_id),
+b AS (SELECT doc_id, k, substr(hx, 2 * k + 1, 2) AS byte FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2)) AS k FROM d)),
+t AS (SELECT b.doc_id, string_agg(byte, '' ORDER BY b.k) AS kept FROM b LEFT JOIN c ON b.doc_id = c.doc_id AND b.k = c.k WHERE c.k IS NULL GROUP BY b.doc_id)
+SELECT d.doc_id, CAST(len(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
