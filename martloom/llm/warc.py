@@ -263,7 +263,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             packs[-1].append((x.path, x.size))
             held += x.size
-        return [Files(p) for p in packs]
+        return [Files(p) for p in packs or [[]]]  # no archive is one task without work
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         fs, _ = file_system(self.path)
