@@ -86,11 +86,10 @@ def send(ids: np.ndarray, pos: np.ndarray, keys: list[np.ndarray], buckets: int)
     bucket = (keys[0][first] % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
     first, twice, bucket = first[by_bucket], (sizes > 1)[by_bucket], bucket[by_bucket]
-    base = int(ids.min()) if len(ids) else 0
     cut = np.concatenate([[0], np.nonzero(np.diff(bucket))[0] + 1, [len(bucket)]]) if len(bucket) else [0]
     for a, b in zip(cut[:-1], cut[1:]):
         pick = first[a:b]
-        data = [np.array([b - a, base], np.int64).tobytes(), planes((ids[pick] - base).astype(np.uint32)), planes(pos[pick].astype(np.uint32)), twice[a:b].astype(np.uint8).tobytes()]
+        data = [np.array([b - a], np.int64).tobytes(), planes(ids[pick]), planes(pos[pick].astype(np.uint32)), twice[a:b].astype(np.uint8).tobytes()]
         out_data.append(b"".join(data + [planes(k[pick]) for k in keys]))
         out_ids.append(None)
         rows.append(bucket[a:a + 1])
@@ -107,9 +106,9 @@ def answer(width: int) -> Callable[[pa.Table], pa.Table]:
                 out_ids.append(row)
                 out_data.append(data)
                 continue
-            n, base = np.frombuffer(data, np.int64, 2).tolist()
-            idx, at = unplanes(data, 16, n, np.uint32)
-            ids.append(idx.astype(np.int64) + base)
+            n = int(np.frombuffer(data, np.int64, 1)[0])
+            idx, at = unplanes(data, 8, n, np.int64)
+            ids.append(idx)
             p, at = unplanes(data, at, n, np.uint32)
             pos.append(p)
             twice.append(np.frombuffer(data, np.uint8, n, at))

@@ -146,7 +146,7 @@ def _contexts(buckets: int):
                 out_ids.append(None)
                 out_data.append(pickle.dumps((
                     np.array([e[0] for e in entries], np.uint64), np.array([len(e[1]) for e in entries], np.uint16), np.array([e[2] for e in entries], np.int64),
-                    np.array(counts, np.uint32), int(places[:, 0].min()), (places[:, 0] - places[:, 0].min()).astype(np.uint32), places[:, 1].astype(np.uint32),
+                    np.array(counts, np.uint32), places[:, 0].copy(), places[:, 1].astype(np.uint32),
                     b"".join(e[1] for e in entries)), 5))
             yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(out_ids, pa.int64()), pa.array(out_data, pa.binary())], ["bucket", "id", "data"])
     return run
@@ -224,9 +224,9 @@ def _decide(table: pa.Table) -> pa.Table:
             out_ids.append(row)
             out_data.append(data)
             continue
-        h, length, owner, counts, base, rows, at, raw = pickle.loads(data)
+        h, length, owner, counts, rows, at, raw = pickle.loads(data)
         begin, place = 0, 0
-        rows, at = (rows.astype(np.int64) + base).tolist(), at.tolist()
+        rows, at = rows.tolist(), at.tolist()
         for hash_, size, doc, n in zip(h.tolist(), length.tolist(), owner.tolist(), counts.tolist()):
             context, places = raw[begin:begin + size], list(zip(rows[place:place + n], at[place:place + n]))
             begin, place = begin + size, place + n

@@ -180,7 +180,7 @@ def test_records_survive_and_unwanted_ones_are_skipped(tmp_path, compressed, mon
 
 def test_packed_places_come_back_by_row():
     from martloom.llm import repeats
-    ids, pos, h = np.array([7, 7, 9, 9, 9]), np.array([0, 5, 1, 2, 3]), np.array([10, 11, 10, 12, 11], np.uint64)
+    ids, pos, h = np.array([7, 7, 9 + (5 << 33), 9 + (5 << 33), 9 + (5 << 33)]), np.array([0, 5, 1, 2, 3]), np.array([10, 11, 10, 12, 11], np.uint64)
     sent = repeats.send(ids, pos, [h], 4)
     table = pa.Table.from_batches([sent])
     got = {}
@@ -188,4 +188,4 @@ def test_packed_places_come_back_by_row():
         part = repeats.answer(1)(table.filter(pa.compute.equal(table["bucket"], b)))
         for i, d in zip(part["id"].to_pylist(), part["data"].to_pylist()):
             got.setdefault(i, []).append(d)
-    assert {i: sorted(repeats.positions(d).tolist()) for i, d in got.items()} == {7: [0, 5], 9: [1, 3]}
+    assert {i: sorted(repeats.positions(d).tolist()) for i, d in got.items()} == {7: [0, 5], 9 + (5 << 33): [1, 3]}
