@@ -30,6 +30,13 @@ def first_in_text(col: Column) -> Column:
     return F.when(parsed.isNotNull(), first_value(parsed)).otherwise(col)
 
 
+def _list_text(as_json: Column, text: Column) -> Column:
+    """Items of a list joined. As variants its items still tell a boolean from the text ``true``."""
+    items = F.transform(F.from_json(as_json, "array<variant>"), lambda x: F.when(F.schema_of_variant(x) == "BOOLEAN", F.initcap(x.cast("string"))))
+    plain = F.from_json(text, "array<string>")
+    return join_list(F.transform(plain, lambda x, i: F.coalesce(F.get(items, i), x)))
+
+
 def typed_text(col: Column, text: Column) -> Column:
     """Text of a variant cell: lists joined, booleans as 0 and 1, the rest as it reads.
 
@@ -38,7 +45,7 @@ def typed_text(col: Column, text: Column) -> Column:
     """
     as_json = F.to_json(col)
     return (
-        F.when(text.startswith("["), F.when(as_json.startswith("["), join_list(F.from_json(text, "array<string>"))).otherwise(text))
+        F.when(text.startswith("["), F.when(as_json.startswith("["), _list_text(as_json, text)).otherwise(text))
         .when(text == "false", F.when(as_json == "false", "0").otherwise(text))
         .when(text == "true", F.when(as_json == "true", "1").otherwise(text))
         .otherwise(text)

@@ -13,22 +13,19 @@ from martloom.session import shuffle_width
 
 #: Copies of one row that a single task writes before the work is handed to others.
 COPIES_PER_SLICE = 100_000
-#: Rows of one join key that a single task handles before the key is salted.
-ROWS_PER_SALT = 1_000_000
-#: Keys that may be salted in one join. It bounds the broadcast, not the result: every other key
-#: takes the plain shuffle join.
-MAX_SALTED_KEYS = 10_000
+#: Places over which rows without a key are spread; they match nothing, wherever they are.
+KEYLESS_WAYS = 1024
 
 
 def _same_type(left: DataFrame, lcol: str, right: DataFrame, rcol: str) -> tuple[Column, Column]:
-    """Both keys as columns of one type, text ids read as numbers when the other side is numeric."""
+    """Both keys as columns of one type; where one side is numeric, text that is no whole number matches nothing."""
     l_text = isinstance(left.schema[lcol].dataType, StringType)
     r_text = isinstance(right.schema[rcol].dataType, StringType)
     l, r = F.col(f"l.`{lcol}`"), F.col(f"r.`{rcol}`")
     if l_text and not r_text:
-        l = fn.first_id(l)
+        l = fn.to_id(l)
     if r_text and not l_text:
-        r = fn.first_id(r)
+        r = fn.to_id(r)
     return l, r
 
 
@@ -39,47 +36,18 @@ def equi_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str)
     return joined.select("l.*") if how in ("left_semi", "left_anti") else joined.select("l.*", "r.*")
 
 
-def frequent_keys(df: DataFrame, key: Column, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Key values (NULL included) with more rows than one task should handle, and how many tasks they need.
+def spread_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str = "left") -> DataFrame:
+    """:func:`equi_join` where many left rows may have no key.
 
-    Counts are partial per task before they are shuffled. At most ``MAX_SALTED_KEYS`` rows.
-    """
-    counts = df.select(key.alias("_hot")).groupBy("_hot").count().where(F.col("count") > rows_per_salt)
-    top = counts.orderBy(F.col("count").desc(), F.col("_hot").asc()).limit(MAX_SALTED_KEYS)
-    return top.select("_hot", F.ceil(F.col("count") / F.lit(rows_per_salt)).cast("int").alias("_ways"))
-
-
-def salted_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, how: str = "left",
-                rows_per_salt: int = ROWS_PER_SALT, count_in: DataFrame | None = None) -> DataFrame:
-    """:func:`equi_join` that spreads very frequent keys of the left side over many tasks.
-
-    The frequent keys are counted first; the bounded list of them comes to the driver, and when it
-    is empty the plain join is returned. Otherwise their left rows get a salt from a hash of
-    the row, their right rows are repeated once per salt, and the join is on key and salt. Left
-    rows without a key cannot match and are spread the same way. Results do not change.
-
-    ``count_in`` is a table with the same key column to count in, where ``left`` is costly to
-    compute twice; the table it was joined from will do.
+    Rows without a key would meet in one task. A second join column, a hash of the row where the key is NULL and 0 elsewhere,
+    spreads them; frequent keys are left to the adaptive skew join. The plan is the same whatever the data, and nothing is counted first.
     """
     l, r = _same_type(left, lcol, right, rcol)
-    counted = (left if count_in is None else count_in).alias("l")
-    hot = frequent_keys(counted, l, rows_per_salt)
-    found = hot.collect()
-    if not found:
-        return equi_join(left, right, lcol, rcol, how)
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
-
-    def ways(side: DataFrame) -> DataFrame:
-        joined = side.join(hot, F.col("_key").eqNullSafe(F.col("_hot")), "left").drop("_hot")
-        return joined.withColumn("_ways", F.coalesce("_ways", F.lit(1)))
-
-    hashed = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
-    lhs = ways(left.alias("l").select("l.*", l.alias("_key")))
-    lhs = lhs.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.col("_ways")).cast("int"))
-    rhs = ways(right.alias("r").select("r.*", r.alias("_key")).where("_key is not null"))
-    rhs = rhs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ways") - 1)))
-
-    joined = lhs.alias("l").join(rhs.alias("r"), F.expr("l._key = r._key and l._salt = r._salt"), how)
+    hashed = [F.col(f"l.`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
+    place = F.when(l.isNull(), F.pmod(F.xxhash64(*hashed), F.lit(KEYLESS_WAYS))).otherwise(F.lit(0)).cast("int")
+    lhs = left.alias("l").select("l.*", l.alias("_key"), place.alias("_place"))
+    rhs = right.alias("r").select("r.*", r.alias("_key"), F.lit(0).alias("_place")).where("_key is not null")
+    joined = lhs.alias("l").join(rhs.alias("r"), F.expr("l._key = r._key and l._place = r._place"), how)
     out = [f"l.`{c}`" for c in left.columns]
     if how not in ("left_semi", "left_anti"):
         out += [f"r.`{c}`" for c in right.columns]
@@ -98,7 +66,7 @@ def chain(base: DataFrame, extras: Sequence[tuple[DataFrame, str]], key: str = "
     out = base
     for table, table_key in extras:
         rest = drop_shared(out, table, keep=(*keep, table_key))
-        join = salted_join if spread else equi_join
+        join = spread_join if spread else equi_join
         out = join(out, rest, key, table_key, how)
     return out
 
@@ -115,13 +83,12 @@ def one_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
 
 
 def enrich_left(df: DataFrame, other: DataFrame, on: tuple[str, str], columns: Mapping[str, str],
-                order_by: Sequence[str] = ("ID",), spread: bool = False, count_in: DataFrame | None = None,
-                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+                order_by: Sequence[str] = ("ID",), spread: bool = False) -> DataFrame:
     """Set the new columns from the matching row of ``other``, NULL where nothing matches.
 
     ``columns`` maps source columns to their new names. Where several rows match, the first in
     ``order_by`` is used, so the result does not depend on the run. Rows never multiply.
-    ``spread`` salts frequent keys of ``df``; use it where its key is not unique.
+    ``spread`` keeps rows of ``df`` without a key apart; use it where the key is no primary key.
     """
     left_key, right_key = on
     ties = [c for c in columns if c not in order_by]
@@ -129,11 +96,8 @@ def enrich_left(df: DataFrame, other: DataFrame, on: tuple[str, str], columns: M
     best = one_per_key(narrow, right_key, (*order_by, *ties))
     best = best.select(F.col(right_key).alias("_match"), *[F.col(c).alias(n) for c, n in columns.items()])
     rows = df.drop(*columns.values())
-    if spread:
-        out = salted_join(rows, best, left_key, "_match", "left", rows_per_salt, count_in)
-    else:
-        out = equi_join(rows, best, left_key, "_match", "left")
-    return out.drop("_match")
+    join = spread_join if spread else equi_join
+    return join(rows, best, left_key, "_match", "left").drop("_match")
 
 
 def role_counts(relation: DataFrame, roles: Mapping[str, str], multi: str = "first") -> DataFrame:

@@ -6,12 +6,12 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import (
-    DoubleType, FloatType, IntegerType, StringType, StructField, StructType, TimestampNTZType,
+    DoubleType, FloatType, LongType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from martloom import functions as fn
 from martloom.operators.quality import check_int_key
-from martloom.sources.tables import MAIN, has_table, load_table, table_path
+from martloom.sources.tables import MAIN, has_table, load_table, read_stored, table_path
 
 # The audit table.
 SYNC_LOG = "synchronization_log"
@@ -19,8 +19,8 @@ SYNC_SCHEMA = StructType([
     StructField("timestamp", TimestampNTZType()),
     StructField("database_name", StringType()),
     StructField("table_name", StringType()),
-    StructField("db_entry_count", IntegerType()),
-    StructField("crm_entry_count", IntegerType()),
+    StructField("db_entry_count", LongType()),
+    StructField("crm_entry_count", LongType()),
     StructField("error_message", StringType()),
 ])
 
@@ -88,7 +88,7 @@ def _swap(df: DataFrame, path: str) -> int:
 
 def _aligned(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    return align_additive(df, spark.read.parquet(path).schema) if has_table(spark, path) else df
+    return align_additive(df, read_stored(spark, path).schema) if has_table(spark, path) else df
 
 
 def replace_table(df: DataFrame, path: str) -> int:
@@ -119,7 +119,7 @@ def append_new(df: DataFrame, path: str, id_col: str) -> None:
     """Add the rows whose id is not stored yet."""
     spark = df.sparkSession
     if has_table(spark, path):
-        stored = spark.read.parquet(path)
+        stored = read_stored(spark, path)
         fresh = df.join(stored.select(id_col), id_col, "left_anti").select(*df.columns)
         df = align_additive(fresh, stored.schema)
     df.write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegralType, StructField
+from pyspark.sql.types import DateType, IntegralType, StructField, TimestampNTZType, TimestampType
 
 from martloom import functions as fn
 
@@ -69,6 +69,8 @@ def _vote(field: StructField) -> Column:
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, IntegralType):
         return F.when(col.isNotNull(), _WHOLE)
+    if isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType)):
+        return F.when(col.isNotNull(), _DATE)
     value = col.cast("string")
     # no value is both whole or fractional and a date, so the dates can wait unless they start with 0
     return (

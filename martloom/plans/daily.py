@@ -8,7 +8,7 @@ Pages land as text files, one JSON document per line, below ``<landing>/<databas
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -21,7 +21,7 @@ from martloom.plans.refresh import refresh_connector, refresh_entity, run_all
 from martloom.sources.catalogs import (
     entity_type_ids, field_catalogue, list_catalogue, positive_ids, rows_for_owners,
 )
-from martloom.sources.pages import dedupe_pages, read_envelope, unwrap_first, unwrap_key
+from martloom.sources.pages import read_envelope, unwrap_first, unwrap_key
 from martloom.sources.tables import load_table
 
 
@@ -34,9 +34,12 @@ class Source:
     product_rows: Mapping[str, str] = field(default_factory=dict)
     invoice_columns: list[str] | None = None
     connector: bool = True
+    #: Columns that are not stored, by table; sources differ in them.
+    excluded: Mapping[str, Sequence[str]] = field(default_factory=lambda: S.EXCLUDED_COLUMNS)
 
 
-Job = tuple[str, Callable[[], bool]]
+#: A table and its load, or a catalogue and what makes the jobs it lists.
+Job = tuple[str, Callable[[], "bool | list[Job]"]]
 
 
 def _text(spark: SparkSession, landing: str, source: Source, name: str) -> DataFrame:
@@ -45,9 +48,9 @@ def _text(spark: SparkSession, landing: str, source: Source, name: str) -> DataF
 
 def list_jobs(spark: SparkSession, landing: str, root: str, source: Source, at: datetime) -> list[Job]:
     """One job per list of the list catalogue; the catalogue's names come to the driver."""
-    rows = read_envelope(_text(spark, landing, source, "lists"), "value").select(
-        F.col("row")["NAME"].alias("NAME"), F.col("row")["ID"].alias("ID"))
-    rows = rows.withColumn("position", F.col("ID").try_cast("bigint"))
+    pages = _text(spark, landing, source, "lists").withColumn("page", F.monotonically_increasing_id())
+    rows = read_envelope(pages, "value", keep=["page"], place="place").select(
+        F.col("row")["NAME"].alias("NAME"), F.col("row")["ID"].alias("ID"), F.struct("page", "place").alias("position"))
 
     def job(name: str, list_id: str) -> Job:
         return f"entity_{name}", lambda: refresh_entity(
@@ -66,7 +69,7 @@ def type_jobs(spark: SparkSession, landing: str, root: str, source: Source, at:
         include = source.invoice_columns if type_id == S.INVOICE_TYPE else None
         return f"entity_{type_id}", lambda: refresh_entity(
             _text(spark, landing, source, f"item/{type_id}"), root, str(type_id), at, source.database,
-            items="items", include=include, exclude=S.EXCLUDED_COLUMNS.get(f"entity_{type_id}", ()), find_dates=True)
+            items="items", include=include, exclude=source.excluded.get(f"entity_{type_id}", ()), find_dates=True)
 
     return [job(r.entity_type_id) for r in ids.distinct().orderBy("entity_type_id").collect()]
 
@@ -98,7 +101,8 @@ def product_row_job(spark: SparkSession, landing: str, root: str, source: Source
 def daily_jobs(spark: SparkSession, landing: str, root: str, source: Source, at: datetime) -> list[Job]:
     """Every table of a source in loading order.
 
-    Product rows are picked by the stored smart entities, which are loaded in the same run, so they
+    The jobs of a catalogue are made when its turn comes, so a missing catalogue stops neither what comes before it nor
+    what comes after. Product rows are picked by the stored smart entities, which are loaded in the same run, so they
     come after them.
     """
     def pages(name: str) -> DataFrame:
@@ -109,17 +113,28 @@ def daily_jobs(spark: SparkSession, landing: str, root: str, source: Source, at:
     if source.product_sections:
         jobs.append(("entity_productsection", lambda: refresh_entity(
             pages("productsection"), root, "productsection", at, source.database,
-            reshape=lambda rows: dedupe_pages(rows, "ID"))))
-    jobs += list_jobs(spark, landing, root, source, at)
-    jobs += type_jobs(spark, landing, root, source, at)
+            once_by="ID")))
+    jobs += [("lists", lambda: list_jobs(spark, landing, root, source, at)), ("types", lambda: type_jobs(spark, landing, root, source, at))]
     jobs += [product_row_job(spark, landing, root, source, at, o, t) for o, t in source.product_rows.items()]
     jobs += [entity_job(spark, landing, root, source, at, e) for e in S.RECREATED]
     if source.connector:
-        jobs += [(t, lambda t=t: refresh_connector(pages(f"connector/{t}"), root, t, source.database))
+        jobs += [(t, lambda t=t: refresh_connector(
+            pages(f"connector/{t}"), root, t, source.database, exclude=source.excluded.get(t, ())))
                  for t in S.CONNECTOR_TABLES]
     return jobs
 
 
+def run_sources(spark: SparkSession, landing: str, root: str, sources: Sequence[Source], at: datetime) -> dict[str, list[str]]:
+    """Run all sources in turn; the failed tables of each. A source that fails as a whole is listed as ``*`` and the others go on."""
+    failed = {}
+    for source in sources:
+        try:
+            failed[source.database] = run_source(spark, landing, root, source, at)
+        except Exception:  # noqa: BLE001 - one source must not stop the others
+            failed[source.database] = ["*"]
+    return failed
+
+
 def run_source(spark: SparkSession, landing: str, root: str, source: Source, at: datetime) -> list[str]:
     """Reset the audit table, run every job, and return the tables that failed."""
     reset_log(spark, root, source.database)

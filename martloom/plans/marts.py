@@ -12,7 +12,7 @@ from martloom import settings as S
 from martloom.functions import to_id
 from martloom.operators.columns import prefix_columns
 from martloom.operators.filters import by_category, by_flag, int_ids
-from martloom.operators.joins import ROWS_PER_SALT, chain, enrich_left, rows_by_flags, rows_by_roles
+from martloom.operators.joins import chain, enrich_left, rows_by_flags, rows_by_roles
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
 from martloom.sources.tables import MAIN, has_column, load_table
@@ -143,8 +143,7 @@ def clean_ids(tables: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return ChainMap(typed, tables)
 
 
-def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = None,
-                   rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = None) -> DataFrame:
     """Leads with columns of their contact and of their first deal.
 
     ``leads`` is the lead mart; by default it is built here. Only the columns that are needed are
@@ -163,8 +162,7 @@ def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = No
     # deals first: their join is on the id by which the leads are partitioned already
     out = enrich_left(leads, deals, ("ID", "LEAD_ID"), S.LEAD_FROM_DEAL)
     contacts = tables["crm_contact"].select("ID", *S.LEAD_FROM_CONTACT)
-    out = enrich_left(out, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT, spread=True,
-                      count_in=tables["crm_lead"], rows_per_salt=rows_per_salt)
+    out = enrich_left(out, contacts, ("CONTACT_ID", "ID"), S.LEAD_FROM_CONTACT, spread=True)
     own = [c for c in leads.columns if c not in (*S.LEAD_FROM_CONTACT.values(), *S.LEAD_FROM_DEAL.values())]
     return out.select(*own, *S.LEAD_FROM_CONTACT.values(), *S.LEAD_FROM_DEAL.values())
 
@@ -179,32 +177,47 @@ def mart_path(root: str, name: str) -> str:
 
 
 def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, clean: bool = True,
-              multi: str = "first", dedupe: bool = False, ranged: bool = True) -> list[str]:
-    """Write all 22 marts below ``root`` and return their names.
+              multi: str = "first", dedupe: bool = False, ranged: bool = False, failed: dict[str, str] | None = None) -> list[str]:
+    """Write all 22 marts below ``root`` and return the names of those written.
 
     The contact and the deal chain are joined once and written as their marts; the flag, role and
-    category marts are derived from the written tables, one job per family, which also cuts the
+    category marts and the enriched leads are derived from the written tables, one job per family, which also cuts the
     lineage. ``clean`` types the ids first; without it they are only typed for the enriched
-    leads. ``ranged=False`` keeps the partitioning of the joins for the two large marts and
-    orders each file only, which saves a shuffle of all their rows.
+    leads. ``ranged`` sorts the two large marts over all their files, for another shuffle of all their rows.
+
+    A family that fails does not stop the others, unless they are derived from it. With ``failed`` its names and first line of error
+    are put there; without it the first error is raised when all families have had their turn.
     """
     root = root.rstrip("/")
     used = clean_ids(tables) if clean else tables
-
-    write_mart(entity_chain(used, "contact"), f"{root}/contacts", ["ID"], ranged=ranged)
-    contacts = spark.read.parquet(f"{root}/contacts")
-    write_mart(contacts_by_flags(contacts), f"{root}/contacts_by_flag", ["ID"], by="mart")
-    by_deal = contacts_by_roles(contacts, used["entity_deal"], S.DEAL_ROLES, multi, dedupe)
-    write_mart(by_deal, f"{root}/contacts_by_deal_role", ["ID"], by="mart", ties=["_slice"])
-    by_company = contacts_by_roles(contacts, used["entity_company"], S.COMPANY_ROLES, multi, dedupe)
-    write_mart(by_company, f"{root}/contacts_by_company_role", ["CONTACT_ID", "ID"], by="mart", ties=["_slice"])
-
-    write_mart(entity_chain(used, "deal"), f"{root}/deals", ["ID"], ranged=ranged)
-    deals = spark.read.parquet(f"{root}/deals")
-    write_mart(deals_by_categories(deals), f"{root}/deals_by_category", ["ID"], by="mart")
-
-    write_mart(entity_chain(used, "lead", "inner"), f"{root}/leads")
-    leads = spark.read.parquet(f"{root}/leads")
-    write_mart(enriched_leads(tables, leads), f"{root}/leads_enriched")
-    write_mart(entity_chain(used, "company", "inner"), f"{root}/companies")
-    return [*BY_NAME, ENRICHED_LEADS[0]]
+    stored = lambda name: spark.read.parquet(f"{root}/{name}")
+
+    def enriched() -> DataFrame:
+        # the written marts have all columns that the leads take, so contacts and deals are not joined again
+        finished = ChainMap({"crm_contact": stored("contacts"), "crm_deal": stored("deals")}, tables)
+        return enriched_leads(finished, stored("leads"))
+
+    families = [
+        (["contacts"], lambda: write_mart(entity_chain(used, "contact"), f"{root}/contacts", ["ID"], ranged=ranged)),
+        (list(S.CONTACT_FLAGS), lambda: write_mart(contacts_by_flags(stored("contacts")), f"{root}/contacts_by_flag", ["ID"], by="mart")),
+        (list(S.DEAL_ROLES), lambda: write_mart(contacts_by_roles(stored("contacts"), used["entity_deal"], S.DEAL_ROLES, multi, dedupe),
+                                                f"{root}/contacts_by_deal_role", ["ID"], by="mart", ties=["_slice"])),
+        (list(S.COMPANY_ROLES), lambda: write_mart(contacts_by_roles(stored("contacts"), used["entity_company"], S.COMPANY_ROLES, multi, dedupe),
+                                                   f"{root}/contacts_by_company_role", ["CONTACT_ID", "ID"], by="mart", ties=["_slice"])),
+        (["deals"], lambda: write_mart(entity_chain(used, "deal"), f"{root}/deals", ["ID"], ranged=ranged)),
+        (list(S.DEAL_CATEGORIES), lambda: write_mart(deals_by_categories(stored("deals")), f"{root}/deals_by_category", ["ID"], by="mart")),
+        (["leads"], lambda: write_mart(entity_chain(used, "lead", "inner"), f"{root}/leads")),
+        ([ENRICHED_LEADS[0]], lambda: write_mart(enriched(), f"{root}/leads_enriched")),
+        (["companies"], lambda: write_mart(entity_chain(used, "company", "inner"), f"{root}/companies")),
+    ]
+    errors: dict[str, Exception] = {}
+    for names, write in families:
+        try:
+            write()
+        except Exception as e:  # noqa: BLE001 - one mart must not stop the others
+            errors |= dict.fromkeys(names, e)
+    if errors and failed is None:
+        raise next(iter(errors.values()))
+    if failed is not None:
+        failed |= {name: (str(e).splitlines() or [type(e).__name__])[0] for name, e in errors.items()}
+    return [name for name in (*BY_NAME, ENRICHED_LEADS[0]) if name not in errors]

@@ -12,7 +12,7 @@ from martloom.functions.cleaning import clean_connector, clean_entity
 from martloom.operators.columns import drop_columns, keep_columns
 from martloom.operators.loading import SYNC_SCHEMA, load_if_nonempty, log_sync, retype_dates
 from martloom.operators.quality import date_columns
-from martloom.sources.pages import TYPED_ROWS, matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
+from martloom.sources.pages import TYPED_ROWS, dedupe_pages, matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
 from martloom.sources.tables import MAIN, table_path
 
 
@@ -29,11 +29,12 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
                    json_col: str = "value", payload: str = "result", items: str | None = None,
                    fields: Sequence[str] | None = None, reshape: Callable[[DataFrame], DataFrame] | None = None,
                    include: Sequence[str] | None = None, exclude: Sequence[str] = (),
-                   find_dates: bool = False, recreate: bool = False) -> bool:
+                   find_dates: bool = False, recreate: bool = False, once_by: str | None = None) -> bool:
     """Load ``entity_<entity>`` from landed API pages; False when there was nothing to load.
 
     ``fields`` lists the columns to take (all that occur, by default), ``reshape`` works on the raw
-    columns before they are cleaned (unwrapping properties, dropping repeats, picking owners),
+    columns before they are cleaned (unwrapping properties, picking owners), ``once_by`` is an id that
+    counts once, from the earliest page that has it,
     ``find_dates`` types columns made of timestamps only, ``recreate`` drops the stored schema.
     The audit row holds the stored and the declared count.
     """
@@ -44,7 +45,14 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
         declared = pages.agg(total.alias("n")).first().n
     if not fields:
         return False
-    raw = spread_map(read_envelope(pages, json_col, payload, items, TYPED_ROWS), fields)
+    if once_by:
+        # pages are lines of files, numbered in the order in which they were landed
+        numbered = pages.withColumn("_page_number", F.monotonically_increasing_id())
+        rows = read_envelope(numbered, json_col, payload, items, TYPED_ROWS, keep=["_page_number"])
+        first = dedupe_pages(rows.withColumn("_id", F.try_element_at("row", F.lit(once_by)).cast("string")), "_id", "_page_number")
+        raw = spread_map(first, fields)
+    else:
+        raw = spread_map(read_envelope(pages, json_col, payload, items, TYPED_ROWS), fields)
     raw = reshape(raw) if reshape else raw
     if include is not None:
         raw, _ = keep_columns(raw, include)
@@ -60,27 +68,35 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
 
 
 def refresh_connector(documents: DataFrame, root: str, table: str, database: str = MAIN,
-                      json_col: str = "value", empty_for_null: bool = False) -> bool:
-    """Load a connector table from landed header-row matrices; it has no declared count and no audit row."""
+                      json_col: str = "value", empty_for_null: bool = False,
+                      exclude: Sequence[str] | None = None) -> bool:
+    """Load a connector table from landed header-row matrices; it has no declared count and no audit row.
+
+    ``exclude`` lists the columns that are not stored, by default those of the settings.
+    """
+    exclude = S.EXCLUDED_COLUMNS.get(table, []) if exclude is None else exclude
     columns = matrix_columns(documents, json_col)
     if not columns:
         return False
     rows = read_matrix(documents, json_col, columns)
-    rows = clean_connector(drop_columns(rows, S.EXCLUDED_COLUMNS.get(table, [])), empty_for_null)
+    rows = clean_connector(drop_columns(rows, exclude), empty_for_null)
     return load_if_nonempty(rows, table_path(root, table, database)) > 0
 
 
-def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], bool]]], root: str, at: datetime,
+def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], bool | list]]], root: str, at: datetime,
             database: str = MAIN) -> list[str]:
-    """Run the named jobs in turn. A job that fails leaves an audit row with its error; the others go on.
+    """Run the named jobs in turn; a job that returns a list has made jobs, which are run next. A job that fails leaves an audit row
+    with its error; the others go on.
 
     Returns the names of the failed ones.
     """
     failed = []
     for table, job in jobs:
         try:
-            job()
+            more = job()
+            if isinstance(more, list):
+                failed += run_all(spark, more, root, at, database)
         except Exception as e:  # noqa: BLE001 - one source must not stop the others
             failed.append(table)
-            log_sync(audit_row(spark, at, database, table, 0, None, str(e)), root, database)
+            log_sync(audit_row(spark, at, database, table, 0, None, (str(e).splitlines() or [type(e).__name__])[0]), root, database)
     return failed

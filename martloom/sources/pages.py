@@ -12,6 +12,8 @@ from martloom import settings as S
 
 #: Row schema that remembers whether a cell was a list, a boolean, a number or text.
 TYPED_ROWS = "map<string,variant>"
+#: Column that holds a page which is no complete JSON.
+CORRUPT = "_corrupt_record"
 
 
 def read_envelope(
@@ -21,18 +23,21 @@ def read_envelope(
     items: str | None = None,
     row_schema: str = "map<string,string>",
     keep: Sequence[str] = (),
+    place: str | None = None,
 ) -> DataFrame:
     """Records of ``{"<payload>": [...], "total": n}`` pages, as columns ``row`` and ``total``.
 
     ``items`` names the list inside a nested envelope ``{"result": {"items": [...]}}``.
     A page without the payload gives no rows. ``keep`` carries page columns along, such as the
-    page number that :func:`dedupe_pages` orders by.
+    page number that :func:`dedupe_pages` orders by; ``place`` names a column for the record's place in its page.
     """
     body = f"array<{row_schema}>" if items is None else f"struct<`{items}`: array<{row_schema}>>"
     page = F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint")
     parsed = df.select(*keep, page.alias("_page"))
     rows = F.col(f"_page.`{payload}`" if items is None else f"_page.`{payload}`.`{items}`")
-    return parsed.select(*keep, F.explode(rows).alias("row"), F.col("_page.total").alias("total"))
+    if place is None:
+        return parsed.select(*keep, F.explode(rows).alias("row"), F.col("_page.total").alias("total")).where("row is not null")
+    return parsed.select(*keep, F.posexplode(rows).alias(place, "row"), F.col("_page.total").alias("total")).where("row is not null")
 
 
 def page_totals(df: DataFrame, json_col: str, by: str) -> DataFrame:
@@ -50,16 +55,20 @@ def field_names(df: DataFrame, map_col: str = "row") -> list[str]:
 def survey_pages(df: DataFrame, json_col: str, payload: str = "result", items: str | None = None) -> tuple[list[str], int | None]:
     """Names of all fields that occur and the largest declared total, from one pass over the pages.
 
+    A page that is no complete JSON raises an error, so that a load keeps the old table. Records that are ``null`` are passed over.
+
     Names are distinct per page and per task before they are shuffled; one row per name comes to
     the driver.
     """
     rows = "array<map<string,string>>"
     body = rows if items is None else f"struct<`{items}`: {rows}>"
-    page = df.select(F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint").alias("_page"))
+    page = df.select(F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}).alias("_page"))
     records = F.col(f"_page.`{payload}`" if items is None else f"_page.`{payload}`.`{items}`")
-    names = F.array_distinct(F.flatten(F.transform(records, F.map_keys)))
-    found = page.select(F.explode_outer(names).alias("name"), F.col("_page.total").alias("total"))
-    found = found.groupBy("name").agg(F.max("total").alias("total")).collect()
+    names = F.array_distinct(F.flatten(F.transform(F.filter(records, lambda r: r.isNotNull()), F.map_keys)))
+    found = page.select(F.explode_outer(names).alias("name"), F.col("_page.total").alias("total"), F.col(f"_page.`{CORRUPT}`").isNotNull().alias("bad"))
+    found = found.groupBy("name").agg(F.max("total").alias("total"), F.count_if("bad").alias("bad")).collect()
+    if bad := sum(r.bad for r in found if r.name is None):
+        raise ValueError(f"{bad} landed pages are no complete JSON")
     totals = [r.total for r in found if r.total is not None]
     return sorted(r.name for r in found if r.name is not None), max(totals, default=None)
 
@@ -108,9 +117,16 @@ def read_matrix(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFra
 
 
 def matrix_columns(df: DataFrame, json_col: str) -> list[str]:
-    """Sorted names in the headers of all documents; only the distinct names come to the driver."""
-    head = F.get(F.from_json(F.col(json_col), "array<array<string>>"), F.lit(0))
-    return sorted(r.c for r in df.select(F.explode(head).alias("c")).distinct().collect())
+    """Sorted names in the headers of all documents; only the distinct names come to the driver.
+
+    A document that is no complete JSON raises an error, so that a load keeps the old table.
+    """
+    doc = F.from_json(F.col(json_col), "array<array<string>>")
+    read = df.select(F.explode_outer(F.get(doc, F.lit(0))).alias("c"), (doc.isNull() & (F.trim(F.col(json_col)) != "")).alias("bad"))
+    found = read.groupBy("c").agg(F.count_if("bad").alias("bad")).collect()
+    if bad := sum(r.bad for r in found):
+        raise ValueError(f"{bad} landed documents are no complete JSON")
+    return sorted(r.c for r in found if r.c is not None)
 
 
 def _unwrap(df: DataFrame, prefix: str, on_map, on_text) -> DataFrame:

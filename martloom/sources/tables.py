@@ -1,7 +1,8 @@
 """Stored tables: Parquet folders under one root, partitioned by source database.
 
 ``<root>/<table>/database_name=<database>`` holds one source's rows. Reading the table folder gives
-all sources with a ``database_name`` column, and a filter on it reads only the folders it names.
+all sources with a ``database_name`` column (with :func:`read_stored`, so that columns of one source only are not lost), and a
+filter on it reads only the folders it names.
 """
 
 from __future__ import annotations
@@ -19,8 +20,13 @@ def table_path(root: str, name: str, database: str = MAIN) -> str:
 
 
 def load_table(spark: SparkSession, root: str, name: str, database: str = MAIN) -> DataFrame:
-    """All rows that one source has in a stored table."""
-    return spark.read.parquet(table_path(root, name, database))
+    """All rows that one source has in a stored table, with the columns of all its files."""
+    return read_stored(spark, table_path(root, name, database))
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A folder whose files may have different columns, because rows were appended or sources differ: it has all of them."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, id_col: str, lower: int, upper: int,
@@ -43,7 +49,7 @@ def has_table(spark: SparkSession, path: str) -> bool:
 
 def column_names(spark: SparkSession, path: str) -> list[str]:
     """Columns of a stored table."""
-    return spark.read.parquet(path).columns
+    return read_stored(spark, path).columns
 
 
 def has_column(df: DataFrame, name: str) -> bool:

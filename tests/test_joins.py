@@ -20,49 +20,48 @@ KEYS = st.one_of(st.none(), st.integers(0, 3))
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(left=st.lists(st.tuples(KEYS, st.integers(0, 50)), max_size=25), right=st.lists(st.tuples(KEYS, st.integers(0, 5)), max_size=6))
-def test_salted_join_equals_brute_force(spark, left, right):
+def test_spread_join_equals_brute_force(spark, left, right):
     a = spark.createDataFrame(left, "k int, v int")
     b = spark.createDataFrame(right, "k2 int, w int")
-    got = J.salted_join(a, b, "k", "k2", "left", rows_per_salt=3)
+    got = J.spread_join(a, b, "k", "k2", "left")
     assert Counter(map(tuple, got.collect())) == left_join(left, right)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_spread_join_equals_plain_join(spark, how):
     a = spark.createDataFrame([(None if i % 3 == 0 else i % 2, i) for i in range(60)], "k int, v int")
     b = spark.createDataFrame([(1, "x"), (1, "y"), (7, "z"), (None, "n")], "k2 int, w string")
-    assert rows(J.salted_join(a, b, "k", "k2", how, rows_per_salt=5)) == rows(J.equi_join(a, b, "k", "k2", how))
+    assert rows(J.spread_join(a, b, "k", "k2", how)) == rows(J.equi_join(a, b, "k", "k2", how))
 
 
-def test_a_third_of_all_rows_on_one_key_goes_to_many_tasks(spark):
-    a = spark.range(3000).selectExpr("if(id < 1000, 42, id) as k", "id as v")
-    b = spark.range(3000).selectExpr("id as k2", "id * 2 as w")
-    hot = {(r._hot, r._ways) for r in J.frequent_keys(a, a["k"], rows_per_salt=50).collect()}
-    # id 42 is below 1000, so it is among the repeated ones only
-    assert hot == {(42, 20)}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_frequent_and_missing_keys_go_to_many_tasks(spark, tmp_path):
+    a = spark.range(60_000).selectExpr("case when id % 3 = 0 then 42 when id % 3 = 1 then null else id end as k", "cast(id % 7 as string) as v", "repeat('x', 50) as pad")
+    b = spark.range(60_000).selectExpr("id as k2", "id * 2 as w")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "40"}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
-        joined = J.salted_join(a, b, "k", "k2", "left", rows_per_salt=50)
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+        joined = J.spread_join(a.repartition(16), b.repartition(16), "k", "k2", "left")
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before  # nothing runs while the plan is made
+        joined.write.format("noop").mode("overwrite").save()
+        assert joined.count() == 60_000 and joined.where("w is not null").count() == 40_000
+        joined.collect()
         plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == 3000
-        assert rows(joined) == rows(J.equi_join(a, b, "k", "k2", "left"))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [_key" in plan and "_salt" in plan
-
-
-def test_salted_join_counts_elsewhere(spark):
-    a = spark.createDataFrame([(1, i) for i in range(20)], "k int, v int")
-    b = spark.createDataFrame([(1, "x")], "k2 int, w string")
-    narrow = a.select("k")
-    assert J.salted_join(a, b, "k", "k2", rows_per_salt=5, count_in=narrow).count() == 20
+        for key in conf:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert "skew=true" in plan
 
 
 def test_text_keys_meet_numbers_without_errors(spark):
     a = spark.createDataFrame([("12, 15",), ("",), ("X",), ("7",)], "k string")
     b = spark.createDataFrame([(12,), (7,), (0,)], "n bigint")
-    assert rows(J.equi_join(a, b, "k", "n", "inner")) == [("12, 15", 12), ("7", 7)]
-    assert rows(J.equi_join(b, a, "n", "k", "left")) == [(0, None), (12, "12, 15"), (7, "7")]
+    assert rows(J.equi_join(a, b, "k", "n", "inner")) == [("7", 7)]
+    assert rows(J.equi_join(b, a, "n", "k", "left")) == [(0, None), (12, None), (7, "7")]
 
 
 def test_chain_drops_shared_columns_and_keeps_all_base_rows(spark):
@@ -81,7 +80,7 @@ def test_enrich_takes_the_first_match_and_never_multiplies(spark):
     deals = spark.createDataFrame([(30, 1, "late"), (10, 1, "first"), (20, 1, None), (5, None, "nobody")],
                                   "ID int, LEAD_ID bigint, SOURCE string")
     for spread in (False, True):
-        out = J.enrich_left(leads, deals, ("ID", "LEAD_ID"), {"SOURCE": "S"}, spread=spread, rows_per_salt=1)
+        out = J.enrich_left(leads, deals, ("ID", "LEAD_ID"), {"SOURCE": "S"}, spread=spread)
         assert rows(out) == [(None, None), (1, "first"), (2, None)]
 
 

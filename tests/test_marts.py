@@ -39,10 +39,6 @@ def test_families_equal_the_single_marts(tables):
         assert rows(flags.where(F.col("mart") == name).drop("mart")) == rows(M.build_mart(tables, name, ordered=False))
 
 
-def test_salting_does_not_change_enriched_leads(tables):
-    assert rows(M.enriched_leads(tables, rows_per_salt=2)) == rows(M.enriched_leads(tables))
-
-
 def test_enriched_leads_keep_every_integer_lead_once(tables):
     out = M.enriched_leads(tables, tables["crm_lead"])
     expected = tables["crm_lead"].where(F.col("ID").rlike("^-?[0-9]+$"))

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom import sources as src
+from martloom.operators import loading
+from martloom.sources.pages import TYPED_ROWS, matrix_columns, read_envelope, spread_map, survey_pages
+from martloom.sources.tables import load_table
 from tests.conftest import rows
 
 
@@ -134,3 +137,28 @@ def test_owner_type_is_a_filter(spark, owner_type):
     lines = spark.createDataFrame([(1, "T8c"), (1, "Ta0")], "ownerId int, ownerType string")
     owners = spark.createDataFrame([(1,)], "id int")
     assert rows(src.rows_for_owners(lines, owners, "ownerId", "id", "ownerType", owner_type)) == [(1, owner_type)]
+
+
+def test_null_records_and_corrupt_pages(spark):
+    pages = spark.createDataFrame([('{"result":[null,{"a":1,"b":2}],"total":5}',)], "value string")
+    assert survey_pages(pages, "value") == (["a", "b"], 5)
+    assert [r.row for r in read_envelope(pages, "value").collect()] == [{"a": "1", "b": "2"}]
+    torn = pages.union(spark.createDataFrame([('{"result":[{"a":1',)], "value string"))
+    with pytest.raises(ValueError, match="1 landed pages"):
+        survey_pages(torn, "value")
+    matrices = spark.createDataFrame([('[["x"],["1"]]',), ('[["x"],["2"',)], "value string")
+    with pytest.raises(ValueError, match="1 landed documents"):
+        matrix_columns(matrices, "value")
+
+
+def test_files_with_different_columns_are_read_whole(spark, tmp_path):
+    path = str(tmp_path / "t" / "database_name=main")
+    loading.append_new(spark.createDataFrame([(1, "x")], "id int, a string"), path, "id")
+    loading.append_new(spark.createDataFrame([(1, "x", "no"), (2, "y", "new")], "id int, a string, b string"), path, "id")
+    assert rows(load_table(spark, str(tmp_path), "t")) == [(1, "x", None), (2, "y", "new")]
+
+
+def test_booleans_in_lists_are_spelled_and_text_is_not(spark):
+    pages = spark.createDataFrame([('{"result":[{"a":[true,false,null,"true",3]}]}',)], "value string")
+    out = spread_map(read_envelope(pages, "value", row_schema=TYPED_ROWS), ["a"])
+    assert out.first().a == "True, False, None, true, 3"

@@ -153,7 +153,7 @@ def row_count(spark, d):
 
 
 @query("""SELECT TIMESTAMP '2024-05-06 23:30:00' AS timestamp, 'main' AS database_name, table_name,
-                 CAST(n_loaded AS INTEGER) AS db_entry_count, CAST(n_source AS INTEGER) AS crm_entry_count,
+                 CAST(n_loaded AS BIGINT) AS db_entry_count, CAST(n_source AS BIGINT) AS crm_entry_count,
                  CAST(NULL AS VARCHAR) AS error_message
           FROM (""" + _reconcile_sql() + """)
           UNION ALL SELECT TIMESTAMP '2024-05-06 23:30:00', 'main', 'entity_broken', 0, NULL, 'no answer'""", *CRM_TABLES)
@@ -185,17 +185,19 @@ def _vote_sql(table: str, *names: str) -> str:
         v = f"nullif(CAST({c} AS VARCHAR), '')"
         parts.append(f"""SELECT '{c}' AS column_name,
             CASE WHEN count({v}) = 0 THEN 'TEXT'
-                 WHEN bool_and(regexp_full_match({v}, {date})) THEN 'DATETIME'
+                 WHEN any_value(typeof({c})) IN ('DATE', 'TIMESTAMP', 'TIMESTAMP WITH TIME ZONE') OR bool_and(regexp_full_match({v}, {date})) THEN 'DATETIME'
                  WHEN bool_or(starts_with({v}, '0') AND length({v}) > 1) OR NOT bool_and(regexp_full_match({v}, {number})) THEN 'TEXT'
                  WHEN bool_and(regexp_full_match({v}, '-?[0-9]+')) THEN 'INTEGER' ELSE 'FLOAT' END AS sql_type,
             count({v}) AS n_values FROM {table}""")
     return "\nUNION ALL ".join(parts)
 
 
-@query(_vote_sql("lineitem", "l_orderkey", "l_quantity", "l_discount", "l_extendedprice", "l_returnflag"))
+LINEITEM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query(_vote_sql("lineitem", *LINEITEM))
 def infer_types(spark, d):
-    return quality.infer_types(load(spark, d, "lineitem").select(
-        "l_orderkey", "l_quantity", "l_discount", "l_extendedprice", "l_returnflag"))
+    return quality.infer_types(load(spark, d, "lineitem"))
 
 
 @query("\nUNION ALL ".join(
@@ -291,8 +293,8 @@ def mart_write(spark, d):
     return spark.read.parquet(path)
 
 
-@query("""SELECT 'entity_item' AS table_name, n AS stored, CAST(n AS INTEGER) AS db_entry_count,
-                 (SELECT CAST(max(o_orderkey) + 2 AS INTEGER) FROM orders) AS crm_entry_count, n_values
+@query("""SELECT 'entity_item' AS table_name, n AS stored, CAST(n AS BIGINT) AS db_entry_count,
+                 (SELECT CAST(max(o_orderkey) + 2 AS BIGINT) FROM orders) AS crm_entry_count, n_values
           FROM (SELECT 2 * count(*) AS n, count(DISTINCT o_orderstatus) + count(DISTINCT o_orderpriority) AS n_values
                 FROM orders WHERE o_orderstatus <> 'P')""")
 def entity_refresh(spark, d):

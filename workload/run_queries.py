@@ -72,7 +72,7 @@ _COUNTS = {
     "entity_company": "SELECT count(*) AS n, max(s_suppkey) + 1 AS m FROM supplier",
 }
 _RUN_SQL = "\nUNION ALL ".join(
-    [f"SELECT '{t}' AS table_name, CAST(n AS INTEGER) AS db_entry_count, CAST(m AS INTEGER) AS crm_entry_count FROM ({q})" for t, q in _COUNTS.items()]
+    [f"SELECT '{t}' AS table_name, CAST(n AS BIGINT) AS db_entry_count, CAST(m AS BIGINT) AS crm_entry_count FROM ({q})" for t, q in _COUNTS.items()]
     + ["SELECT 'entity_seg_' || c_mktsegment, CAST(count(*) AS INTEGER), CAST(max(c_custkey) + 1 AS INTEGER) FROM customer GROUP BY c_mktsegment"])
 
 
