@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.common import ascii_lower, col, remainder, stored, text_of, words
 
-#: Tokens that are not symbols of their own share one of so many symbols, by a hash of their last characters.
+#: Tokens that are not symbols of their own share one of so many symbols, by a hash of their last bytes.
 CLASSES, TAIL = 256, 3
 #: Training sequences are pieces of so many tokens.
 PIECE, ROWS = 256, 1024
@@ -21,22 +22,22 @@ END = ""  # no word is empty
 
 
 def class_of(token: Column) -> Column:
-    return (F.crc32(F.substring(token, -TAIL, TAIL).cast("binary")) % CLASSES).cast("int")
+    return (F.crc32(F.substring(token.cast("binary"), -TAIL, TAIL)) % CLASSES).cast("int")
 
 
-def token_class(token: str) -> int:
-    return zlib.crc32(token[-TAIL:].encode("utf-8", "replace")) % CLASSES
+def token_class(token: bytes) -> int:
+    return zlib.crc32(token[-TAIL:]) % CLASSES
 
 
-def tokens_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, tokens): lower-cased words of the text; NULL text has none."""
-    return docs.select(col("doc_id").alias("doc_id"), (remainder("doc_id", 7) == 2).alias("held_out"), words(ascii_lower(text_of())).alias("tokens"))
+def lowered(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, text): the text with A-Z lowered; NULL text is empty."""
+    return docs.select(col("doc_id").alias("doc_id"), (remainder("doc_id", 7) == 2).alias("held_out"), ascii_lower(text_of()).alias("text"))
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, c) over all training texts, the end of a text being a token; counted by partial aggregation."""
-    each = F.explode(F.concat("tokens", F.array(F.lit(END)))).alias("token")
-    return tokens_of(docs).filter("not held_out").select(each).groupBy("token").agg(F.count("*").alias("c"))
+    each = F.explode(F.concat(words(F.col("text")), F.array(F.lit(END)))).alias("token")
+    return lowered(docs).filter("not held_out").select(each).groupBy("token").agg(F.count("*").alias("c"))
 
 
 def least_count(counts: DataFrame, most: int) -> int:
@@ -145,20 +146,21 @@ class Vocabulary:
     """Frequent tokens: symbol and count of each; symbol k < own for the first ones, then one a class, the end being the last."""
 
     def __init__(self, rows: list[tuple[str, int]], own: int) -> None:
+        tokens = [t.encode("utf-8", "replace") for t, _ in rows]
         self.own = min(own, len(rows))
-        self.count = dict(rows)
-        self.symbol = {t: i if i < self.own else self.own + token_class(t) for i, (t, _) in enumerate(rows)}
-        self.symbol[END] = self.own + CLASSES
+        self.place = dict(zip(tokens, range(len(rows))))
+        self.symbol = np.array([i if i < self.own else self.own + token_class(t) for i, t in enumerate(tokens)] + [-1], np.int64)
+        self.count = np.array([n for _, n in rows] + [0], np.int64)
         self.symbols = self.own + CLASSES + 1
 
-    def encode(self, tokens: list[str]) -> np.ndarray:
-        get, own = self.symbol.get, self.own
-        found = [get(t, -1) for t in tokens]
-        for i, s in enumerate(found):
-            if s < 0:
-                found[i] = own + token_class(tokens[i])
-        found.append(self.symbols - 1)
-        return np.array(found, np.int64)
+    def encode(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Symbols of a text's tokens and its end, the count of every token (0 if it is not frequent), and the tokens that are not."""
+        at = np.fromiter(map(self.place.get, tokens, repeat(-1)), np.int64, len(tokens))
+        symbols = np.append(self.symbol[at], self.symbols - 1)
+        lost = np.nonzero(at < 0)[0]
+        rare = [tokens[i] for i in lost.tolist()]
+        symbols[lost] = np.fromiter(map(token_class, rare), np.int64, len(rare)) + self.own
+        return symbols, self.count[at], rare
 
 
 def scores(docs: DataFrame, *, states: int = 8, own: int = 4096, frequent: int = 200_000, rounds: int = 4) -> DataFrame:
@@ -182,32 +184,53 @@ def scores(docs: DataFrame, *, states: int = 8, own: int = 4096, frequent: int =
     rows = sorted(((r.token, r.c) for r in known.collect()), key=lambda r: (-r[1], r[0]))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
                        F.coalesce(F.max(F.when(F.col("token") == END, F.col("c"))), F.lit(0)).alias("ends")).first()
-    vocabulary = Vocabulary(rows, own)
-    chosen = {t for t, _ in rows[:vocabulary.own]}
     # counts and tokens of the classes: all tokens by class, less those that are symbols of their own
     by_class = counts.filter(F.col("token") != END).groupBy(class_of(F.col("token")).alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("v"))
     mass, sorts = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in by_class.collect():
         mass[r.k], sorts[r.k] = r.c, r.v
-    for t in chosen:
-        mass[token_class(t)] -= vocabulary.count[t]
-        sorts[token_class(t)] -= 1
-    frequencies = np.array([vocabulary.count[t] for t, _ in rows[:vocabulary.own]] + list(mass) + [total.ends], float) + 0.5
+    chosen = rows[:own]
+    for t, n in chosen:
+        mass[token_class(t.encode("utf-8", "replace"))] -= n
+        sorts[token_class(t.encode("utf-8", "replace"))] -= 1
+    frequencies = np.array([n for _, n in chosen] + list(mass) + [total.ends], float) + 0.5
     frequencies /= frequencies.sum()
     inside = np.log10(mass + sorts + 1)
-    model = Model(states, frequencies)
     # plain tuples: a broadcast does not carry classes of this package
     shared = spark.sparkContext.broadcast((rows, own))
-    texts = tokens_of(docs)
+    texts = lowered(docs)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(*shared.value)
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for raw in batch.column("text").cast(pa.binary()).to_pylist():
+                # bytes.split() divides at the blanks of a word's definition, and at no others
+                symbols, c, rare = v.encode(raw.split())
+                classes = symbols[:-1] - v.own
+                logs = np.log10(c + 1)
+                within = logs[classes >= 0].sum() - inside[classes[classes >= 0]].sum()
+                for column, value in zip(out, (len(symbols), int((c > 0).sum()) + (total.ends > 0), float(logs.sum()) + math.log10(total.ends + 1), float(within),
+                                               symbols.astype(np.uint16 if v.symbols < 1 << 16 else np.uint32).tobytes(), rare)):
+                    column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *[pa.array(x, k) for x, k in zip(out, kinds)]],
+                                             ["doc_id", "held_out", "n_tokens", "n_known", "base", "within", "symbols", "rare"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    coded = texts.mapInArrow(encode, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, within double, symbols binary, rare array<binary>")
+    coded = stored(coded.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    width = np.uint16 if len(frequencies) < 1 << 16 else np.uint32
+    model = Model(states, frequencies)
 
     for _ in range(rounds):
         now = model
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums, pieces, first, v = np.zeros(now.flat_size), [], [], Vocabulary(*shared.value)
+            sums, pieces, first = np.zeros(now.flat_size), [], []
             for batch in batches:
-                for tokens in batch.column("tokens").to_pylist():
-                    symbols = v.encode(tokens)
+                for raw in batch.column("symbols").to_pylist():
+                    symbols = np.frombuffer(raw, width)
                     for at in range(0, len(symbols), PIECE):
                         pieces.append(symbols[at:at + PIECE])
                         first.append(at == 0)
@@ -219,44 +242,27 @@ def scores(docs: DataFrame, *, states: int = 8, own: int = 4096, frequent: int =
             at = np.nonzero(sums)[0]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.float64())], ["at", "n"])
 
-        parts = texts.filter("not held_out").select("tokens").mapInArrow(add_up, "at long, n double")
+        parts = coded.filter("not held_out").select("symbols").mapInArrow(add_up, "at long, n double")
         sums = np.zeros(model.flat_size)
         for r in parts.groupBy("at").agg(F.sum("n").alias("n")).collect():
             sums[r["at"]] = r["n"]
         model.reestimated(sums, frequencies)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(*shared.value)
         for batch in batches:
-            all_tokens = batch.column("tokens").to_pylist()
-            for lo in range(0, len(all_tokens), ROWS):
-                part = all_tokens[lo:lo + ROWS]
-                encoded = [v.encode(tokens) for tokens in part]
-                hidden = log_likelihoods(model, encoded) / math.log(10)
-                base, n_known, rare = [], [], []
-                for i, tokens in enumerate(part):
-                    c = [v.count.get(t, 0) for t in tokens]
-                    lost = [t for t, n in zip(tokens, c) if not n]
-                    have = np.array([n for n in c if n], float)
-                    classes = encoded[i][:-1] - v.own
-                    grouped = np.array([n > 0 for n in c], bool) & (classes >= 0)
-                    hidden[i] += np.log10(np.array(c, float)[grouped] + 1).sum() - inside[classes[classes >= 0]].sum()
-                    base.append(float(np.log10(have + 1).sum()) + math.log10(total.ends + 1))
-                    n_known.append(len(have) + (total.ends > 0))
-                    rare.append(lost)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, len(part)), batch.column("held_out").slice(lo, len(part)), pa.array([len(t) + 1 for t in part], pa.int64()),
-                     pa.array(n_known, pa.int64()), pa.array(base), pa.array(hidden), pa.array(rare, pa.list_(pa.string()))],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "hidden", "rare"])
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    done = texts.mapInArrow(measure, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, hidden double, rare array<string>")
-    done = stored(done.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    rare = done.select("row", F.explode("rare").alias("token")).join(counts.filter((F.col("c") < least) & (F.col("token") != END)), "token")
-    # a token within its class has c + 1, as in the base; the classes' totals are in ``hidden`` already
+            for lo in range(0, len(batch), ROWS):
+                part = batch.slice(lo, ROWS)
+                found = log_likelihoods(model, [np.frombuffer(raw, width) for raw in part.column("symbols").to_pylist()]) / math.log(10)
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(found)], ["row", "hidden"])
+
+    # what a text's own columns hold comes along by number: both sides are read from the stored table
+    hidden = coded.select("row", "symbols").mapInArrow(measure, "row long, hidden double")
+    rare = coded.select("row", F.explode("rare").alias("b")).select("row", F.col("b").cast("string").alias("token"))
+    rare = rare.join(counts.filter((F.col("c") < least) & (F.col("token") != END)), "token")
+    # a token within its class has c + 1, as in the base; the classes' totals are in ``within`` already
     more = rare.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("found"))
-    out = done.drop("rare").join(more, "row", "left")
+    out = coded.drop("rare", "symbols").join(hidden, "row").join(more, "row", "left")
     extra = F.coalesce("more", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(total.n).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * F.lit(math.log10(total.n + total.v + 1))).alias("base_score"), (F.col("hidden") + extra).alias("score"))
+        (F.col("base") + extra - F.col("n_tokens") * F.lit(math.log10(total.n + total.v + 1))).alias("base_score"), (F.col("hidden") + F.col("within") + extra).alias("score"))
