@@ -116,13 +116,19 @@ def load_if_nonempty(df: DataFrame, path: str, recreate: bool = False) -> int:
 
 
 def append_new(df: DataFrame, path: str, id_col: str) -> None:
-    """Add the rows whose id is not stored yet."""
+    """Add the rows whose id is not stored yet.
+
+    Stored ids are only read between the smallest and the largest id of the batch. Files are written in id order, so their statistics
+    tell which of them to leave alone: a batch of new ids reads none, whatever the size of the table.
+    """
     spark = df.sparkSession
     if has_table(spark, path):
         stored = read_stored(spark, path)
-        fresh = df.join(stored.select(id_col), id_col, "left_anti").select(*df.columns)
+        low, high = df.agg(F.min(id_col), F.max(id_col)).first()
+        near = stored.where(F.col(id_col).between(F.lit(low), F.lit(high))) if low is not None else stored.limit(0)
+        fresh = df.join(near.select(id_col), id_col, "left_anti").select(*df.columns)
         df = align_additive(fresh, stored.schema)
-    df.write.mode("append").parquet(path)
+    df.sortWithinPartitions(id_col).write.mode("append").parquet(path)
 
 
 def write_mart(df: DataFrame, path: str, keys: Sequence[str] = (), by: str | None = None,

@@ -230,3 +230,15 @@ def test_audit_row_types(spark):
     row = audit_row(spark, AT, "main", "t", 1, None)
     assert row.dtypes == [(f.name, f.dataType.simpleString()) for f in loading.SYNC_SCHEMA]
     assert tuple(row.first()) == (AT, "main", "t", 1, None, None)
+
+
+def test_append_reads_stored_ids_near_the_batch_only(spark, tmp_path):
+    path = str(tmp_path / "t" / "database_name=main")
+    loading.append_new(spark.range(1000).withColumnRenamed("id", "k"), path, "k")
+    loading.append_new(spark.range(990, 1010).withColumnRenamed("id", "k"), path, "k")
+    loading.append_new(spark.createDataFrame([(None,), (5000,)], "k bigint"), path, "k")
+    loading.append_new(spark.createDataFrame([], "k bigint"), path, "k")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 1012 and stored.distinct().count() == 1012
+    plan = stored.where("k between 2000 and 3000")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,2000)" in plan
