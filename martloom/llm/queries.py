@@ -147,13 +147,17 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 
 ORACLE["op5_suffix_dedup"] = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
-p AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 100) AS s FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2 - 49)) AS i FROM d)),
-r AS (SELECT doc_id, i FROM p QUALIFY min(doc_id) OVER (PARTITION BY md5(s)) < doc_id),
-c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM r),
-n AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (before IS NULL OR before < k - 1) AS n_spans
-      FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM c) GROUP BY doc_id),
-b AS (SELECT doc_id, k, substr(hx, 2 * k + 1, 2) AS byte FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2)) AS k FROM d)),
-t AS (SELECT b.doc_id, string_agg(byte, '' ORDER BY b.k) AS kept FROM b LEFT JOIN c ON b.doc_id = c.doc_id AND b.k = c.k WHERE c.k IS NULL GROUP BY b.doc_id)
-SELECT d.doc_id, CAST(len(hx) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+q AS (SELECT doc_id, base, substr(hx, 2 * base + 1, 1098) AS piece FROM (SELECT doc_id, hx, unnest(range(0, len(hx) // 2 - 49, 500)) AS base FROM d)),
+p AS (SELECT doc_id, base + j AS i, substr(piece, 2 * j + 1, 100) AS s FROM (SELECT *, unnest(range(0, least(500, len(piece) // 2 - 49))) AS j FROM q)),
+g AS (SELECT s, min(doc_id) AS first FROM p GROUP BY s HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT p.doc_id, i FROM p JOIN g ON p.s = g.s WHERE first < p.doc_id),
+l AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM r),
+n AS (SELECT doc_id, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM l),
+x AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, run),
+y AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS upto FROM x),
+k AS (SELECT y.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(hx, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS kept
+      FROM y JOIN d ON y.doc_id = d.doc_id GROUP BY y.doc_id)
+SELECT d.doc_id, CAST(len(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN k.doc_id IS NULL THEN hx ELSE kept || substr(hx, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
