@@ -157,20 +157,22 @@ def contacts_nulls_first(spark, d):
 
 
 def _written_sql() -> str:
-    parts = [f"SELECT '{m.name}' AS mart, count(*) AS n_rows FROM ({_mart_sql(m)[0]})" for m in M.MARTS
+    ids = """CAST(sum(CASE WHEN regexp_full_match(CAST("ID" AS VARCHAR), '-?[0-9]{1,18}') THEN CAST("ID" AS BIGINT) END) AS BIGINT) AS id_sum"""
+    parts = [f"SELECT '{m.name}' AS mart, count(*) AS n_rows, {ids} FROM ({_mart_sql(m)[0]})" for m in M.MARTS
              if m.name != "leads"]
     ints = """WHERE regexp_full_match("ID", '-?[0-9]+')"""
-    parts += [f"SELECT '{n}' AS mart, count(*) AS n_rows FROM lead_chain {ints}" for n in ("leads", "leads_enriched")]
+    parts += [f"SELECT '{n}' AS mart, count(*) AS n_rows, {ids} FROM lead_chain {ints}" for n in ("leads", "leads_enriched")]
     return "\nUNION ALL ".join(parts)
 
 
 @query(_written_sql(), *_CHAIN.values(), *CRM_TABLES)
 def marts_written(spark, d):
-    """Writes all 22 marts and counts what is stored."""
+    """Writes all 22 marts, counts what is stored and adds up its ids."""
     root = work_dir(spark, "marts")
     counts = None
     for name in M.write_all(spark, crm_tables(spark, d), root):
-        one = spark.read.parquet(M.mart_path(root, name)).agg(F.count(F.lit(1)).alias("n_rows"))
-        one = one.select(F.lit(name).alias("mart"), "n_rows")
+        whole = F.when(F.col("ID").cast("string").rlike("^-?[0-9]{1,18}$"), F.col("ID").try_cast("bigint"))
+        one = spark.read.parquet(M.mart_path(root, name)).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(whole).alias("id_sum"))
+        one = one.select(F.lit(name).alias("mart"), "n_rows", "id_sum")
         counts = one if counts is None else counts.unionByName(one)
     return counts

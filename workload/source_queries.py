@@ -105,9 +105,9 @@ def keyset_page(spark, d):
     return src.keyset_scan(load(spark, d, "orders"), "o_orderkey", 100, limit=50)
 
 
-@query("SELECT * FROM lineitem WHERE l_orderkey > 0 AND l_orderkey <= 1000000000000")
+@query("SELECT * FROM lineitem WHERE l_orderkey > 0 AND l_orderkey <= 1000")
 def keyset_rows(spark, d):
-    return src.keyset_scan(load(spark, d, "lineitem"), "l_orderkey", 0, upto=1_000_000_000_000)
+    return src.keyset_scan(load(spark, d, "lineitem"), "l_orderkey", 0, upto=1000)
 
 
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 50")
