@@ -17,8 +17,10 @@ from martloom.llm.common import col, stored
 
 #: Bytes of text to a bucket.
 BUCKET_BYTES = 16 << 20
-PLACES = "bucket int, id long, data binary"
-FOUND = "id long, data binary"
+#: Answers to 256 neighbouring rows travel together.
+BLOCK_BITS = 8
+PLACES = "bucket int, block long, data binary"
+FOUND = "block long, data binary"
 
 
 def numbered(docs: DataFrame, stable: bool) -> DataFrame:
@@ -61,13 +63,29 @@ def equal_runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.nonzero(new)[0]
 
 
-def by_row(ids: np.ndarray, pos: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Positions gathered by row, as bytes of 32-bit numbers."""
+def found_rows(ids: np.ndarray, values: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Answers (row, 32-bit numbers) packed by block of rows: the blocks, and the bytes of each."""
     order = np.argsort(ids, kind="stable")
-    ids, pos = ids[order], pos[order].astype(np.int32)
-    cut = np.nonzero(np.diff(ids))[0] + 1
-    starts = np.concatenate([[0], cut]) if len(ids) else np.zeros(0, np.int64)
-    return ids[starts].tolist(), [p.tobytes() for p in np.split(pos, cut)] if len(ids) else []
+    ids, values = ids[order], values[order].astype(np.int32)
+    blocks = ids >> BLOCK_BITS
+    cut = [0, *(np.nonzero(np.diff(blocks))[0] + 1).tolist(), len(ids)] if len(ids) else []
+    packs = [np.array([b - a, values.shape[1]], np.int64).tobytes() + planes(ids[a:b]) + values[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+    return blocks[cut[:-1]].tolist(), packs
+
+
+def gather(table: pa.Table) -> pa.Table:
+    """For one block of rows: all answers of each row."""
+    ids, values = [], []
+    for data in table.column("data").to_pylist():
+        n, width = np.frombuffer(data, np.int64, 2).tolist()
+        found, at = unplanes(data, 16, n, np.int64)
+        ids.append(found)
+        values.append(np.frombuffer(data, np.int32, n * width, at).reshape(n, width))
+    ids, values = np.concatenate(ids), np.concatenate(values)
+    order = np.argsort(ids, kind="stable")
+    ids, values = ids[order], values[order]
+    cut = [0, *(np.nonzero(np.diff(ids))[0] + 1).tolist(), len(ids)]
+    return pa.table([pa.array(ids[cut[:-1]]), pa.array([values[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["id", "found"])
 
 
 def send(ids: np.ndarray, pos: np.ndarray, keys: list[np.ndarray], buckets: int) -> pa.RecordBatch:
@@ -80,9 +98,8 @@ def send(ids: np.ndarray, pos: np.ndarray, keys: list[np.ndarray], buckets: int)
     first = order[starts]
     rest = np.ones(len(order), bool)
     rest[starts] = False
-    direct_ids, direct = by_row(ids[order[rest]], pos[order[rest]])
-    rows = [np.array(direct_ids, np.int64) % buckets if direct_ids else np.zeros(0, np.int64)]
-    out_ids, out_data = list(direct_ids), direct
+    out_blocks, out_data = found_rows(ids[order[rest]], pos[order[rest], None])
+    rows = [np.array(out_blocks, np.int64) % buckets]
     bucket = (keys[0][first] % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
     first, twice, bucket = first[by_bucket], (sizes > 1)[by_bucket], bucket[by_bucket]
@@ -91,19 +108,19 @@ def send(ids: np.ndarray, pos: np.ndarray, keys: list[np.ndarray], buckets: int)
         pick = first[a:b]
         data = [np.array([b - a], np.int64).tobytes(), planes(ids[pick]), planes(pos[pick].astype(np.uint32)), twice[a:b].astype(np.uint8).tobytes()]
         out_data.append(b"".join(data + [planes(k[pick]) for k in keys]))
-        out_ids.append(None)
+        out_blocks.append(None)
         rows.append(bucket[a:a + 1])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows).astype(np.int32)), pa.array(out_ids, pa.int64()), pa.array(out_data, pa.binary())], ["bucket", "id", "data"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows).astype(np.int32)), pa.array(out_blocks, pa.int64()), pa.array(out_data, pa.binary())], ["bucket", "block", "data"])
 
 
 def answer(width: int) -> Callable[[pa.Table], pa.Table]:
     """For one bucket: the places, by row, of which an equal one exists."""
     def run(table: pa.Table) -> pa.Table:
-        out_ids, out_data = [], []
+        out_blocks, out_data = [], []
         ids, pos, twice, keys = [], [], [], [[] for _ in range(width)]
-        for row, data in zip(table.column("id").to_pylist(), table.column("data").to_pylist()):
-            if row is not None:
-                out_ids.append(row)
+        for block, data in zip(table.column("block").to_pylist(), table.column("data").to_pylist()):
+            if block is not None:
+                out_blocks.append(block)
                 out_data.append(data)
                 continue
             n = int(np.frombuffer(data, np.int64, 1)[0])
@@ -121,21 +138,25 @@ def answer(width: int) -> Callable[[pa.Table], pa.Table]:
             order, starts = equal_runs(hashes)
             sizes = np.diff(np.append(starts, len(order)))
             keep = order[np.repeat((sizes > 1) | np.maximum.reduceat(twice[order], starts), sizes)]
-            more_ids, more = by_row(ids[keep], pos[keep])
-            out_ids += more_ids
+            blocks, more = found_rows(ids[keep], pos[keep, None])
+            out_blocks += blocks
             out_data += more
-        return pa.table([pa.array(out_ids, pa.int64()), pa.array(out_data, pa.binary())], ["id", "data"])
+        return pa.table([pa.array(out_blocks, pa.int64()), pa.array(out_data, pa.binary())], ["block", "data"])
     return run
 
 
+def by_row(found: DataFrame) -> DataFrame:
+    """(id, found): one row a row that has answers, from packed answers (block, data)."""
+    return found.groupBy("block").applyInArrow(gather, "id long, found binary")
+
+
 def repeated(places: DataFrame, width: int) -> DataFrame:
-    """(id, found): for each row, the positions of its places that have an equal anywhere, as pieces of 32-bit numbers."""
-    found = places.groupBy("bucket").applyInArrow(answer(width), FOUND)
-    return found.groupBy("id").agg(F.collect_list("data").alias("found"))
+    """(id, found): for each row, the positions of its places that have an equal anywhere, as 32-bit numbers."""
+    return by_row(places.groupBy("bucket").applyInArrow(answer(width), FOUND))
 
 
-def positions(pieces: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(pieces or []), np.int32).astype(np.int64)
+def positions(found: bytes | None) -> np.ndarray:
+    return np.frombuffer(found or b"", np.int32).astype(np.int64)
 
 
 def rows_in(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:

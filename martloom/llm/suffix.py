@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from martloom.llm.common import packed
 from martloom.llm.lyndon import suffix_order, suffix_orders
-from martloom.llm.repeats import FOUND, PLACES, buckets_for, numbered, positions, repeated, rows_in, send
+from martloom.llm.repeats import FOUND, PLACES, buckets_for, by_row, found_rows, numbered, positions, repeated, rows_in, send
 
 MATCH, GRAM = 50, 16
 #: Bytes of a batch worked on at once; symbols of suffix arrays built together; longest text that is built with others.
@@ -94,12 +94,8 @@ def _anchors(buckets: int):
     return run
 
 
-def spans_by_row(rows: list[int], first: list[int], last: list[int]) -> tuple[list[int], list[bytes]]:
-    """Spans gathered by row, as bytes of pairs of 32-bit numbers."""
-    found: dict[int, list[int]] = defaultdict(list)
-    for r, a, b in zip(rows, first, last):
-        found[r] += (a, b)
-    return list(found), [np.array(v, np.int32).tobytes() for v in found.values()]
+def spans_by_block(rows: list[int], first: list[int], last: list[int]) -> tuple[list[int], list[bytes]]:
+    return found_rows(np.array(rows, np.int64), np.array([first, last], np.int32).T.reshape(-1, 2))
 
 
 def _contexts(buckets: int):
@@ -137,18 +133,18 @@ def _contexts(buckets: int):
             by_bucket: dict[int, list] = defaultdict(list)
             for (hash_, context), (owner, places) in held.items():
                 by_bucket[hash_ % buckets].append((hash_, context, owner, places))
-            out_ids, out_data = spans_by_row(*direct)
-            out_bucket = [r % buckets for r in out_ids]
+            out_blocks, out_data = spans_by_block(*direct)
+            out_bucket = [b % buckets for b in out_blocks]
             for b, entries in by_bucket.items():
                 counts = [len(e[3]) for e in entries]
                 places = np.array([x for e in entries for x in e[3]], np.int64).reshape(-1, 2)
                 out_bucket.append(b)
-                out_ids.append(None)
+                out_blocks.append(None)
                 out_data.append(pickle.dumps((
                     np.array([e[0] for e in entries], np.uint64), np.array([len(e[1]) for e in entries], np.uint16), np.array([e[2] for e in entries], np.int64),
                     np.array(counts, np.uint32), places[:, 0].copy(), places[:, 1].astype(np.uint32),
                     b"".join(e[1] for e in entries)), 5))
-            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(out_ids, pa.int64()), pa.array(out_data, pa.binary())], ["bucket", "id", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array(out_bucket, pa.int32()), pa.array(out_blocks, pa.int64()), pa.array(out_data, pa.binary())], ["bucket", "block", "data"])
     return run
 
 
@@ -217,11 +213,11 @@ def shared_in(text: np.ndarray, order: np.ndarray, owner: np.ndarray, valid: np.
 
 def _decide(table: pa.Table) -> pa.Table:
     """For one bucket: the spans that rows lose."""
-    out_ids, out_data, groups = [], [], defaultdict(dict)
+    out_blocks, out_data, groups = [], [], defaultdict(dict)
     spans: tuple[list, list, list] = ([], [], [])
-    for row, data in zip(table.column("id").to_pylist(), table.column("data").to_pylist()):
-        if row is not None:
-            out_ids.append(row)
+    for block, data in zip(table.column("block").to_pylist(), table.column("data").to_pylist()):
+        if block is not None:
+            out_blocks.append(block)
             out_data.append(data)
             continue
         h, length, owner, counts, rows, at, raw = pickle.loads(data)
@@ -256,8 +252,8 @@ def _decide(table: pa.Table) -> pa.Table:
                         spans[0].append(r)
                         spans[1].append(a + x)
                         spans[2].append(a + y)
-    more_ids, more = spans_by_row(*spans)
-    return pa.table([pa.array(out_ids + more_ids, pa.int64()), pa.array(out_data + more, pa.binary())], ["id", "data"])
+    blocks, more = spans_by_block(*spans)
+    return pa.table([pa.array(out_blocks + blocks, pa.int64()), pa.array(out_data + more, pa.binary())], ["block", "data"])
 
 
 def cut_bytes(raw: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
@@ -303,8 +299,7 @@ def dedup(docs: DataFrame, *, stable: bool = False) -> DataFrame:
     again = repeated(rows.select("id", text).mapInArrow(_anchors(buckets), PLACES), 1)
     # the whole row is read in both joins, so that both use one shuffle of the texts
     near = rows.join(again, "id").select("id", "row", "found", text, doc)
-    spans = near.mapInArrow(_contexts(buckets), PLACES).groupBy("bucket").applyInArrow(_decide, FOUND)
-    spans = spans.groupBy("id").agg(F.collect_list("data").alias("found"))
+    spans = by_row(near.mapInArrow(_contexts(buckets), PLACES).groupBy("bucket").applyInArrow(_decide, FOUND))
     schema = T.StructType([rows.schema["row"], T.StructField("kept", T.BinaryType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())])
     return rows.join(spans, "id", "left").select("row", "found").mapInArrow(_cut, schema)
 

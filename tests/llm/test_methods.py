@@ -186,6 +186,7 @@ def test_packed_places_come_back_by_row():
     got = {}
     for b in range(4):
         part = repeats.answer(1)(table.filter(pa.compute.equal(table["bucket"], b)))
-        for i, d in zip(part["id"].to_pylist(), part["data"].to_pylist()):
+        for i, d in zip(part["block"].to_pylist(), part["data"].to_pylist()):
             got.setdefault(i, []).append(d)
-    assert {i: sorted(repeats.positions(d).tolist()) for i, d in got.items()} == {7: [0, 5], 9 + (5 << 33): [1, 3]}
+    rows = [repeats.gather(pa.table([pa.array(d)], ["data"])).to_pylist() for d in got.values()]
+    assert {r["id"]: sorted(repeats.positions(r["found"]).tolist()) for part in rows for r in part} == {7: [0, 5], 9 + (5 << 33): [1, 3]}
