@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.llm.common import col, packed, remainder, text_of
+from martloom.llm.common import col, packed, remainder, stored, text_of, words
+from martloom.llm.simhash import shingle_hashes
 
 #: Look-alike letters and the Latin letter each stands for; fixed values.
 HOMOGLYPHS = {
@@ -118,7 +119,11 @@ def labelled(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[DataFr
     part = [ids.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for k in (0, 1)]
     # at most 2 * per_label ids: a bound that holds whatever the tables' size
     texts = docs.select(col("doc_id").alias("doc_id"), text_of().alias("text")).join(F.broadcast(part[0].union(part[1])), "doc_id").select("text", "toxic")
-    return texts, n.get(1, 0), n.get(0, 0)
+    # copies and near copies of one text are one witness: they share the smallest, or the largest, hash of their 3-word runs
+    hashed = texts.select("text", "toxic", words(F.col("text")).alias("tokens")).select("text", "toxic", shingle_hashes(F.col("tokens"), 3).alias("h"))
+    for pick in (F.array_min, F.array_max):
+        hashed = hashed.withColumn("mark", pick("h")).dropDuplicates(["toxic", "mark"])
+    return stored(hashed.select("text", "toxic"), "toxicity-sample"), n.get(1, 0), n.get(0, 0)
 
 
 def prune(found: dict[str, tuple[float, int]]) -> dict[str, float]:
@@ -143,7 +148,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_label: int = 3000, max_patt
     texts, n_toxic, n_clean = labelled(docs, labels, per_label)
     if not n_toxic or not n_clean:
         return Lexicon()
-    t_all, c_all = min(n_toxic, per_label), min(n_clean, per_label)
+    t_all, c_all = (texts.filter(F.col("toxic") == k).count() for k in (1, 0))
+    if not t_all or not c_all:
+        return Lexicon()
     counts = texts.mapInArrow(_count(lambda text: patterns_of(_WORD.findall(text))), COUNTS).groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
     share = F.lit(t_all / (t_all + c_all))
     both = F.col("t") + F.col("c")
