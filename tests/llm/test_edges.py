@@ -84,7 +84,9 @@ def test_simhash_values(docs):
     got = by_id(simhash.near_duplicates(docs))
     assert got[1].fingerprint == got[3].fingerprint == "0" * 16 and got[3].component_id == 1
     assert got[5].component_id == 4
-    assert sorted((r.doc_id or 0) for r in simhash.one_of_each(docs).filter("doc_id in (1, 2, 3, 4, 5, 6)").collect()) == [1, 4, 6]
+    # the text without an id holds the copied one, and 56 of 58 runs of five words are common
+    left = [r.doc_id for r in simhash.one_of_each(docs).collect()]
+    assert None in left and sorted(i for i in left if i in (1, 2, 3, 4, 5, 6)) == [1, 6] and len(left) == 6
 
 
 def test_decontaminate_values(docs, benchmark):
