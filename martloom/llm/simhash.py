@@ -163,8 +163,9 @@ def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: flo
 
     Rows of one text are linked to the first of them, unseen by what follows. Candidates meet in buckets: the balls of
     whole-text prints within ``radius``, and equal prints of samples. In a bucket every text is held against the first one only, by their
-    whole sets of shingles; those that differ too much from it form the bucket's next round, until none is left. So no pair of a
-    bucket's texts that the first one connects is made, and none that it does not connect is lost.
+    whole sets of shingles. Those that differ too much from it are held against the first four of them, then sixteen, and so on, until
+    none is left: pairs of texts that a common one connects are not made, and a bucket of unlike texts takes few rounds. Two
+    texts may miss each other in a bucket where one of them is linked to an earlier text and the other is not; they meet in other buckets.
     """
     split = rows.select("id", F.xxhash64("text").alias("content"), words(ascii_lower(text_of())).alias("tokens"))
     hashed = split.select("id", "content", shingle_hashes(F.col("tokens"), shingle).alias("hashes"))
@@ -183,17 +184,21 @@ def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: flo
     members = left.select("id").distinct()
     sets = stored(rows.join(members, "id").select("id", words(ascii_lower(text_of())).alias("tokens"))
                   .select("id", F.array_distinct(shingle_hashes(F.col("tokens"), shingle)).alias("s")), "simhash-sets")
-    found = copies
+    found, several = copies, 1
     while not left.isEmpty():
-        pivot = left.groupBy("band", "key").agg(F.min("id").alias("b"))
-        left = left.join(pivot, ["band", "key"]).filter("id <> b")
-        pairs = left.select(F.col("id").alias("a"), "b").distinct()
+        order = F.row_number().over(Window.partitionBy("band", "key").orderBy("id"))
+        pivots = left.withColumn("n", order).filter(F.col("n") <= several).select("band", "key", F.col("id").alias("b"))
+        met = stored(left.join(pivots, ["band", "key"]).filter("id >= b"), "simhash-met")
+        pairs = met.filter("id > b").select(F.col("id").alias("a"), "b").distinct()
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         ok = common >= similarity * (F.size("sa") + F.size("sb") - common)
         good = stored(both.filter(ok | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("a", "b"), "simhash-links")
         found = found.union(good)
-        left = stored(left.join(good, (F.col("id") == F.col("a")) & (left["b"] == good["b"]), "left_anti").select("band", "key", "id"), "simhash-left")
+        linked = met.join(good, (F.col("id") == F.col("a")) & (met["b"] == good["b"]), "left_semi").select("band", "key", "id")
+        done = linked.union(met.filter("id = b").select("band", "key", "id")).distinct()
+        left = stored(left.join(done, ["band", "key", "id"], "left_anti"), "simhash-left")
+        several *= 4
     return found
 
 
