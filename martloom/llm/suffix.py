@@ -17,8 +17,8 @@ from martloom.llm.lyndon import suffix_order, suffix_orders
 from martloom.llm.repeats import FOUND, PLACES, buckets_for, by_row, found_rows, numbered, positions, repeated, rows_in, send
 
 MATCH, GRAM = 50, 16
-#: Bytes of a batch worked on at once; symbols of suffix arrays built together; longest text that is built with others.
-BATCH, TOGETHER, LONGEST = 2 << 20, 400_000, 1500
+#: Bytes of a batch worked on at once; symbols of suffix arrays built together; longest text and fewest texts for which that pays.
+BATCH, TOGETHER, LONGEST, FEWEST = 2 << 20, 400_000, 400, 64
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -174,7 +174,7 @@ def shared_starts(contexts: list[list[bytes]], owners: list[list[int]]) -> list[
                 owner[r, at:at + len(c)] = d
                 valid[r, at:at + len(c) - MATCH + 1] = True
                 at += len(c) + 1
-        if size > LONGEST:
+        if size > LONGEST or len(part) < FEWEST:
             order = np.array([suffix_order(row.tolist()) for row in text])
         else:
             order = suffix_orders(text)
