@@ -158,16 +158,23 @@ def _sketches(bands: int, sample: int):
     return run
 
 
+def open_buckets(left: DataFrame) -> DataFrame:
+    """The rows of ``left`` (band, key, id, root, n) in buckets whose texts are not all connected yet, with the number of ``members``."""
+    sizes = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    return left.join(sizes.filter("low <> high").select("band", "key", "members"), ["band", "key"])
+
+
 def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: float, bands: int, sample: int) -> DataFrame:
     """Links (a, b) between rows (id: long, text) that connect texts of which at least ``similarity`` of all shingles is common.
 
-    Rows of one text are linked to the first of them, unseen by what follows. Candidates meet in buckets: the balls of
-    whole-text prints within ``radius``, and equal prints of samples. In a bucket every text is held against the first one only, by their
-    whole sets of shingles. Those that differ too much from it are held against the first four of them, then sixteen, and so on, until
-    none is left: pairs of texts that a common one connects are not made, and a bucket of unlike texts takes few rounds. Two
-    texts may miss each other in a bucket where one of them is linked to an earlier text and the other is not; they meet in other buckets.
+    Rows of one text, or of none, are linked to the first of them, unseen by what follows. Candidates meet in buckets: the balls of
+    whole-text prints within ``radius``, and equal prints of samples. In a bucket the first text is held against every other one, by their
+    whole sets of shingles, and leaves. The links found so far are joined to components, and a bucket goes on, with its next four
+    first texts, then sixteen, and so on, until those left in it are all connected; connected texts are not held against each other. So any
+    two texts that meet are compared or connected, in a chain as well.
     """
-    split = rows.select("id", F.xxhash64("text").alias("content"), words(ascii_lower(text_of())).alias("tokens"))
+    split = rows.select("id", "text", words(ascii_lower(text_of())).alias("tokens"))
+    split = split.select("id", F.xxhash64(F.when(F.size("tokens") > 0, F.col("text")).otherwise("")).alias("content"), "tokens")
     hashed = split.select("id", "content", shingle_hashes(F.col("tokens"), shingle).alias("hashes"))
     sketches = stored(hashed.mapInArrow(_sketches(bands, sample), "id long, content long, print long, bands array<long>"), "simhash-sketches")
     first = sketches.groupBy("content").agg(F.min("id").alias("first"))
@@ -180,26 +187,32 @@ def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: flo
     same = nodes.select("id", F.lit(-2).alias("band"), F.col("print").alias("key"))
     every = banded.union(balls).union(same)
     full = every.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").select("band", "key")
-    left = stored(every.join(full, ["band", "key"]), "simhash-buckets")
-    members = left.select("id").distinct()
+    met = stored(every.join(full, ["band", "key"]), "simhash-buckets")
+    members = met.select("id").distinct()
     sets = stored(rows.join(members, "id").select("id", words(ascii_lower(text_of())).alias("tokens"))
-                  .select("id", F.array_distinct(shingle_hashes(F.col("tokens"), shingle)).alias("s")), "simhash-sets")
-    found, several = copies, 1
+                  .select("id", F.array_distinct(shingle_hashes(F.col("tokens"), shingle)).alias("s")).select("id", F.size("s").alias("n"), "s"), "simhash-sets")
+    left = stored(met.join(sets.select("id", "n"), "id").select("band", "key", "id", F.col("id").alias("root"), "n"), "simhash-left")
+    good, several = None, 1
     while not left.isEmpty():
         order = F.row_number().over(Window.partitionBy("band", "key").orderBy("id"))
-        pivots = left.withColumn("n", order).filter(F.col("n") <= several).select("band", "key", F.col("id").alias("b"))
-        met = stored(left.join(pivots, ["band", "key"]).filter("id >= b"), "simhash-met")
-        pairs = met.filter("id > b").select(F.col("id").alias("a"), "b").distinct()
+        pivots = left.withColumn("place", order).filter(F.col("place") <= several)
+        pivots = stored(pivots.select("band", "key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b")), "simhash-pivots")
+        pairs = left.join(pivots, ["band", "key"]).filter("id > b and root <> root_b")
+        # sets of too different sizes cannot be similar
+        pairs = pairs.filter(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b") - 1e-6).select(F.col("id").alias("a"), "b").distinct()
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         ok = common >= similarity * (F.size("sa") + F.size("sb") - common)
-        good = stored(both.filter(ok | ((F.size("sa") == 0) & (F.size("sb") == 0))).select("a", "b"), "simhash-links")
-        found = found.union(good)
-        linked = met.join(good, (F.col("id") == F.col("a")) & (met["b"] == good["b"]), "left_semi").select("band", "key", "id")
-        done = linked.union(met.filter("id = b").select("band", "key", "id")).distinct()
-        left = stored(left.join(done, ["band", "key", "id"], "left_anti"), "simhash-left")
+        new = stored(both.filter(ok).select("a", "b"), "simhash-links")
+        good = new if good is None else good.union(new)
+        # a text that was held against its whole bucket leaves it
+        rest = left.join(pivots.select("band", "key", F.col("b").alias("id")), ["band", "key", "id"], "left_anti").drop("root")
+        roots = components(good).withColumnRenamed("a", "id")
+        rest = rest.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("root"), "n")
+        left = stored(open_buckets(rest), "simhash-left")
+        left = left.drop("members")
         several *= 4
-    return found
+    return copies if good is None else copies.union(good)
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 5, radius: int = 2, similarity: float = 0.8, bands: int = 12, sample: int = 4, stable: bool = False) -> DataFrame:
