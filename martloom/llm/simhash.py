@@ -18,6 +18,8 @@ from martloom.llm.repeats import numbered
 #: The eight bits of a byte, one to a byte of a 64-bit word: 255 hashes can be added up without a carry between bits.
 LANES = np.array([int.from_bytes(bytes((b >> k) & 1 for k in range(8)), "little") for b in range(256)], dtype=np.uint64)
 PIECE, BLOCK = 255, 1 << 16
+#: Texts of a bucket above which it is divided by rare shingles; the band of the buckets that this makes.
+SPLIT, RARE = 16, -3
 
 
 def shingle_hashes(tokens: Column, size: int) -> Column:
@@ -158,6 +160,19 @@ def _sketches(bands: int, sample: int):
     return run
 
 
+def prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(id, key): of every text (id, n, s: its n different shingles) so many of its rarest shingles that similar texts share one.
+
+    Texts of at least ``similarity`` have that share of each one's shingles in common, so they cannot differ in all of the rest and one more,
+    in whichever order all texts are read. Rare shingles come first: what many of the texts hold keeps none of them together.
+    """
+    each = texts.select("id", "n", F.explode("s").alias("key"))
+    counted = each.groupBy("key").agg(F.count("*").alias("held"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("held", "key"))
+    most = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-6)) + 1
+    return each.join(counted, "key").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("held") > 1)).select("id", "key")
+
+
 def open_buckets(left: DataFrame) -> DataFrame:
     """The rows of ``left`` (band, key, id, root, n) in buckets whose texts are not all connected yet, with the number of ``members``."""
     sizes = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
@@ -171,7 +186,8 @@ def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: flo
     whole-text prints within ``radius``, and equal prints of samples. In a bucket the first text is held against every other one, by their
     whole sets of shingles, and leaves. The links found so far are joined to components, and a bucket goes on, with its next four
     first texts, then sixteen, and so on, until those left in it are all connected; connected texts are not held against each other. So any
-    two texts that meet are compared or connected, in a chain as well.
+    two texts that meet are compared or connected, in a chain as well. A bucket of over SPLIT texts that are not connected after the
+    first round is divided: its texts meet again by rare shingles (``prefixes``), which loses no link.
     """
     split = rows.select("id", "text", words(ascii_lower(text_of())).alias("tokens"))
     split = split.select("id", F.xxhash64(F.when(F.size("tokens") > 0, F.col("text")).otherwise("")).alias("content"), "tokens")
@@ -210,6 +226,13 @@ def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: flo
         roots = components(good).withColumnRenamed("a", "id")
         rest = rest.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("root"), "n")
         left = stored(open_buckets(rest), "simhash-left")
+        large = left.filter((F.col("members") > SPLIT) & (F.col("band") > RARE))
+        if several == 1 and not large.isEmpty():
+            again = large.select("id", "root").distinct()
+            rare = prefixes(sets.join(again.select("id"), "id"), similarity).join(again, "id").join(sets.select("id", "n"), "id")
+            rare = open_buckets(rare.select(F.lit(RARE).alias("band"), "key", "id", "root", "n"))
+            small = left.filter(F.col("members") <= SPLIT)
+            left = stored(small.unionByName(rare), "simhash-split")
         left = left.drop("members")
         several *= 4
     return copies if good is None else copies.union(good)

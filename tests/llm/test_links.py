@@ -1,8 +1,10 @@
-"""Near-duplicate links of the pipeline against brute force: chains."""
+"""Near-duplicate links of the pipeline against brute force: chains, and many unlike texts that share a passage."""
 
 import random
 
-from martloom.llm import simhash
+from pyspark.sql import functions as F
+
+from martloom.llm import common, simhash
 
 SETTINGS = {"shingle": 5, "radius": 2, "similarity": 0.8}
 
@@ -56,3 +58,43 @@ def alone(bands, sample):
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("content"), pa.array(far, pa.int64()), pa.array([[1]] * len(far), pa.list_(pa.int64()))],
                                              ["id", "content", "print", "bands"])
     return run
+
+
+def test_unlike_texts_with_a_shared_passage_make_few_pairs(spark, monkeypatch):
+    """A bucket of n unlike texts that share half of their words is divided: no n * n pairs, and no link is lost."""
+    monkeypatch.setattr(simhash, "_sketches", alone)
+    seen, old = {}, simhash.stored
+
+    def counting(df, label):
+        out = old(df, label)
+        seen.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(simhash, "stored", counting)
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = {i: passage + " " + " ".join(f"u{i}v{rng.randrange(10**6)}" for _ in range(60)) for i in range(150)}
+    texts |= {200 + 3 * k + i: passage + " " + t for k in range(3) for i, t in enumerate(chain(rng, k))}
+    got = kept(spark, texts, bands=1, sample=4)
+    assert got == brute(texts)
+    # the rows of buckets after the first round, when the shared passage no longer brings texts together
+    rows = [df.count() for df in seen["simhash-split"]]
+    assert len(rows) == 1 and rows[0] < 3 * 9 * 60
+
+
+def test_prefixes_of_similar_texts_meet(spark):
+    rng = random.Random(6)
+    sets = {i: sorted(rng.sample(range(40), rng.choice((5, 10, 15, 20)))) for i in range(60)}
+    for i in range(60, 120):
+        other = list(sets[i - 60])
+        other[0] = 1000 + i
+        sets[i] = other
+    df = common.stored(spark.createDataFrame(list(sets.items()), "id long, s array<long>").select("id", F.size("s").alias("n"), "s"), "test-sets")
+    keys = {}
+    for r in simhash.prefixes(df, 0.8).collect():
+        keys.setdefault(r.id, set()).add(r.key)
+    for a in sets:
+        for b in sets:
+            x, y = set(sets[a]), set(sets[b])
+            if a < b and len(x & y) >= 0.8 * len(x | y):
+                assert keys[a] & keys[b]
