@@ -14,6 +14,8 @@ from martloom.llm.common import col, remainder, text_of
 
 #: Bytes of a sequence: longer words are read in pieces of this size.
 PIECE = 24
+#: Words of a language that are learned from even if there are so many languages that ``max_words`` would leave it fewer.
+FEWEST = 1_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -128,34 +130,51 @@ def word_sums(net: ByteGru, words: Sequence[str], block: int = 4096) -> tuple[np
     return sums, sizes
 
 
+def taught(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang) of the labelled rows that are not held out."""
+    ids = docs.filter(col("lang").isNotNull() & col("doc_id").isNotNull() & (remainder("doc_id", 4) != 2))
+    return ids.select(col("doc_id").alias("doc_id"), col("lang").cast("string").alias("lang"))
+
+
 def sample_words(docs: DataFrame, per_lang: int, max_words: int) -> list:
-    """(lang, word, n) of at most ``per_lang`` texts a language, by hash of the id, none of them held out; the ``max_words`` most frequent."""
-    ids = docs.filter(col("lang").isNotNull() & col("doc_id").isNotNull() & (remainder("doc_id", 4) != 2)).select(col("doc_id").alias("doc_id"), col("lang").cast("string").alias("lang"))
+    """(lang, word, n) of at most ``per_lang`` texts a language, by hash of the id, none of them held out; ``word`` is a piece of PIECE bytes at most.
+
+    Of the pieces, the most frequent of each language, so many of each that they are ``max_words``: a language that has fewer gives all of
+    its own and leaves the others more. Pieces of one frequency are taken by hash.
+    """
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = ids.withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("doc_id").distinct()
+    ids = taught(docs).withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("doc_id").distinct()
     # per_lang ids a language, whatever the table's size
     texts = docs.select(col("doc_id").alias("doc_id"), col("lang").cast("string").alias("lang"), text_of().alias("text")).filter("lang is not null").join(F.broadcast(ids), "doc_id")
-    words = texts.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("word"))
-    return words.groupBy("lang", "word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang", "word").limit(max_words).collect()
+    words = texts.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)")).cast("array<binary>")).alias("word"))
+    cuts = F.sequence(F.lit(1), F.octet_length("word"), F.lit(PIECE))
+    pieces = words.filter(F.octet_length("word") > 0).select("lang", F.explode(F.transform(cuts, lambda at: F.substring(F.col("word"), at, F.lit(PIECE)))).alias("word"))
+    counted = pieces.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), F.xxhash64("word"), "word"))
+    return counted.withColumn("place", place).orderBy("place", F.xxhash64("lang"), "lang").limit(max_words).select("lang", "word", "n").collect()
 
 
 def learn(docs: DataFrame, *, per_lang: int = 300, max_words: int = 60_000) -> tuple[list[str], ByteGru | None]:
-    """The languages and a network trained on the words of a bounded sample, each with its share of every language as soft label."""
-    rows = sample_words(docs, per_lang, max_words)
-    langs = sorted({r.lang for r in rows})
-    if not langs:
+    """The languages and a network trained on the words of a bounded sample, each with its share of every language as soft label.
+
+    Every language of a labelled row is one. With very many of them the sample has FEWEST words of each, if there are.
+    """
+    langs = sorted(r.lang for r in taught(docs).select("lang").distinct().collect())
+    rows = sample_words(docs, per_lang, max(max_words, FEWEST * len(langs)))
+    if not rows:
         return [], None
     place, total = {name: k for k, name in enumerate(langs)}, dict.fromkeys(langs, 0)
     for r in rows:
         total[r.lang] += r.n
-    counts: dict[str, np.ndarray] = {}
+    words = list(dict.fromkeys(bytes(r.word) for r in rows))
+    at = {w: k for k, w in enumerate(words)}
+    mass = np.zeros((len(words), len(langs)), np.float32)
     for r in rows:
-        counts.setdefault(r.word, np.zeros(len(langs), np.float64))[place[r.lang]] += r.n / total[r.lang]
-    words = [w.encode()[:PIECE] for w in counts]
-    mass = np.array(list(counts.values()))
-    target = (mass / mass.sum(axis=1, keepdims=True)).astype(np.float32)
+        mass[at[bytes(r.word)], place[r.lang]] += r.n / total[r.lang]
+    weight = mass.sum(axis=1, dtype=np.float64)
+    mass /= mass.sum(axis=1, keepdims=True)
     net = ByteGru(len(langs))
-    net.train(words, target, np.sqrt(mass.sum(axis=1)))
+    net.train(words, mass, np.sqrt(weight))
     return langs, net
 
 
