@@ -12,6 +12,8 @@ from martloom.llm.common import col, small, stored
 #: Positions that count of each seed. Any 13 words in a row of which two differ contain, at some shift, all positions of one seed.
 SEEDS: tuple[tuple[int, ...], ...] = ((0, 1, 4, 5, 6, 9), (0, 2, 5, 7, 8, 9))
 WINDOW, EQUAL = 13, 11
+#: For items of so many words, whose few shifts leave some allowed differences in both seeds, positions that those avoid, and the item's words before them.
+OWN: dict[int, tuple[tuple[int, ...], int]] = {10: ((0, 1, 2, 3, 5, 6, 7), 1), 12: ((0, 3, 4, 5, 8, 10, 11), 0)}
 #: Tokens that a window may have before or after a seed in it, and seeds to a piece of text.
 EDGE, CHUNK = 3, 32
 #: Seeds of the benchmark up to which they are broadcast; more are joined by shuffle.
@@ -56,26 +58,28 @@ def chunks(df: DataFrame, span: int, *keep: str) -> DataFrame:
     return df.select(*keep, F.explode(pieces).alias("tokens"))
 
 
-def masks_for(items: DataFrame) -> list[tuple[int, ...]]:
-    """The spaced seeds, and one seed of all words for each length below theirs that some item has."""
+def masks_for(items: DataFrame) -> list[tuple[tuple[int, ...], int, int]]:
+    """(positions, words, before): the spaced seeds, for items of any length (words 0), and those used only for items of so many words.
+
+    Below the seeds' length these are all words of the item; at 10 and 12 words there is one more, which starts ``before`` words after the item does.
+    """
     least = min(m[-1] + 1 for m in SEEDS)
-    short = items.filter((F.size("item_tokens") > 0) & (F.size("item_tokens") < least)).select(F.size("item_tokens").alias("n")).distinct()
-    return [*SEEDS, *sorted(tuple(range(r.n)) for r in short.collect())]
+    lengths = items.filter((F.size("item_tokens") > 0) & (F.size("item_tokens") < WINDOW)).select(F.size("item_tokens").alias("n")).distinct()
+    found = sorted(r.n for r in lengths.collect())
+    return [*((m, 0, 0) for m in SEEDS), *((tuple(range(n)), n, 0) if n < least else (OWN[n][0], n, OWN[n][1]) for n in found if n < least or n in OWN)]
 
 
-def benchmark_seeds(items: DataFrame, masks: Sequence[Sequence[int]]) -> DataFrame:
-    """(seed, mask, left, around, item_id, n): the seeds of the items with the words around them, ``left`` of them before the seed.
+def benchmark_seeds(items: DataFrame, masks: Sequence[tuple[Sequence[int], int, int]]) -> DataFrame:
+    """(seed, mask, left, around, item_id): the seeds of the items with the words around them, ``left`` of them before the seed.
 
-    Equal surroundings of several items are one row with the smallest item, so a passage that many items share costs one row.
-    A short item's own seed is used for that item only.
+    The seeds of a mask for items of one length are used for those only.
     """
-    least = min(m[-1] + 1 for m in SEEDS)
-    spans = F.array(*[F.lit(m[-1] + 1) for m in masks])
-    s = _placed(items, "item_tokens", masks, "item_id").withColumn("span", F.get(spans, F.col("mask")))
-    s = s.filter((F.col("span") >= least) | (F.col("span") == F.size("item_tokens")))
-    left = F.least(F.col("at"), F.greatest(F.lit(WINDOW) - F.col("span"), F.lit(0)))
-    s = s.withColumn("left", F.when(F.col("span") < least, 0).otherwise(left))
-    around = F.slice("item_tokens", F.col("at") - F.col("left") + 1, F.col("left") + F.greatest(F.lit(WINDOW), F.col("span")))
+    get = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("mask"))
+    s = _placed(items, "item_tokens", [m for m, _, _ in masks], "item_id")
+    s = s.withColumn("span", get([m[-1] + 1 for m, _, _ in masks])).withColumn("words", get([n for _, n, _ in masks])).withColumn("before", get([b for _, _, b in masks]))
+    s = s.filter((F.col("words") == 0) | ((F.col("words") == F.size("item_tokens")) & (F.col("at") == F.col("before"))))
+    s = s.withColumn("left", F.when(F.col("words") > 0, F.col("before")).otherwise(F.least(F.col("at"), F.lit(WINDOW) - F.col("span"))))
+    around = F.slice("item_tokens", F.col("at") - F.col("left") + 1, F.when(F.col("words") > 0, F.col("words")).otherwise(F.col("left") + F.lit(WINDOW)))
     return s.select("seed", "mask", "left", around.alias("around"), "item_id").groupBy("seed", "mask", "left", "around").agg(F.min("item_id").alias("item_id"))
 
 
@@ -97,8 +101,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     masks = masks_for(items)
     seeds = small(stored(benchmark_seeds(items, masks), "benchmark-seeds").withColumnsRenamed({"mask": "seed_mask"}), BROADCAST)
     texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(F.coalesce(col("text").cast("string"), F.lit(""))).alias("content"), token_hashes(col("text")).alias("tokens"))
-    pieces = chunks(texts, max(m[-1] + 1 for m in masks), "doc_id", "content")
-    hits = _placed(pieces, "tokens", masks, "doc_id", "content", skip=EDGE, most=CHUNK).join(seeds, "seed").filter("mask = seed_mask")
+    pieces = chunks(texts, max(m[-1] + 1 for m, _, _ in masks), "doc_id", "content")
+    hits = _placed(pieces, "tokens", [m for m, _, _ in masks], "doc_id", "content", skip=EDGE, most=CHUNK).join(seeds, "seed").filter("mask = seed_mask")
     # what would lie before the text's start or after its end is no token, and equal to none
     ours = F.slice("tokens", F.col("at") - F.col("left") + (EDGE + 1), F.size("around"))
     hits = hits.select("doc_id", "content", "item_id", F.col("around").alias("theirs"), ours.alias("ours"), F.size("around").alias("wide"))
