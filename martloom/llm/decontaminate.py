@@ -80,7 +80,7 @@ def benchmark_seeds(items: DataFrame, masks: Sequence[tuple[Sequence[int], int,
     s = s.filter((F.col("words") == 0) | ((F.col("words") == F.size("item_tokens")) & (F.col("at") == F.col("before"))))
     s = s.withColumn("left", F.when(F.col("words") > 0, F.col("before")).otherwise(F.least(F.col("at"), F.lit(WINDOW) - F.col("span"))))
     around = F.slice("item_tokens", F.col("at") - F.col("left") + 1, F.when(F.col("words") > 0, F.col("words")).otherwise(F.col("left") + F.lit(WINDOW)))
-    return s.select("seed", "mask", "left", around.alias("around"), "item_id").groupBy("seed", "mask", "left", "around").agg(F.min("item_id").alias("item_id"))
+    return s.select("seed", "mask", "left", around.alias("around"), "item_id")
 
 
 def best_overlap(ours: Column, theirs: Column) -> Column:
@@ -91,30 +91,49 @@ def best_overlap(ours: Column, theirs: Column) -> Column:
     return F.array_max(sums)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, content, item_id, equal): documents that hold a passage of an item; content is a hash of the text, equal the most equal words.
+def passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, content, around, equal) of the documents that hold a passage of an item, and (around, item_id) of the items.
+
+    content is a hash of the text, around the words of the item around the passage, equal the most equal words. A passage that many items
+    share is found once, by its words; which items have it tells the second table.
 
     A passage is WINDOW words in a row of which at least EQUAL equal the item's at the same places; for an item of fewer words all
     of its words, with one difference at most per six (none below 10 words). Every passage holds a seed hit at which it is verified.
     """
     items = stored(benchmark.select("item_id", token_hashes(col("text")).alias("item_tokens")).filter("item_id is not null"), "benchmark-items")
     masks = masks_for(items)
-    seeds = small(stored(benchmark_seeds(items, masks), "benchmark-seeds").withColumnsRenamed({"mask": "seed_mask"}), BROADCAST)
+    placed = stored(benchmark_seeds(items, masks).distinct(), "benchmark-places")
+    seeds = stored(placed.select("seed", F.col("mask").alias("seed_mask"), "left", "around").distinct(), "benchmark-seeds")
     texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(F.coalesce(col("text").cast("string"), F.lit(""))).alias("content"), token_hashes(col("text")).alias("tokens"))
     pieces = chunks(texts, max(m[-1] + 1 for m, _, _ in masks), "doc_id", "content")
-    hits = _placed(pieces, "tokens", [m for m, _, _ in masks], "doc_id", "content", skip=EDGE, most=CHUNK).join(seeds, "seed").filter("mask = seed_mask")
+    hits = _placed(pieces, "tokens", [m for m, _, _ in masks], "doc_id", "content", skip=EDGE, most=CHUNK).join(small(seeds, BROADCAST), "seed").filter("mask = seed_mask")
     # what would lie before the text's start or after its end is no token, and equal to none
     ours = F.slice("tokens", F.col("at") - F.col("left") + (EDGE + 1), F.size("around"))
-    hits = hits.select("doc_id", "content", "item_id", F.col("around").alias("theirs"), ours.alias("ours"), F.size("around").alias("wide"))
-    hits = hits.select("doc_id", "content", "item_id", "wide", best_overlap(F.col("ours"), F.col("theirs")).alias("equal"))
+    hits = hits.select("doc_id", "content", "around", ours.alias("ours"), F.size("around").alias("wide"))
+    hits = hits.select("doc_id", "content", "around", "wide", best_overlap(F.col("ours"), F.col("around")).alias("equal"))
     need = F.when(F.col("wide") >= WINDOW, EQUAL).otherwise(F.col("wide") - F.floor(F.col("wide") / 6) * (F.col("wide") >= 10).cast("int"))
-    return hits.filter(F.col("equal") >= need).groupBy("doc_id", "content", "item_id").agg(F.max("equal").alias("equal"))
+    found = hits.filter(F.col("equal") >= need).groupBy("doc_id", "content", "around").agg(F.max("equal").alias("equal"))
+    return found, placed.select("around", "item_id").distinct()
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, content, item_id, equal): every document and item of which it holds a passage (see ``passages``), with the most equal words."""
+    found, owners = passages(docs, benchmark)
+    return found.join(owners, "around").groupBy("doc_id", "content", "item_id").agg(F.max("equal").alias("equal"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, content, item_id, n_items, equal) of the documents that hold benchmark passages: the smallest item, their number, the most equal words."""
-    return matches(docs, benchmark).groupBy("doc_id", "content").agg(
-        F.min("item_id").alias("item_id"), F.count("*").alias("n_items"), F.max("equal").alias("equal"))
+    """(doc_id, content, item_id, n_items, equal) of the documents that hold benchmark passages: the smallest item, their number, the most equal words.
+
+    Items are counted once for all documents that hold the same passages, so a passage that many items and many documents share is no product of both.
+    """
+    found, owners = passages(docs, benchmark)
+    held = found.groupBy("doc_id", "content").agg(F.sort_array(F.collect_set(F.xxhash64("around"))).alias("held"), F.max("equal").alias("equal"))
+    held = stored(held, "benchmark-held")
+    each = held.select("held").distinct().select("held", F.explode("held").alias("place"))
+    items = each.join(owners.select(F.xxhash64("around").alias("place"), "item_id").distinct(), "place")
+    counted = items.groupBy("held").agg(F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items"))
+    return held.join(counted, "held").select("doc_id", "content", "item_id", "n_items", "equal")
 
 
 def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -132,6 +151,6 @@ def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, all columns as they came."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__found_id"), F.col("content").alias("__found_content"))
+    found = passages(docs, benchmark)[0].select(F.col("doc_id").alias("__found_id"), F.col("content").alias("__found_content")).distinct()
     content = F.xxhash64(F.coalesce(col("text").cast("string"), F.lit("")))
     return docs.join(found, col("doc_id").eqNullSafe(F.col("__found_id")) & (content == F.col("__found_content")), "left_anti")

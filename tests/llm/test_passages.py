@@ -1,4 +1,4 @@
-"""Decontamination against brute force: short items."""
+"""Decontamination against brute force: short items, and items that share a passage."""
 
 import itertools
 import random
@@ -35,3 +35,15 @@ def test_all_differences_of_short_items_are_found(spark):
     assert {i for i, r in got.items() if r.contaminated} == want
     assert all(got[i].n_items == 1 for i in want)
     assert {r.doc_id for r in decontaminate.clean(table, benchmark).collect()} == set(docs) - want
+
+
+def test_items_that_share_a_passage_are_all_counted(spark):
+    prompt = [f"prompt{k}" for k in range(20)]
+    items = [(k, " ".join([*prompt, *[f"own{k}w{i}" for i in range(20)]])) for k in range(1, 6)] + [(6, "yes no"), (7, "yes no")]
+    docs = [(1, " ".join(prompt)), (2, " ".join([*prompt, *[f"own3w{i}" for i in range(20)]])), (3, " ".join(f"own4w{i}" for i in range(20))), (4, "say yes no"), (5, "no")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.item_id, r.n_items) for r in decontaminate.marked(table, benchmark).collect()}
+    assert got == {1: (1, 5), 2: (1, 5), 3: (4, 1), 4: (6, 2), 5: (None, 0)}
+    pairs = {(r.doc_id, r.item_id) for r in decontaminate.matches(table, benchmark).collect()}
+    assert pairs == {*((d, k) for d in (1, 2) for k in range(1, 6)), (3, 4), (4, 6), (4, 7)}
