@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martloom.llm import decontaminate, language, lm, mixing, quality, simhash, substring, suffix, toxicity, warc
+import public_tokenizers
+
+from martloom.llm import decontaminate, language, lm, mixing, negatives, packing, quality, repair, simhash, substring, suffix, toxicity, warc
 from martloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,8 +56,22 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_mix_sources, op4_language, op5_suffix_dedup, op6_quality, op7_substring_dedup, op8_lm_scores, op9_simhash_near_dedup,
-                                        op10_decontaminate)}
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    return repair.digest(repair.damaged(convs), convs.select("conv_id"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")), every=100, positives=5, negatives=5, low=80, high=100, scale=256)
+
+
+def op13_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), vocabulary=public_tokenizers.path("word_bpe_49k.json"), length=4096, end=2)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_warc, op2_toxicity, op3_mix_sources, op4_language, op5_suffix_dedup, op6_quality, op7_substring_dedup, op8_lm_scores, op9_simhash_near_dedup, op10_decontaminate,
+    op11_repair_conversations, op12_hard_negatives, op13_pack_sequences)}
 
 ORACLE: dict[str, str] = {}
 
@@ -161,3 +177,48 @@ SELECT d.doc_id, CAST(len(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
   sha256(unhex(CASE WHEN k.doc_id IS NULL THEN hx ELSE kept || substr(hx, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+
+ORACLE["op11_repair_conversations"] = r"""
+WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+coded AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(k) + 1), lambda i: [ascii(substr(k, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT) % 20 AS fault FROM named),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy FROM coded WHERE fault <> 0),
+sorted AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged),
+rows AS (SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair FROM sorted),
+counts AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv_id),
+inserts AS (SELECT * FROM (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (2, 2, 2), (3, 3, 0), (3, 2, 1), (3, 3, 2)) t(state, upon, times)),
+steps AS (SELECT * FROM (VALUES ('D', 0, '', 0, 2), ('D', 1, '', 1, 2), ('D', 2, '', 2, 2), ('D', 3, '', 3, 2), ('K', 0, 's', 1, 0), ('K', 0, 'u', 2, 0), ('K', 1, 'u', 2, 0), ('K', 2, 'a', 3, 0), ('K', 3, 'u', 2, 0),
+    ('R', 0, '', 2, 1), ('R', 1, '', 2, 1), ('R', 2, '', 3, 1), ('R', 3, '', 2, 1)) t(edit, upon, initial, next, price)),
+ways AS (SELECT conv_id, 0 AS i, 0 AS state, 0 AS cost, '' AS path, '' AS repaired FROM counts
+  UNION ALL
+  SELECT conv_id, i, state, best.cost, best.path, best.repaired FROM (
+    SELECT w.conv_id, w.i + 1 AS i, s.next AS state, min(struct_pack(
+        cost := w.cost + 5 * k.times + s.price + CASE WHEN s.edit <> 'D' AND r.fault = 'truncated' THEN 5 ELSE 0 END, path := w.path || repeat('I', k.times::BIGINT) || s.edit,
+        repaired := w.repaired || CASE WHEN k.times = 0 THEN '' WHEN w.state = 2 THEN chr(10) || 'assistant:' ELSE chr(10) || 'user:' END
+          || CASE WHEN k.times < 2 THEN '' WHEN w.state = 2 THEN chr(10) || 'user:' ELSE chr(10) || 'assistant:' END
+          || CASE WHEN s.edit = 'D' THEN '' WHEN s.edit = 'K' THEN chr(10) || r.role || ':' || r.text ELSE chr(10) || CASE WHEN s.next = 3 THEN 'assistant:' ELSE 'user:' END || r.text END)) AS best
+    FROM ways w JOIN inserts k ON w.state = k.state JOIN rows r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1
+    JOIN steps s ON s.upon = k.upon AND (s.initial = '' OR s.initial = r.initial) AND (s.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+    GROUP BY w.conv_id, w.i, s.next)),
+ends AS (SELECT w.conv_id, min(struct_pack(cost := w.cost + CASE w.state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END, path := w.path || CASE w.state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    repaired := w.repaired || CASE w.state WHEN 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN 2 THEN chr(10) || 'assistant:' ELSE '' END)) AS best
+  FROM ways w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n GROUP BY w.conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.path, '') AS audit, sha256(coalesce(substr(best.repaired, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id LEFT JOIN ends ON o.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, label, unnest(range(1, len(q) + 1)) AS k, unnest(q) AS x FROM v),
+p AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label, CAST(sum(a.x * c.x) AS BIGINT) AS score FROM c a JOIN c ON a.k = c.k WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+pos AS (SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM p WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT pos.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN p ON pos.anchor_id = p.anchor_id AND p.label <> pos.anchor_label AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
