@@ -7,7 +7,7 @@ from martloom.functions.numbers import (
 )
 from martloom.functions.text import (
     blank_to_null, clean_name, join_list, json_list, money_text, null_to_empty, sentinel_to_null,
-    strip_marks,
+    strip_marks, whole_characters,
 )
 from martloom.functions.times import (
     has_date_shape, is_offset_timestamp, local_timestamp, local_timestamp_text, to_datetime,
@@ -19,5 +19,5 @@ __all__ = [
     "has_date_shape", "has_leading_zero", "id_list", "is_integer", "is_number",
     "is_offset_timestamp", "join_list", "json_list", "local_timestamp", "local_timestamp_text",
     "money_text", "nan_to_null", "null_to_empty", "retyped", "sentinel_to_null", "strip_marks",
-    "to_datetime", "to_id", "typed_text", "value_in_text", "value_under", "year_in_range", "zero_date_to_null", "zero_if_null",
+    "to_datetime", "to_id", "typed_text", "value_in_text", "value_under", "whole_characters", "year_in_range", "zero_date_to_null", "zero_if_null",
 ]

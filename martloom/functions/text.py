@@ -49,6 +49,15 @@ def strip_marks(col: Column) -> Column:
     return F.replace(col, F.lit(S.BYTE_ORDER_MARK), F.lit(""))
 
 
+def whole_characters(json: Column) -> Column:
+    """JSON text without escapes of half characters (a surrogate without its other half), which no text can hold.
+
+    Pairs and escaped backslashes are read first, so they stay.
+    """
+    half = r"(\\\\|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2})|\\u[dD][89a-fA-F][0-9a-fA-F]{2}"
+    return F.when(F.lower(json).contains("\\ud"), F.regexp_replace(json, half, "$1")).otherwise(json)
+
+
 def money_text(col: Column) -> Column:
     """Digits and dots of an amount marked ``|EUR``; other text is unchanged.
 

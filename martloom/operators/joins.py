@@ -60,8 +60,8 @@ def chain(base: DataFrame, extras: Sequence[tuple[DataFrame, str]], key: str = "
 
     Columns that an earlier table already has are dropped from the later ones. All joins hash on
     the same key, so each table is shuffled once however many there are; inputs bucketed by it
-    are not shuffled at all. The key is the primary key of every table, which ``check_key``
-    verifies at load; set ``spread`` for sources where it reports violations.
+    are not shuffled at all. The key is the primary key of every table; a load counts in its audit row what breaks it. Set ``spread`` for
+    sources where it does.
     """
     out = base
     for table, table_key in extras:
@@ -100,55 +100,67 @@ def enrich_left(df: DataFrame, other: DataFrame, on: tuple[str, str], columns: M
     return join(rows, best, left_key, "_match", "left").drop("_match")
 
 
-def role_counts(relation: DataFrame, roles: Mapping[str, str], multi: str = "first") -> DataFrame:
-    """How often each record is named in each role: one row per id, an ``array<struct<role,n>>``.
-
-    ``multi="first"`` reads the leading id of a cell, ``"explode"`` every id of it. Counts are
-    taken per task before the shuffle, so one record may be named in any share of the rows.
-    """
+def role_cells(relation: DataFrame, roles: Mapping[str, str], multi: str = "first") -> DataFrame:
+    """(role, id): every id that a relation names, with the number of its role."""
     if multi not in ("first", "explode"):
         raise ValueError("multi is 'first' or 'explode'")
-
     read = fn.id_list if multi == "explode" else fn.first_id
     cells = relation.select(F.posexplode(F.array(*[read(F.col(c)) for c in roles.values()])).alias("role", "id"))
     if multi == "explode":
         cells = cells.select("role", F.explode("id").alias("id"))
-    counts = cells.where("id is not null").groupBy(F.col("id").alias("_role_id")).agg(
+    return cells.where("id is not null")
+
+
+def role_counts(relation: DataFrame, roles: Mapping[str, str], multi: str = "first") -> DataFrame:
+    """How often each record is named in each role: one row per id, an ``array<struct<role,n>>``.
+
+    ``multi="first"`` reads the leading id of a cell, ``"explode"`` every id of it. Counts are
+    taken per task before the shuffle, so one record may be named in any share of the rows.
+    """
+    counts = role_cells(relation, roles, multi).groupBy(F.col("id").alias("_role_id")).agg(
         *[F.count_if(F.col("role") == i).alias(f"_n{i}") for i in range(len(roles))]
     )
     named_n = [F.struct(F.lit(label).alias("role"), F.col(f"_n{i}").alias("n")) for i, label in enumerate(roles)]
     return counts.select("_role_id", F.filter(F.array(*named_n), lambda s: s["n"] > 0).alias("_roles"))
 
 
-def repeat_rows(df: DataFrame, count_col: str, key: str, copies_per_slice: int = COPIES_PER_SLICE) -> DataFrame:
-    """Every row ``count_col`` times; ``_slice`` numbers the groups of copies.
-
-    A row with many copies is first cut into slices that are shuffled apart, so its copies are
-    written by many tasks.
-    """
-    n, size = F.col(count_col), F.lit(copies_per_slice)
-    cut = df.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / size))))
-    cut = cut.withColumn("_m", F.least(size.cast("bigint"), n - F.col("_slice") * size).cast("int"))
-    apart = cut.repartition(shuffle_width(df.sparkSession), key, "_slice")
-    return apart.withColumn("_c", F.explode(F.array_repeat(F.lit(True), F.col("_m")))).drop("_c", "_m", count_col)
+def repeat_rows(df: DataFrame, count_col: str) -> DataFrame:
+    """Every row as often as ``count_col`` says; the copies stay in their task, side by side."""
+    return df.withColumn("_c", F.explode(F.array_repeat(F.lit(True), F.col(count_col).cast("int")))).drop("_c", count_col)
 
 
 def rows_by_roles(rows: DataFrame, relation: DataFrame, roles: Mapping[str, str], key: str = "ID",
                   multi: str = "first", dedupe: bool = False,
-                  copies_per_slice: int = COPIES_PER_SLICE) -> DataFrame:
+                  copies_per_slice: int = COPIES_PER_SLICE, order: Sequence[Column] = ()) -> DataFrame:
     """Records of ``rows`` named in a role, with a ``role`` column, once per naming row.
 
     Equals an inner join of the records with the relation table on each role column, for all
     roles together. The relation is reduced to counts before it is joined, and the copies are
-    made afterwards. ``dedupe`` gives every record once per role. ``_slice`` breaks ties when the
-    result is sorted.
+    made in the task of that join, so they are never shuffled. Records with more than ``copies_per_slice`` copies in a role are few (each takes
+    that many rows of the relation): their counts are broadcast, they are cut into slices, and the slices are shuffled apart, so many tasks write the
+    copies. ``dedupe`` gives every record once per role.
+
+    ``order`` sorts the result; it is the uncopied rows that are ranged and sorted. ``_slice`` numbers the slices of a record.
     """
-    joined = equi_join(rows, role_counts(relation, roles, multi), key, "_role_id", "inner")
-    each = joined.select(*[f"`{c}`" for c in rows.columns], F.explode("_roles").alias("_r"))
-    each = each.select(*[f"`{c}`" for c in rows.columns], F.col("_r.role").alias("role"), F.col("_r.n").alias("_copies"))
+    own, size = [f"`{c}`" for c in rows.columns], F.lit(copies_per_slice).cast("bigint")
+    counts = role_counts(relation, roles, multi)
+    most = F.array_max(F.transform("_roles", lambda r: r["n"]))
+
+    def named(right: DataFrame) -> DataFrame:
+        each = equi_join(rows, right, key, "_role_id", "inner").select(*own, F.explode("_roles").alias("_r"))
+        return each.select(*own, F.col("_r.role").alias("role"), F.col("_r.n").alias("_copies"))
+
     if dedupe:
-        return each.drop("_copies").withColumn("_slice", F.lit(0).cast("bigint"))
-    return repeat_rows(each, "_copies", key, copies_per_slice)
+        out = named(counts).drop("_copies").withColumn("_slice", F.lit(0).cast("bigint"))
+        return out.orderBy(*order) if order else out
+    light = named(counts.where(most <= size)).withColumn("_slice", F.lit(0).cast("bigint"))
+    heavy = named(F.broadcast(counts.where(most > size)))
+    heavy = heavy.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / size))))
+    heavy = heavy.withColumn("_copies", F.least(size, F.col("_copies") - F.col("_slice") * size))
+    if order:
+        return repeat_rows(light.unionByName(heavy).orderBy(*order, "_slice"), "_copies")
+    heavy = heavy.repartition(shuffle_width(rows.sparkSession), key, "_slice")
+    return repeat_rows(light.unionByName(heavy), "_copies")
 
 
 def role_by_relation(rows: DataFrame, relation: DataFrame, role_col: str, key: str = "ID",

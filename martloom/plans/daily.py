@@ -21,7 +21,7 @@ from martloom.plans.refresh import refresh_connector, refresh_entity, run_all
 from martloom.sources.catalogs import (
     entity_type_ids, field_catalogue, list_catalogue, positive_ids, rows_for_owners,
 )
-from martloom.sources.pages import read_envelope, unwrap_first, unwrap_key
+from martloom.sources.pages import LANDED, landing_order, read_envelope, unwrap_first, unwrap_key
 from martloom.sources.tables import load_table
 
 
@@ -43,14 +43,15 @@ Job = tuple[str, Callable[[], "bool | list[Job]"]]
 
 
 def _text(spark: SparkSession, landing: str, source: Source, name: str) -> DataFrame:
-    return spark.read.text(f"{landing.rstrip('/')}/{source.database}/{name}")
+    """Landed pages with their place in landing order."""
+    return spark.read.text(f"{landing.rstrip('/')}/{source.database}/{name}").select("value", landing_order().alias(LANDED))
 
 
 def list_jobs(spark: SparkSession, landing: str, root: str, source: Source, at: datetime) -> list[Job]:
     """One job per list of the list catalogue; the catalogue's names come to the driver."""
-    pages = _text(spark, landing, source, "lists").withColumn("page", F.monotonically_increasing_id())
-    rows = read_envelope(pages, "value", keep=["page"], place="place").select(
-        F.col("row")["NAME"].alias("NAME"), F.col("row")["ID"].alias("ID"), F.struct("page", "place").alias("position"))
+    pages = _text(spark, landing, source, "lists")
+    rows = read_envelope(pages, "value", keep=[LANDED], place="place").select(
+        F.col("row")["NAME"].alias("NAME"), F.col("row")["ID"].alias("ID"), F.struct(LANDED, "place").alias("position"))
 
     def job(name: str, list_id: str) -> Job:
         return f"entity_{name}", lambda: refresh_entity(
@@ -119,7 +120,7 @@ def daily_jobs(spark: SparkSession, landing: str, root: str, source: Source, at:
     jobs += [entity_job(spark, landing, root, source, at, e) for e in S.RECREATED]
     if source.connector:
         jobs += [(t, lambda t=t: refresh_connector(
-            pages(f"connector/{t}"), root, t, source.database, exclude=source.excluded.get(t, ())))
+            pages(f"connector/{t}"), root, t, source.database, exclude=source.excluded.get(t, ()), at=at))
                  for t in S.CONNECTOR_TABLES]
     return jobs
 

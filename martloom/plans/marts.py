@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martloom import settings as S
 from martloom.functions import to_id
@@ -16,6 +16,7 @@ from martloom.operators.joins import chain, enrich_left, rows_by_flags, rows_by_
 from martloom.operators.loading import write_mart
 from martloom.operators.ordering import sort_mart
 from martloom.sources.tables import MAIN, has_column, load_table
+from martloom.sources.versions import read_part, read_version
 
 #: The stored tables the marts read.
 TABLES = list(S.TABLE_KEYS)
@@ -73,9 +74,9 @@ BY_NAME = {m.name: m for m in MARTS}
 
 
 def read_tables(spark: SparkSession, root: str, database: str = MAIN,
-                suffix: str = "") -> dict[str, DataFrame]:
-    """The stored tables the marts need, by name; relation tables get their mart column names."""
-    tables = {t: load_table(spark, root, f"{t}{suffix}", database) for t in TABLES}
+                suffix: str = "", numbers: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+    """The stored tables the marts need, by name, or ``numbers`` of their versions; relation tables get their mart column names."""
+    tables = {t: load_table(spark, root, f"{t}{suffix}", database, numbers and numbers[t]) for t in TABLES}
     for entity in ENTITIES:
         name = f"entity_{entity}"
         if has_column(tables[name], "ID"):
@@ -105,11 +106,9 @@ def build_mart(tables: Mapping[str, DataFrame], mart: Mart | str, multi: str = "
     if mart.category is not None:
         out = by_category(out, mart.category)
     if mart.role:
-        out = rows_by_roles(out, tables[mart.role_table], {mart.name: mart.role}, "ID", multi, dedupe)
-        out, ties = out.drop("role"), [*ties, "_slice"]
-    if ordered and mart.order:
-        out = sort_mart(out, mart.order, ties)
-    return out.drop("_slice")
+        order = [F.col(k).asc_nulls_first() for k in (*mart.order, *ties)] if ordered else []
+        return rows_by_roles(out, tables[mart.role_table], {mart.name: mart.role}, "ID", multi, dedupe, order=order).drop("role", "_slice")
+    return sort_mart(out, mart.order, ties) if ordered and mart.order else out
 
 
 def contacts_by_flags(chained: DataFrame) -> DataFrame:
@@ -118,9 +117,9 @@ def contacts_by_flags(chained: DataFrame) -> DataFrame:
 
 
 def contacts_by_roles(chained: DataFrame, relation: DataFrame, roles: Mapping[str, str],
-                      multi: str = "first", dedupe: bool = False) -> DataFrame:
-    """The role marts of one relation table in one join, with a ``mart`` column."""
-    return rows_by_roles(chained, relation, roles, "ID", multi, dedupe).withColumnRenamed("role", "mart")
+                      multi: str = "first", dedupe: bool = False, order: Sequence[Column] = ()) -> DataFrame:
+    """The role marts of one relation table in one join, with a ``mart`` column; ``order`` sorts them before the copies are made."""
+    return rows_by_roles(chained, relation, roles, "ID", multi, dedupe, order=order).withColumnRenamed("role", "mart")
 
 
 def deals_by_categories(chained: DataFrame) -> DataFrame:
@@ -167,13 +166,18 @@ def enriched_leads(tables: Mapping[str, DataFrame], leads: DataFrame | None = No
     return out.select(*own, *S.LEAD_FROM_CONTACT.values(), *S.LEAD_FROM_DEAL.values())
 
 
-def mart_path(root: str, name: str) -> str:
-    """Folder of a written mart."""
-    for family, names in (("contacts_by_flag", S.CONTACT_FLAGS), ("contacts_by_deal_role", S.DEAL_ROLES),
-                          ("contacts_by_company_role", S.COMPANY_ROLES), ("deals_by_category", S.DEAL_CATEGORIES)):
-        if name in names:
-            return f"{root.rstrip('/')}/{family}/mart={name}"
-    return f"{root.rstrip('/')}/{name}"
+#: Marts that are written together, by the folder they share.
+FAMILIES = {"contacts_by_flag": S.CONTACT_FLAGS, "contacts_by_deal_role": S.DEAL_ROLES, "contacts_by_company_role": S.COMPANY_ROLES,
+            "deals_by_category": S.DEAL_CATEGORIES}
+BY_TABLE = {m.table: m.name for m in MARTS} | {ENRICHED_LEADS[1]: ENRICHED_LEADS[0]}
+
+
+def read_mart(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:
+    """A written mart by its name here or the one its readers know, as of a version of its folder; only its own files are read."""
+    name = BY_TABLE.get(name, name)
+    family = next((f for f, names in FAMILIES.items() if name in names), None)
+    root = root.rstrip("/")
+    return read_part(spark, f"{root}/{family}", number, mart=name) if family else read_version(spark, f"{root}/{name}", number)
 
 
 def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, clean: bool = True,
@@ -183,14 +187,15 @@ def write_all(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, c
     The contact and the deal chain are joined once and written as their marts; the flag, role and
     category marts and the enriched leads are derived from the written tables, one job per family, which also cuts the
     lineage. ``clean`` types the ids first; without it they are only typed for the enriched
-    leads. ``ranged`` sorts the two large marts over all their files, for another shuffle of all their rows.
+    leads. ``ranged`` sorts the two large marts over all their files, for another shuffle of all their rows. Each folder gets a new version when its
+    rows are complete; until then its readers have the old one.
 
     A family that fails does not stop the others, unless they are derived from it. With ``failed`` its names and first line of error
     are put there; without it the first error is raised when all families have had their turn.
     """
     root = root.rstrip("/")
     used = clean_ids(tables) if clean else tables
-    stored = lambda name: spark.read.parquet(f"{root}/{name}")
+    stored = lambda name: read_version(spark, f"{root}/{name}")
 
     def enriched() -> DataFrame:
         # the written marts have all columns that the leads take, so contacts and deals are not joined again

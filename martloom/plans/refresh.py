@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martloom import settings as S
 from martloom.functions.cleaning import clean_connector, clean_entity
 from martloom.operators.columns import drop_columns, keep_columns
-from martloom.operators.loading import SYNC_SCHEMA, load_if_nonempty, log_sync, retype_dates
+from martloom.operators.loading import SYNC_SCHEMA, key_faults, load_if_nonempty, log_sync, retype_dates
 from martloom.operators.quality import date_columns
-from martloom.sources.pages import TYPED_ROWS, dedupe_pages, matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
+from martloom.sources.pages import LANDED, TYPED_ROWS, check_pages, dedupe_pages, matrix_columns, read_envelope, read_matrix, spread_map, survey_pages
 from martloom.sources.tables import MAIN, table_path
 
 
@@ -36,20 +36,20 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
     columns before they are cleaned (unwrapping properties, picking owners), ``once_by`` is an id that
     counts once, from the earliest page that has it,
     ``find_dates`` types columns made of timestamps only, ``recreate`` drops the stored schema.
-    The audit row holds the stored and the declared count.
+    A page that is no complete JSON stops the load, so the stored table stays. The audit row holds the stored and the declared count, and what is wrong
+    with the key (``id`` or ``ID``) or the values.
     """
     if fields is None:
         fields, declared = survey_pages(pages, json_col, payload, items)
     else:
-        total = F.max(F.get_json_object(json_col, "$.total").try_cast("bigint"))
-        declared = pages.agg(total.alias("n")).first().n
+        declared = check_pages(pages, json_col)
     if not fields:
         return False
     if once_by:
-        # pages are lines of files, numbered in the order in which they were landed
-        numbered = pages.withColumn("_page_number", F.monotonically_increasing_id())
-        rows = read_envelope(numbered, json_col, payload, items, TYPED_ROWS, keep=["_page_number"])
-        first = dedupe_pages(rows.withColumn("_id", F.try_element_at("row", F.lit(once_by)).cast("string")), "_id", "_page_number")
+        numbered = pages if LANDED in pages.columns else pages.withColumn(LANDED, F.monotonically_increasing_id())
+        rows = read_envelope(numbered, json_col, payload, items, TYPED_ROWS, keep=[LANDED], place="_place")
+        named = rows.withColumn("_id", F.try_element_at("row", F.lit(once_by)).cast("string")).withColumn("_first", F.struct(LANDED, "_place"))
+        first = dedupe_pages(named, "_id", "_first")
         raw = spread_map(first, fields)
     else:
         raw = spread_map(read_envelope(pages, json_col, payload, items, TYPED_ROWS), fields)
@@ -61,18 +61,19 @@ def refresh_entity(pages: DataFrame, root: str, entity: str, at: datetime, datab
     if find_dates:
         rows = retype_dates(rows, date_columns(raw))
     table = f"entity_{entity}"
-    loaded = load_if_nonempty(rows, table_path(root, table, database), recreate)
+    id_col = next((c for c in ("id", "ID") if c in rows.columns), None)
+    loaded = load_if_nonempty(rows, table_path(root, table, database), recreate, id_col)
     if loaded:
-        log_sync(audit_row(pages.sparkSession, at, database, table, loaded, declared), root, database)
-    return loaded > 0
+        log_sync(audit_row(pages.sparkSession, at, database, table, loaded.rows, declared, key_faults(loaded)), root, database)
+    return loaded is not None
 
 
 def refresh_connector(documents: DataFrame, root: str, table: str, database: str = MAIN,
                       json_col: str = "value", empty_for_null: bool = False,
-                      exclude: Sequence[str] | None = None) -> bool:
-    """Load a connector table from landed header-row matrices; it has no declared count and no audit row.
+                      exclude: Sequence[str] | None = None, at: datetime | None = None) -> bool:
+    """Load a connector table from landed header-row matrices; it has no declared count, and an audit row only if its key is broken.
 
-    ``exclude`` lists the columns that are not stored, by default those of the settings.
+    ``exclude`` lists the columns that are not stored, by default those of the settings; ``at`` is the time of the audit row.
     """
     exclude = S.EXCLUDED_COLUMNS.get(table, []) if exclude is None else exclude
     columns = matrix_columns(documents, json_col)
@@ -80,7 +81,11 @@ def refresh_connector(documents: DataFrame, root: str, table: str, database: str
         return False
     rows = read_matrix(documents, json_col, columns)
     rows = clean_connector(drop_columns(rows, exclude), empty_for_null)
-    return load_if_nonempty(rows, table_path(root, table, database)) > 0
+    key = S.TABLE_KEYS.get(table)
+    loaded = load_if_nonempty(rows, table_path(root, table, database), id_col=key if key in rows.columns else None)
+    if loaded and at and (faults := key_faults(loaded)):
+        log_sync(audit_row(documents.sparkSession, at, database, table, loaded.rows, None, faults), root, database)
+    return loaded is not None
 
 
 def run_all(spark: SparkSession, jobs: Sequence[tuple[str, Callable[[], bool | list]]], root: str, at: datetime,

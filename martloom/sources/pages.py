@@ -14,6 +14,8 @@ from martloom import settings as S
 TYPED_ROWS = "map<string,variant>"
 #: Column that holds a page which is no complete JSON.
 CORRUPT = "_corrupt_record"
+#: Column with the place of a page in landing order, see :func:`landing_order`.
+LANDED = "_landed"
 
 
 def read_envelope(
@@ -31,13 +33,47 @@ def read_envelope(
     A page without the payload gives no rows. ``keep`` carries page columns along, such as the
     page number that :func:`dedupe_pages` orders by; ``place`` names a column for the record's place in its page.
     """
+    return page_rows(parse_pages(df, json_col, payload, items, row_schema, keep), payload, items, keep, place)
+
+
+def parse_pages(df: DataFrame, json_col: str, payload: str = "result", items: str | None = None, row_schema: str = "map<string,string>",
+                keep: Sequence[str] = (), corrupt: bool = False) -> DataFrame:
+    """Pages as a struct ``_page``; with ``corrupt`` it holds the text of a page that is no complete JSON."""
     body = f"array<{row_schema}>" if items is None else f"struct<`{items}`: array<{row_schema}>>"
-    page = F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint")
-    parsed = df.select(*keep, page.alias("_page"))
+    schema, told = f"`{payload}` {body}, `total` string", {}
+    if corrupt:
+        schema, told = f"{schema}, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}
+    return df.select(*keep, F.from_json(fn.whole_characters(F.col(json_col)), schema, told).alias("_page"))
+
+
+def page_rows(parsed: DataFrame, payload: str = "result", items: str | None = None, keep: Sequence[str] = (), place: str | None = None) -> DataFrame:
+    """The records of parsed pages, as :func:`read_envelope` gives them."""
     rows = F.col(f"_page.`{payload}`" if items is None else f"_page.`{payload}`.`{items}`")
+    total = F.col("_page.total").try_cast("bigint").alias("total")
     if place is None:
-        return parsed.select(*keep, F.explode(rows).alias("row"), F.col("_page.total").alias("total")).where("row is not null")
-    return parsed.select(*keep, F.posexplode(rows).alias(place, "row"), F.col("_page.total").alias("total")).where("row is not null")
+        return parsed.select(*keep, F.explode(rows).alias("row"), total).where("row is not null")
+    return parsed.select(*keep, F.posexplode(rows).alias(place, "row"), total).where("row is not null")
+
+
+def landing_order() -> Column:
+    """Place of a landed page among all: file names in order, numbers in them by value, then the line of the file.
+
+    For tables read from text files. Spark packs files into tasks by size, so the order of its tasks says nothing; inside a piece of a
+    file the lines are numbered in order.
+    """
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    padded = F.regexp_replace(F.regexp_replace(file, r"(\d+)", "00000000000000000000$1"), r"\d*(\d{20})(?!\d)", "$1")
+    return F.struct(padded.alias("name"), file.alias("file"), block.alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
+def check_pages(df: DataFrame, json_col: str) -> int | None:
+    """The largest declared total; a page that is no complete JSON raises an error, so that a load keeps the old table."""
+    page = F.from_json(F.col(json_col), f"`total` string, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT})
+    pages = df.select(page.alias("p")).select(F.col("p.total").try_cast("bigint").alias("total"), F.col(f"p.`{CORRUPT}`").isNotNull().alias("bad"))
+    found = pages.agg(F.max("total").alias("total"), F.count_if("bad").alias("bad")).first()
+    if found.bad:
+        raise ValueError(f"{found.bad} landed pages are no complete JSON")
+    return found.total
 
 
 def page_totals(df: DataFrame, json_col: str, by: str) -> DataFrame:
@@ -60,12 +96,10 @@ def survey_pages(df: DataFrame, json_col: str, payload: str = "result", items: s
     Names are distinct per page and per task before they are shuffled; one row per name comes to
     the driver.
     """
-    rows = "array<map<string,string>>"
-    body = rows if items is None else f"struct<`{items}`: {rows}>"
-    page = df.select(F.from_json(F.col(json_col), f"`{payload}` {body}, `total` bigint, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}).alias("_page"))
+    page = parse_pages(df, json_col, payload, items, corrupt=True)
     records = F.col(f"_page.`{payload}`" if items is None else f"_page.`{payload}`.`{items}`")
     names = F.array_distinct(F.flatten(F.transform(F.filter(records, lambda r: r.isNotNull()), F.map_keys)))
-    found = page.select(F.explode_outer(names).alias("name"), F.col("_page.total").alias("total"), F.col(f"_page.`{CORRUPT}`").isNotNull().alias("bad"))
+    found = page.select(F.explode_outer(names).alias("name"), F.col("_page.total").try_cast("bigint").alias("total"), F.col(f"_page.`{CORRUPT}`").isNotNull().alias("bad"))
     found = found.groupBy("name").agg(F.max("total").alias("total"), F.count_if("bad").alias("bad")).collect()
     if bad := sum(r.bad for r in found if r.name is None):
         raise ValueError(f"{bad} landed pages are no complete JSON")
@@ -73,16 +107,16 @@ def survey_pages(df: DataFrame, json_col: str, payload: str = "result", items: s
     return sorted(r.name for r in found if r.name is not None), max(totals, default=None)
 
 
-def spread_map(df: DataFrame, fields: Sequence[str], map_col: str = "row") -> DataFrame:
-    """One text column per field of a map column, in the order given; absent fields are NULL.
+def spread_map(df: DataFrame, fields: Sequence[str], map_col: str = "row", keep: Sequence[str] = ()) -> DataFrame:
+    """One text column per field of a map column, in the order given; absent fields are NULL. ``keep`` carries columns along.
 
     Cells read with :data:`TYPED_ROWS` keep apart lists, booleans and text that looks like them.
     """
-    cells = df.select(*[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])
+    cells = df.select(*keep, *[F.try_element_at(F.col(map_col), F.lit(f)).alias(f) for f in fields])
     if not isinstance(df.schema[map_col].dataType.valueType, VariantType):
         return cells
     cells = cells.select("*", *[F.col(f"`{f}`").cast("string").alias(f"_text {f}") for f in fields])
-    return cells.select(*[fn.typed_text(F.col(f"`{f}`"), F.col(f"`_text {f}`")).alias(f) for f in fields])
+    return cells.select(*keep, *[fn.typed_text(F.col(f"`{f}`"), F.col(f"`_text {f}`")).alias(f) for f in fields])
 
 
 def dedupe_pages(df: DataFrame, id_col: str, page_col: str | None = None) -> DataFrame:

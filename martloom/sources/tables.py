@@ -1,14 +1,15 @@
-"""Stored tables: Parquet folders under one root, partitioned by source database.
+"""Stored tables: versions of Parquet files under one root, one folder per table and source database.
 
-``<root>/<table>/database_name=<database>`` holds one source's rows. Reading the table folder gives
-all sources with a ``database_name`` column (with :func:`read_stored`, so that columns of one source only are not lost), and a
-filter on it reads only the folders it names.
+``<root>/<table>/database_name=<database>`` holds one source's rows, in versions (see :mod:`martloom.sources.versions`); a folder of
+plain Parquet files is read as it is. :func:`load_sources` gives the rows of all sources.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martloom.sources.versions import MANIFESTS, read_version
+
 
 #: Source database of a table when none is named.
 MAIN = "main"
@@ -19,14 +20,28 @@ def table_path(root: str, name: str, database: str = MAIN) -> str:
     return f"{root.rstrip('/')}/{name}/database_name={database}"
 
 
-def load_table(spark: SparkSession, root: str, name: str, database: str = MAIN) -> DataFrame:
-    """All rows that one source has in a stored table, with the columns of all its files."""
-    return read_stored(spark, table_path(root, name, database))
+def load_table(spark: SparkSession, root: str, name: str, database: str = MAIN, number: int | None = None) -> DataFrame:
+    """All rows that one source has in a stored table, of its newest version or of the one given."""
+    return read_stored(spark, table_path(root, name, database), number)
+
+
+def load_sources(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of all sources of a table, with a ``database_name`` column; columns that a source lacks are NULL."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/database_name=*")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    out = None
+    for folder in sorted(s.getPath().getName() for s in found):
+        rows = read_stored(spark, f"{root.rstrip('/')}/{name}/{folder}")
+        rows = rows.withColumn("database_name", F.lit(folder.partition("=")[2]))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no source has stored {name}")
+    return out
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A folder whose files may have different columns, because rows were appended or sources differ: it has all of them."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_stored(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
+    """A table's rows; its manifest tells files and columns, so no file is opened for them."""
+    return read_version(spark, path, number)
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, id_col: str, lower: int, upper: int,
@@ -41,10 +56,12 @@ def load_jdbc(spark: SparkSession, url: str, table: str, id_col: str, lower: int
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds Parquet files; asks the file system, reads none of them."""
-    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.parquet")
-    found = files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files)
-    return found is not None and len(found) > 0
+    """True when the folder has a version, or plain Parquet files; asks the file system, reads none of them."""
+    for pattern in (f"{MANIFESTS}/*.json", "*.parquet"):
+        files = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
+        if files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files):
+            return True
+    return False
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:

@@ -98,7 +98,7 @@ def test_from_landed_pages_to_marts(spark, tmp_path):
     marts.write_all(spark, tables, out)
 
     def mart(name, *columns):
-        return rows(spark.read.parquet(marts.mart_path(out, name)).select(*columns))
+        return rows(marts.read_mart(spark, out, name).select(*columns))
 
     assert mart("contacts", "ID", "EMAIL", "CONTACT_ID") == [(1, "a@x.example", None), (2, "b@x.example", "2")]
     assert mart("payer_1", "ID") == [(2,)]

@@ -2,6 +2,7 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.operators import joins as J
 from tests.conftest import rows
@@ -105,11 +106,13 @@ def test_dedupe_is_the_distinct_of_the_faithful_rows(spark):
 
 
 def test_copies_are_cut_into_slices(spark):
-    df = spark.createDataFrame([(1, 1), (2, 7), (3, 10)], "ID int, n bigint")
-    out = J.repeat_rows(df, "n", "ID", copies_per_slice=3)
-    assert Counter(r.ID for r in out.collect()) == {1: 1, 2: 7, 3: 10}
-    per_slice = Counter((r.ID, r._slice) for r in out.collect())
+    rows_, named = spark.range(1, 5).selectExpr("id as ID", "id % 2 as ODD"), spark.createDataFrame([(str(i),) for i in [1] + [2] * 7 + [3] * 10], "who string")
+    out = J.rows_by_roles(rows_, named, {"r": "who"}, copies_per_slice=3).collect()
+    assert Counter(r.ID for r in out) == {1: 1, 2: 7, 3: 10}
+    per_slice = Counter((r.ID, r._slice) for r in out)
     assert max(per_slice.values()) == 3 and len(per_slice) == 1 + 3 + 4
+    ordered = J.rows_by_roles(rows_, named, {"r": "who"}, copies_per_slice=3, order=[F.col("ODD").asc(), F.col("ID").asc()])
+    assert [r.ID for r in ordered.collect()] == [2] * 7 + [1] + [3] * 10
 
 
 def test_flags_in_one_pass(spark):

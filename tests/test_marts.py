@@ -52,11 +52,11 @@ def test_written_marts_equal_built_ones(spark, tables, tmp_path, clean, ranged):
     assert len(names) == 22
     used = M.clean_ids(tables) if clean else tables
     for name in ("contacts", "tutor", "payer_1", "recruiter", "deals_funding", "leads", "companies"):
-        stored = spark.read.parquet(M.mart_path(root, name))
+        stored = M.read_mart(spark, root, name)
         built = M.build_mart(used, name, ordered=False)
         assert stored.columns == built.columns
         assert rows(stored) == rows(built), name
-    stored = spark.read.parquet(M.mart_path(root, "leads_enriched"))
+    stored = M.read_mart(spark, root, "Prospects_TC")
     assert rows(stored) == rows(M.enriched_leads(tables))
 
 

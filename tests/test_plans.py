@@ -12,7 +12,7 @@ from workload import ORACLE, QUERIES
 from workload.views import crm_tables, load
 
 # these run jobs of their own while they are built
-_WRITES = {n for n, q in QUERIES.items() if "work_dir" in q.__code__.co_names} | {"snapshot_counts"}
+_WRITES = {n for n, q in QUERIES.items() if "work_dir" in q.__code__.co_names} | {"snapshot_counts", "daily_run", "daily_run_cells", "keyset_rows"}
 
 
 def plan(df):
@@ -113,3 +113,14 @@ def test_owner_rows_use_plain_shuffles_that_adaptive_skew_handling_can_split(spa
 def test_reconcile_reads_no_columns(spark, sf_dir):
     text = plan(load(spark, sf_dir, "lineitem").agg(F.count(F.lit(1))))
     assert "ReadSchema: struct<>" in text
+
+
+def test_copies_of_role_marts_are_not_shuffled(spark, sf_dir, no_broadcast):
+    # the plan reads from the result down: nothing is exchanged above the copies, sorted or not
+    text = plan(M.build_mart(crm_tables(spark, sf_dir), "tutor"))
+    copies = text.index("Generate explode(array_repeat")
+    assert "Exchange" not in text[:copies] and "rangepartitioning" in text[copies:]
+    chained = M.entity_chain(crm_tables(spark, sf_dir), "contact")
+    family = plan(M.contacts_by_roles(chained, crm_tables(spark, sf_dir)["entity_deal"], S.DEAL_ROLES))
+    copies = family.index("Generate explode(array_repeat")
+    assert "Exchange" not in family[:copies] and family.index("Union") > copies

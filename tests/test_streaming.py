@@ -1,5 +1,6 @@
 import json
 
+from martloom.sources import read_stored
 from martloom.streaming.arrivals import stream_new_rows
 from tests.conftest import rows
 
@@ -14,10 +15,10 @@ def test_only_unseen_ids_are_appended(spark, tmp_path):
     args = (spark, str(landed), str(tmp_path / "stored"), str(tmp_path / "checkpoint"), ["ID", "V"])
     land(landed, "a.json", {"ID": "1", "V": "x"}, {"ID": "1", "V": "x"}, {"ID": "2", "V": "non sélectionné"})
     stream_new_rows(*args)
-    assert rows(spark.read.parquet(str(tmp_path / "stored"))) == [("1", "x"), ("2", None)]
+    assert rows(read_stored(spark, str(tmp_path / "stored"))) == [("1", "x"), ("2", None)]
     land(landed, "b.json", {"ID": "2", "V": "late"}, {"ID": "3", "V": "z"})
     stream_new_rows(*args, files_per_batch=1)
-    assert rows(spark.read.parquet(str(tmp_path / "stored"))) == [("1", "x"), ("2", None), ("3", "z")]
+    assert rows(read_stored(spark, str(tmp_path / "stored"))) == [("1", "x"), ("2", None), ("3", "z")]
 
 
 def test_a_batch_run_again_adds_nothing(spark, tmp_path):
@@ -25,4 +26,4 @@ def test_a_batch_run_again_adds_nothing(spark, tmp_path):
     land(landed, "a.json", {"ID": "1", "V": "x"})
     for checkpoint in ("one", "two"):  # the second one has forgotten that the file is done
         stream_new_rows(spark, str(landed), str(tmp_path / "stored"), str(tmp_path / checkpoint), ["ID", "V"])
-    assert rows(spark.read.parquet(str(tmp_path / "stored"))) == [("1", "x")]
+    assert rows(read_stored(spark, str(tmp_path / "stored"))) == [("1", "x")]

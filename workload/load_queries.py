@@ -7,11 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from martloom.operators import columns as cols
-from martloom.operators import filters, loading, quality
+from martloom.operators import filters, gaps, loading, quality
 from martloom.operators.joins import new_rows as rows_not_in
 from martloom.plans.refresh import audit_row, refresh_connector, refresh_entity
 from martloom.session import work_dir
-from martloom.sources import load_table, table_path
+from martloom.sources import history, load_table, read_stored, read_version, table_path
 from martloom.streaming.arrivals import stream_new_rows as stream
 from workload.function_queries import raw, raw_orders
 from workload.oracle_views import CRM_TABLES
@@ -254,7 +254,7 @@ def refresh_keeps_schema(spark, d):
     path, c = table_path(work_dir(spark, "refresh"), "customer"), load(spark, d, "customer")
     loading.full_refresh(c, path)
     loading.full_refresh(c.select("c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").alias("c_rank")), path)
-    return spark.read.parquet(path)
+    return read_stored(spark, path)
 
 
 @query("SELECT c_custkey, c_nationkey AS c_rank FROM customer")
@@ -262,7 +262,7 @@ def replace_drops_schema(spark, d):
     path, c = table_path(work_dir(spark, "replace"), "customer"), load(spark, d, "customer")
     loading.full_refresh(c, path)
     loading.replace_table(c.select("c_custkey", F.col("c_nationkey").alias("c_rank")), path)
-    return spark.read.parquet(path)
+    return read_stored(spark, path)
 
 
 @query("SELECT * FROM customer")
@@ -270,7 +270,7 @@ def refresh_empty_skip(spark, d):
     path, c = table_path(work_dir(spark, "skip"), "customer"), load(spark, d, "customer")
     assert loading.load_if_nonempty(c, path)
     assert not loading.load_if_nonempty(c.where("c_custkey is null"), path)
-    return spark.read.parquet(path)
+    return read_stored(spark, path)
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders")
@@ -282,7 +282,7 @@ def append_only_new(spark, d):
     loading.append_new(o.join(items, "o_orderkey", "left_semi"), path, "o_orderkey")
     loading.append_new(o, path, "o_orderkey")
     loading.append_new(o, path, "o_orderkey")
-    return spark.read.parquet(path)
+    return read_stored(spark, path)
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
@@ -290,7 +290,7 @@ def mart_write(spark, d):
     path = work_dir(spark, "mart")
     o = load(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     loading.write_mart(o, path, ["o_orderkey"], by="o_orderstatus")
-    return spark.read.parquet(path)
+    return read_stored(spark, path)
 
 
 @query("""SELECT 'entity_item' AS table_name, n AS stored, CAST(n AS BIGINT) AS db_entry_count,
@@ -325,4 +325,76 @@ def stream_new_rows(spark, d):
     for _ in range(2):
         pages.write.mode("append").text(f"{root}/landed")
         stream(spark, f"{root}/landed", f"{root}/stored", f"{root}/checkpoint", ["ID", "KIND", "VALUE"])
-    return spark.read.parquet(f"{root}/stored")
+    return read_stored(spark, f"{root}/stored")
+
+
+@query("SELECT * FROM customer")
+def older_version(spark, d):
+    """The first version, read after two more loads and from a snapshot that was taken before them."""
+    root = work_dir(spark, "versions")
+    path, c = table_path(root, "customer"), load(spark, d, "customer")
+    loading.full_refresh(c, path)
+    loading.snapshot(spark, root, ["customer"])
+    loading.full_refresh(c.withColumn("c_name", F.lit("changed")), path)
+    loading.replace_table(c.select("c_custkey"), path)
+    first, copy = read_version(spark, path, 1), load_table(spark, root, "customer_transform")
+    return first.join(copy, c.columns, "left_semi")
+
+
+@query("""SELECT v AS version, operation, (SELECT count(*) FROM customer) AS n_rows, name AS column_name, kind AS column_type, lost AS n_nulled
+          FROM (VALUES (1, 'refresh', 'c_custkey', 'bigint', 0), (1, 'refresh', 'c_nationkey', 'int', 0), (2, 'refresh', 'c_custkey', 'bigint', 0),
+                       (2, 'refresh', 'c_nationkey', 'int', 1), (2, 'refresh', 'c_name', 'string', 0), (3, 'replace', 'c_name', 'string', 0)) t(v, operation, name, kind, low)
+          JOIN (SELECT 0 AS low, 0::BIGINT AS lost UNION ALL SELECT 1, count(*) FROM customer WHERE c_acctbal < 0) USING (low)""")
+def version_history(spark, d):
+    """Columns of every version, and the values that the stored type could not hold, without opening a data file."""
+    path, c = table_path(work_dir(spark, "history"), "customer"), load(spark, d, "customer")
+    nation = F.when(F.col("c_acctbal") < 0, "none").otherwise(F.col("c_nationkey").cast("string"))
+    loading.full_refresh(c.select("c_custkey", "c_nationkey"), path)
+    loading.full_refresh(c.select("c_custkey", nation.alias("c_nationkey"), "c_name"), path)
+    loading.replace_table(c.select("c_name"), path)
+    return history(spark, path)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders")
+def append_interleaved(spark, d):
+    """Batches of interleaved ids, repeated in part: unseen ids are told from bitmaps."""
+    path = work_dir(spark, "interleaved")
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    for rest in (0, 1, 2):
+        loading.append_new(o.where(F.col("o_orderkey") % 3 <= rest), path, "o_orderkey")
+    return read_stored(spark, path)
+
+
+@query("""SELECT "ID", "SOURCE_ID" FROM crm_lead""", "crm_lead")
+def append_text_ids(spark, d):
+    """Ids that are integers, and ids that are text."""
+    path, leads = work_dir(spark, "text-ids"), crm_lead(spark, d).select("ID", "SOURCE_ID")
+    loading.append_new(leads.where("SOURCE_ID in ('error', 'view')"), path, "ID")
+    loading.append_new(leads, path, "ID")
+    return read_stored(spark, path)
+
+
+@query("""SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_ids, CAST(sum(n - 1) AS BIGINT) AS n_repeats
+          FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""")
+def distinct_stored_ids(spark, d):
+    path = table_path(work_dir(spark, "ids"), "lineitem")
+    loading.replace_table(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), path, "l_orderkey")
+    return loading.distinct_stored_ids(spark, path, "l_orderkey")
+
+
+@query("SELECT l_orderkey AS id, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+def repeated_stored_ids(spark, d):
+    path = table_path(work_dir(spark, "repeats"), "lineitem")
+    loading.replace_table(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), path, "l_orderkey")
+    return loading.repeated_stored_ids(spark, path)
+
+
+@query("""WITH landed AS (SELECT DISTINCT o_orderpriority AS source, o_orderkey // 5 AS page FROM orders WHERE o_orderstatus = 'F'),
+               wanted AS (SELECT source, unnest(range(0, n)) AS page FROM (SELECT o_orderpriority AS source, CAST(ceil(max(o_orderkey) / 5) AS BIGINT) AS n FROM orders GROUP BY 1)),
+               missing AS (SELECT source, page, page - row_number() OVER (PARTITION BY source ORDER BY page) AS run FROM wanted ANTI JOIN landed USING (source, page))
+          SELECT source, min(page) AS first, max(page) AS last, count(*) AS n_missing FROM missing GROUP BY source, run""")
+def missing_pages(spark, d):
+    """Pages of five records of which none has landed, as runs, by the declared totals."""
+    o = load(spark, d, "orders").withColumnRenamed("o_orderpriority", "source")
+    pages = o.where("o_orderstatus = 'F'").select("source", (F.floor(F.col("o_orderkey") / 5) * 5).alias("start"))
+    return gaps.missing_pages(pages, o.groupBy("source").agg(F.max("o_orderkey").alias("n_source")), "source", size=5)

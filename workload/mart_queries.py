@@ -9,11 +9,14 @@ from martloom.operators.columns import drop_shared
 from martloom.operators.filters import int_ids
 from martloom.operators.joins import role_by_relation
 from martloom.operators.ordering import sort_mart
+from martloom.operators.loading import replace_table
 from martloom.plans import marts as M
+from martloom.plans.upkeep import keep_up
 from martloom.session import work_dir
+from martloom.sources import load_table, table_path
 from workload.oracle_views import CRM_TABLES
 from workload.registry import query
-from workload.views import crm_tables
+from workload.views import VIEWS, crm_tables
 
 _CHAIN = {"contact": "contact_chain", "deal": "deal_chain", "lead": "lead_chain", "company": "company_chain"}
 _WHOLE = {"contacts": "contacts_mart", "deals": "deals_mart", "leads": "leads_mart", "companies": "companies_mart"}
@@ -172,7 +175,39 @@ def marts_written(spark, d):
     counts = None
     for name in M.write_all(spark, crm_tables(spark, d), root):
         whole = F.when(F.col("ID").cast("string").rlike("^-?[0-9]{1,18}$"), F.col("ID").try_cast("bigint"))
-        one = spark.read.parquet(M.mart_path(root, name)).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(whole).alias("id_sum"))
+        one = M.read_mart(spark, root, name).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(whole).alias("id_sum"))
         one = one.select(F.lit(name).alias("mart"), "n_rows", "id_sum")
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+_CHANGED = """
+SELECT 'contacts' AS mart, CAST("ID" AS VARCHAR) AS id, CASE WHEN "ID" % 90 = 1 THEN upper("EMAIL") ELSE "EMAIL" END AS cell FROM contact_chain
+UNION ALL SELECT 'Tuteur2', CAST(c."ID" AS VARCHAR), CASE WHEN c."ID" % 90 = 1 THEN upper(c."EMAIL") ELSE c."EMAIL" END
+  FROM contact_chain c JOIN entity_deal r ON c."ID" = try_cast(r."sql_UF_CRM_1602495367" AS BIGINT) WHERE r."entity_deal_ID" % 70 <> 2
+UNION ALL SELECT 'deals', CAST("ID" AS VARCHAR), CASE WHEN "ID" % 80 = 3 THEN 'changed' ELSE "SOURCE_NAME" END FROM deal_chain
+UNION ALL SELECT 'companies', CAST("ID" AS VARCHAR), CAST("UF_ORDERS" AS VARCHAR) FROM company_chain WHERE "ID" % 60 <> 4
+UNION ALL SELECT 'Prospects_TC', l."ID", d.name FROM lead_chain l LEFT JOIN (
+    SELECT "LEAD_ID", arg_min(coalesce(CASE WHEN "ID" % 80 = 3 THEN 'changed' ELSE "SOURCE_NAME" END, ''), "ID") AS name FROM crm_deal WHERE regexp_full_match("LEAD_ID", '-?[0-9]+') GROUP BY 1) d
+  ON l."ID" = d."LEAD_ID" WHERE regexp_full_match(l."ID", '-?[0-9]+')"""
+
+
+@query(_CHANGED, *_CHAIN.values(), "entity_deal", "crm_deal")
+def marts_kept_up(spark, d):
+    """All marts written, then some contacts, deals, relations and companies changed, then only the touched blocks written anew."""
+    root, out = work_dir(spark, "kept-tables"), work_dir(spark, "kept-marts")
+    for name, view in VIEWS.items():
+        replace_table(view(spark, d), table_path(root, name))
+    keep_up(spark, root, out, bits=10)
+    cells = {"crm_contact": ("EMAIL", F.when(F.col("ID") % 90 == 1, F.upper("EMAIL")).otherwise(F.col("EMAIL"))),
+             "crm_deal": ("SOURCE_NAME", F.when(F.col("ID") % 80 == 3, "changed").otherwise(F.col("SOURCE_NAME")))}
+    for name, (column, value) in cells.items():
+        replace_table(load_table(spark, root, name).withColumn(column, value), table_path(root, name))
+    replace_table(load_table(spark, root, "entity_deal").where("entity_deal_ID % 70 <> 2"), table_path(root, "entity_deal"))
+    replace_table(load_table(spark, root, "crm_company").where("ID % 60 <> 4"), table_path(root, "crm_company"))
+    keep_up(spark, root, out, bits=10)
+    rows = None
+    for mart, cell in (("contacts", "EMAIL"), ("Tuteur2", "EMAIL"), ("deals", "SOURCE_NAME"), ("companies", "UF_ORDERS"), ("Prospects_TC", "Transactions_SOURCE_NAME")):
+        one = M.read_mart(spark, out, mart).select(F.lit(mart).alias("mart"), F.col("ID").cast("string").alias("id"), F.col(cell).cast("string").alias("cell"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

@@ -58,6 +58,19 @@ def _land(spark, d, folder):
                                ("lead", load(spark, d, "events"), "event_id"), ("company", load(spark, d, "supplier"), "s_suppkey")):
         put(f"fields/{entity}", nation, F.to_json(F.struct(fields.alias("result"))))
         put(entity, table, _page(F.col(key) + 1, F.col(key).alias("ID"), F.col(key).alias("UF_REL"), F.lit("t").alias("TITLE")))
+    for name in S.CONNECTOR_TABLES:
+        head, row = F.array(F.lit(S.TABLE_KEYS[name]), F.lit("V")), F.array(F.col("c_custkey").cast("string"), "c_name")
+        put(f"connector/{name}", customer, F.to_json(F.array(head, row)))
+
+
+def _run(spark, d, connector):
+    root = work_dir(spark, "run")
+    _land(spark, d, f"{root}/landed")
+    source = Source("main", product_sections=True, product_rows={"entity_140": "T8c"}, connector=connector)
+    failed = run_source(spark, f"{root}/landed", f"{root}/tables", source, AT)
+    assert not failed, failed
+    return f"{root}/tables"
+
 
 _COUNTS = {
     "entity_product": "SELECT count(*) AS n, max(p_partkey) + 1 AS m FROM part",
@@ -79,12 +92,28 @@ _RUN_SQL = "\nUNION ALL ".join(
 @query(_RUN_SQL)
 def daily_run(spark, d):
     """The audit table of a run over landed pages of every kind."""
-    root = work_dir(spark, "run")
-    _land(spark, d, f"{root}/landed")
-    source = Source("main", product_sections=True, product_rows={"entity_140": "T8c"}, connector=False)
-    failed = run_source(spark, f"{root}/landed", f"{root}/tables", source, AT)
-    assert not failed, failed
-    return load_table(spark, f"{root}/tables", SYNC_LOG).select("table_name", "db_entry_count", "crm_entry_count")
+    return load_table(spark, _run(spark, d, False), SYNC_LOG).select("table_name", "db_entry_count", "crm_entry_count")
+
+
+@query("""SELECT 'entity_product' AS table_name, CAST(p_partkey AS VARCHAR) AS id, p_brand AS cell FROM part
+          UNION ALL SELECT 'entity_productsection', CAST(p_partkey AS VARCHAR), p_type FROM part
+          UNION ALL SELECT 'entity_140', CAST(o_orderkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' 01:02:03' FROM orders
+          UNION ALL SELECT 'entity_product_entity_140', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR) FROM lineitem
+            WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 0)
+          UNION ALL SELECT 'entity_company', CAST(s_suppkey AS VARCHAR), CAST(s_suppkey AS VARCHAR) FROM supplier
+          UNION ALL SELECT 'crm_deal_uf', CAST(c_custkey AS VARCHAR), c_name FROM customer
+          UNION ALL SELECT 'entity_seg_' || c_mktsegment, CAST(c_custkey AS VARCHAR), c_name FROM customer""")
+def daily_run_cells(spark, d):
+    """The cells that a run with connector tables has stored, of a table of each kind."""
+    root, out = _run(spark, d, True), None
+    segments = [f"entity_seg_{r[0]}" for r in load(spark, d, "customer").select("c_mktsegment").distinct().collect()]
+    cells = [("entity_product", "ID", "PROPERTY_5"), ("entity_productsection", "ID", "NAME"), ("entity_140", "id", "createdTime"),
+             ("entity_product_entity_140", "ownerId", "productId"), ("entity_company", "ID", "UF_REL"), ("crm_deal_uf", S.TABLE_KEYS["crm_deal_uf"], "V"),
+             *[(name, "ID", "PROPERTY_9") for name in segments]]
+    for name, key, cell in cells:
+        one = load_table(spark, root, name).select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("id"), F.col(cell).cast("string").alias("cell"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("SELECT * FROM deal_chain", "deal_chain")

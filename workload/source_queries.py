@@ -9,6 +9,7 @@ from martloom.functions.cleaning import clean_entity
 from martloom.operators.columns import fields_of_type
 from martloom.operators.loading import replace_table
 from martloom.operators.ordering import top_page
+from martloom.operators.quality import max_id
 from martloom.session import work_dir
 from workload.registry import query
 from workload.views import load
@@ -105,9 +106,13 @@ def keyset_page(spark, d):
     return src.keyset_scan(load(spark, d, "orders"), "o_orderkey", 100, limit=50)
 
 
-@query("SELECT * FROM lineitem WHERE l_orderkey > 0 AND l_orderkey <= 1000")
+@query("""SELECT * FROM lineitem WHERE l_orderkey > (SELECT max(l_orderkey) // 4 FROM lineitem)
+                                   AND l_orderkey <= (SELECT max(l_orderkey) // 4 * 3 FROM lineitem)""")
 def keyset_rows(spark, d):
-    return src.keyset_scan(load(spark, d, "lineitem"), "l_orderkey", 0, upto=1000)
+    """The middle half of the ids."""
+    items = load(spark, d, "lineitem")
+    quarter = max_id(items, "l_orderkey").first().max_id // 4
+    return src.keyset_scan(items, "l_orderkey", quarter, upto=3 * quarter)
 
 
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 50")
@@ -183,4 +188,4 @@ def stored_table(spark, d):
         assert not src.has_table(spark, path)
         replace_table(load(spark, d, "customer"), path)
         assert src.has_table(spark, path) and src.has_column(src.load_table(spark, root, "customer", database), "C_CUSTKEY")
-    return spark.read.parquet(f"{root}/customer").select(*src.column_names(spark, path), "database_name")
+    return src.load_sources(spark, root, "customer").select(*src.column_names(spark, path), "database_name")
