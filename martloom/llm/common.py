@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,9 +44,11 @@ def remainder(doc_id: str, modulus: int) -> Column:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; one of this machine only where that is unset, as in tests."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset one of this machine, if the whole session is one process, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="martloom-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"

@@ -19,19 +19,30 @@ from martloom.llm.common import col, stored
 BUCKET_BYTES = 16 << 20
 #: Answers to 256 neighbouring rows travel together.
 BLOCK_BITS = 8
+#: Bits of a row's number that tell its place in its file.
+PLACE_BITS = 36
 PLACES = "bucket int, block long, data binary"
 FOUND = "block long, data binary"
 
 
 def numbered(docs: DataFrame, stable: bool) -> DataFrame:
-    """``docs`` with a number ``id`` for every row that is the same each time the table is read.
+    """``docs`` with a number ``id`` for every row that is the same each time the table is read, whatever the cluster is by then.
 
-    Rows are numbered by file split and place, which only holds for tables read straight from files (``stable``); anything else is
-    written first. Input columns named ``id`` are replaced by it, so keep them inside a struct.
+    A row's number is that of its file, by name, and its place in the file, not that of a task: how Spark cuts files into tasks hangs on the
+    cores it has just then. ``stable`` says that ``docs`` comes straight from Parquet files; anything else is written first. The file names come to
+    the driver, which holds them to plan the scan, and go back in a broadcast. Input columns named ``id`` are replaced, so keep them
+    inside a struct; ``docs`` may be a selection of columns.
     """
     if not stable:
         docs = stored(docs, "numbered")
-    return docs.withColumn("id", F.monotonically_increasing_id())
+    file = F.col("_metadata.file_path")
+    names = sorted(r.file for r in docs.select(file.alias("file")).distinct().collect())
+    if len(names) < 2:
+        return docs.select("*", F.col("_metadata.row_index").alias("id"))
+    order = docs.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_file string, _number long")
+    placed = docs.select("*", file.alias("_path"), F.col("_metadata.row_index").alias("_place"))
+    found = placed.join(F.broadcast(order), F.col("_path") == F.col("_file"))
+    return found.withColumn("id", F.shiftleft("_number", PLACE_BITS) + F.col("_place")).drop("_file", "_number", "_path", "_place")
 
 
 def buckets_for(docs: DataFrame) -> int:

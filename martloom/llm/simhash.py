@@ -18,8 +18,6 @@ from martloom.llm.repeats import numbered
 #: The eight bits of a byte, one to a byte of a 64-bit word: 255 hashes can be added up without a carry between bits.
 LANES = np.array([int.from_bytes(bytes((b >> k) & 1 for k in range(8)), "little") for b in range(256)], dtype=np.uint64)
 PIECE, BLOCK = 255, 1 << 16
-#: Texts of a bucket above which it is divided by rare shingles; the band of the buckets that this makes.
-SPLIT, RARE = 16, -3
 
 
 def shingle_hashes(tokens: Column, size: int) -> Column:
@@ -98,13 +96,16 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def groups(prints: DataFrame, radius: int = 2) -> DataFrame:
+def groups(prints: DataFrame, radius: int = 2, component: str = "id") -> DataFrame:
     """(print, component_id) of every distinct print; component_id is the smallest ``id`` reachable over links, itself included.
 
-    ``prints`` (id, print) should be a stored table: it is read three times.
+    With ``component="print"`` the smallest print reachable is given instead, as ``component``. ``prints`` (id, print) should be a stored table: it
+    is read three times.
     """
     nodes = prints.groupBy("print").agg(F.min("id").alias("id"))
     roots = components(links(prints, radius)).withColumnRenamed("a", "print")
+    if component == "print":
+        return nodes.join(roots, "print", "left").select("print", F.coalesce("root", "print").alias("component"))
     placed = stored(nodes.join(roots, "print", "left").select("print", "id", F.coalesce("root", "print").alias("root")), "simhash-nodes")
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     return placed.join(least, "root").select("print", "component_id")
@@ -122,137 +123,16 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> Da
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def sampled_prints(hashes: np.ndarray, starts: np.ndarray, bands: int, sample: int) -> np.ndarray:
-    """SimHashes (texts, bands) of small samples: in each band the ``sample`` shingles whose hash is smallest in that band's order.
+def one_of_each(docs: DataFrame, *, shingle: int = 3, radius: int = 2, stable: bool = False) -> DataFrame:
+    """``docs`` without near duplicates: of each component of ``near_duplicates`` the row with the smallest doc_id stays, of rows that share it the first.
 
-    Two texts of which a share J of all shingles is common have the same sample, and print, in a band with a probability of about
-    J ** sample; the print of a whole text moves by some bits with every changed shingle.
-    """
-    out = np.zeros((len(starts) - 1, bands), np.uint64)
-    seeds = np.random.default_rng(1).integers(0, 2**63, bands, dtype=np.uint64) | np.uint64(1)
-    for i, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
-        h = np.unique(hashes[a:b])
-        if not len(h):
-            continue
-        picks = []
-        for seed in seeds:
-            order = h * seed
-            order ^= order >> np.uint64(32)
-            order *= np.uint64(0x9E3779B97F4A7C15)
-            picks.append(h[np.argpartition(order, sample)[:sample]] if len(h) > sample else h)
-        size = len(picks[0])
-        flat = np.concatenate(picks)
-        # a majority of an even number drops ties, so the sum of the sample tells apart what the bits leave equal
-        out[i] = majority(flat, np.arange(bands + 1) * size) ^ (np.bitwise_xor.reduce(flat.reshape(bands, size), axis=1) * seeds)
-    return out
-
-
-def _sketches(bands: int, sample: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("hashes")
-            starts = lists.offsets.to_numpy().astype(np.int64)
-            hashes = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False)[starts[0]:starts[-1]].astype(np.int64)).view(np.uint64)
-            prints = sampled_prints(hashes, starts - starts[0], bands, sample).view(np.int64)
-            whole = majority(hashes, starts - starts[0]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("content"), pa.array(whole), pa.array(list(prints), pa.list_(pa.int64()))],
-                                             ["id", "content", "print", "bands"])
-    return run
-
-
-def prefixes(texts: DataFrame, similarity: float) -> DataFrame:
-    """(id, key): of every text (id, n, s: its n different shingles) so many of its rarest shingles that similar texts share one.
-
-    Texts of at least ``similarity`` have that share of each one's shingles in common, so they cannot differ in all of the rest and one more,
-    in whichever order all texts are read. Rare shingles come first: what many of the texts hold keeps none of them together.
-    """
-    each = texts.select("id", "n", F.explode("s").alias("key"))
-    counted = each.groupBy("key").agg(F.count("*").alias("held"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("held", "key"))
-    most = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - F.lit(1e-6)) + 1
-    return each.join(counted, "key").withColumn("rank", rank).filter((F.col("rank") <= most) & (F.col("held") > 1)).select("id", "key")
-
-
-def open_buckets(left: DataFrame) -> DataFrame:
-    """The rows of ``left`` (band, key, id, root, n) in buckets whose texts are not all connected yet, with the number of ``members``."""
-    sizes = left.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    return left.join(sizes.filter("low <> high").select("band", "key", "members"), ["band", "key"])
-
-
-def similar_links(rows: DataFrame, *, shingle: int, radius: int, similarity: float, bands: int, sample: int) -> DataFrame:
-    """Links (a, b) between rows (id: long, text) that connect texts of which at least ``similarity`` of all shingles is common.
-
-    Rows of one text, or of none, are linked to the first of them, unseen by what follows. Candidates meet in buckets: the balls of
-    whole-text prints within ``radius``, and equal prints of samples. In a bucket the first text is held against every other one, by their
-    whole sets of shingles, and leaves. The links found so far are joined to components, and a bucket goes on, with its next four
-    first texts, then sixteen, and so on, until those left in it are all connected; connected texts are not held against each other. So any
-    two texts that meet are compared or connected, in a chain as well. A bucket of over SPLIT texts that are not connected after the
-    first round is divided: its texts meet again by rare shingles (``prefixes``), which loses no link.
-    """
-    split = rows.select("id", "text", words(ascii_lower(text_of())).alias("tokens"))
-    split = split.select("id", F.xxhash64(F.when(F.size("tokens") > 0, F.col("text")).otherwise("")).alias("content"), "tokens")
-    hashed = split.select("id", "content", shingle_hashes(F.col("tokens"), shingle).alias("hashes"))
-    sketches = stored(hashed.mapInArrow(_sketches(bands, sample), "id long, content long, print long, bands array<long>"), "simhash-sketches")
-    first = sketches.groupBy("content").agg(F.min("id").alias("first"))
-    copies = sketches.select("id", "content").join(first, "content").filter("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    nodes = sketches.join(first, "content").filter("id = first")
-    # buckets (key: band and print, or the smallest print of a ball) of at least two texts
-    banded = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    near = links(nodes, radius)
-    balls = near.union(near.select("b", "b")).toDF("print", "key").distinct().join(nodes.select("id", "print"), "print").select("id", F.lit(-1).alias("band"), "key")
-    same = nodes.select("id", F.lit(-2).alias("band"), F.col("print").alias("key"))
-    every = banded.union(balls).union(same)
-    full = every.groupBy("band", "key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").select("band", "key")
-    met = stored(every.join(full, ["band", "key"]), "simhash-buckets")
-    members = met.select("id").distinct()
-    sets = stored(rows.join(members, "id").select("id", words(ascii_lower(text_of())).alias("tokens"))
-                  .select("id", F.array_distinct(shingle_hashes(F.col("tokens"), shingle)).alias("s")).select("id", F.size("s").alias("n"), "s"), "simhash-sets")
-    left = stored(met.join(sets.select("id", "n"), "id").select("band", "key", "id", F.col("id").alias("root"), "n"), "simhash-left")
-    good, several = None, 1
-    while not left.isEmpty():
-        order = F.row_number().over(Window.partitionBy("band", "key").orderBy("id"))
-        pivots = left.withColumn("place", order).filter(F.col("place") <= several)
-        pivots = stored(pivots.select("band", "key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b")), "simhash-pivots")
-        pairs = left.join(pivots, ["band", "key"]).filter("id > b and root <> root_b")
-        # sets of too different sizes cannot be similar
-        pairs = pairs.filter(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b") - 1e-6).select(F.col("id").alias("a"), "b").distinct()
-        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        ok = common >= similarity * (F.size("sa") + F.size("sb") - common)
-        new = stored(both.filter(ok).select("a", "b"), "simhash-links")
-        good = new if good is None else good.union(new)
-        # a text that was held against its whole bucket leaves it
-        rest = left.join(pivots.select("band", "key", F.col("b").alias("id")), ["band", "key", "id"], "left_anti").drop("root")
-        roots = components(good).withColumnRenamed("a", "id")
-        rest = rest.join(roots, "id", "left").select("band", "key", "id", F.coalesce("root", "id").alias("root"), "n")
-        left = stored(open_buckets(rest), "simhash-left")
-        large = left.filter((F.col("members") > SPLIT) & (F.col("band") > RARE))
-        if several == 1 and not large.isEmpty():
-            again = large.select("id", "root").distinct()
-            rare = prefixes(sets.join(again.select("id"), "id"), similarity).join(again, "id").join(sets.select("id", "n"), "id")
-            rare = open_buckets(rare.select(F.lit(RARE).alias("band"), "key", "id", "root", "n"))
-            small = left.filter(F.col("members") <= SPLIT)
-            left = stored(small.unionByName(rare), "simhash-split")
-        left = left.drop("members")
-        several *= 4
-    return copies if good is None else copies.union(good)
-
-
-def one_of_each(docs: DataFrame, *, shingle: int = 5, radius: int = 2, similarity: float = 0.8, bands: int = 12, sample: int = 4, stable: bool = False) -> DataFrame:
-    """``docs`` without near duplicates: of each component of similar texts the row with the smallest doc_id stays, of repeated rows the first.
-
-    A print of a whole text within ``radius`` bits only finds texts that are almost equal: at a similarity of 0.8, prints differ in some ten of
-    64 bits. So prints of small samples are candidates as well, and every link is checked on the whole sets of shingles
-    (see ``similar_links``); at 0.8 one pair in some 500 shares no sample, above it fewer.
-
-    A NULL id is the smallest. NULL and blank texts are copies of each other. Empty table: no rows. All columns as they came.
-    ``stable`` says that ``docs`` is read straight from files, else it is written first.
+    A NULL id is the smallest. NULL and blank texts have the fingerprint zero, so one of them stays. Very long texts are read whole. Empty
+    table: no rows. All columns as they came, whatever their names. ``stable`` says that ``docs`` is read straight from Parquet files, else it is written first.
     """
     rows = numbered(docs.select(packed(docs)), stable)
-    found = similar_links(rows.select("id", F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text")), shingle=shingle, radius=radius,
-                          similarity=similarity, bands=bands, sample=sample)
-    roots = components(found).withColumnRenamed("a", "id")
-    placed = stored(rows.select("id", F.col("row.doc_id").alias("doc_id")).join(roots, "id"), "simhash-placed")
-    stays = placed.groupBy("root").agg(F.min(F.struct("doc_id", "id")).alias("stays"))
-    gone = placed.join(stays, "root").filter("id <> stays.id").select("id")
-    return rows.join(gone, "id", "left_anti").select("row.*")
+    texts = rows.select("id", F.col("row.text").alias("text"), F.col("row.doc_id").alias("doc_id"))
+    prints = stored(fingerprints(texts, shingle).select(F.col("row.doc_id").alias("id"), F.col("row.id").alias("place"), "print"), "simhash-prints")
+    placed = prints.join(groups(prints.select("id", "print"), radius, component="print"), "print")
+    # copies are reduced to one row a task and component before they meet
+    stays = placed.groupBy("component").agg(F.min(F.struct("id", "place")).alias("first")).select(F.col("first.place").alias("id"))
+    return rows.join(stays, "id", "left_semi").select("row.*")
