@@ -18,8 +18,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def not_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash.one_of_each(docs, shingle=5, radius=2, stable=True)
+    """One document of each group of near duplicates: fingerprints of three-word shingles, linked within two bits."""
+    return simhash.one_of_each(docs, shingle=3, radius=2, stable=True)
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
