@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ CHUNK, TEXT, BATCH = 1 << 16, 1 << 20, 8 << 20
 #: Words whose ids a worker process remembers: some 150 MB.
 KNOWN = 1 << 20
 BLANKS = b" \t\n\x0b\x0c\r"
+PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]?)")
 
 
 class Places(dict):
@@ -37,13 +39,17 @@ class Places(dict):
 
 
 class Words:
-    """Ids of texts by a tokenizer that never joins text across ASCII blanks: every different word is encoded once and remembered."""
+    """Ids of texts by a tokenizer that lowers case, splits letters from marks and never joins text across ASCII blanks.
+
+    Every different word is encoded once and remembered.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model
         self.clear()
 
     def clear(self) -> None:
@@ -53,13 +59,19 @@ class Words:
     def learn(self) -> None:
         """Encode the new words; word k has the ids from ends[k] to ends[k + 1]."""
         new, self.places.new = self.places.new, []
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w in new if not PLAIN.fullmatch(w)], add_special_tokens=False))
+        coded = [self.plain(*m.groups()) if (m := PLAIN.fullmatch(w)) else next(rest).ids for w in new]
         first, flat = len(self.places) - len(new), [i for ids in coded for i in ids]
         self.ids, self.ends = roomy(self.ids, self.size + len(flat)), roomy(self.ends, len(self.places) + 1)
         self.ids[self.size:self.size + len(flat)] = flat
         self.ends[first + 1:first + 1 + len(new)] = self.size + np.cumsum([len(ids) for ids in coded])
         self.size += len(flat)
 
+    def plain(self, letters: bytes, mark: bytes) -> list[int]:
+        """Letters of ASCII are one piece of the tokenizer, the mark after them another: no need to normalise and to split."""
+        pieces = [letters.lower().decode(), *([mark.decode()] if mark else [])]
+        return [token.id for piece in pieces for token in self.model.tokenize(piece)]
+
     def encode(self, text: bytes) -> Iterator[np.ndarray]:
         """The ids, in runs; long texts are cut at blanks."""
         at = 0
@@ -113,7 +125,7 @@ def _tokenised(vocabulary, end: int):
 def tokenised(docs: DataFrame, vocabulary: str, end: int = END) -> DataFrame:
     """(doc_id, part, place, start, n, doc_tokens, ids): the ids of every document, each with ``end`` after its last, as little-endian 32-bit numbers.
 
-    ``vocabulary`` is the path of a tokenizer file whose ids never reach across ASCII blanks (word pieces); its content, of a fixed size, is broadcast. ``part``
+    ``vocabulary`` is the path of a tokenizer file of lower-case word pieces, whose ids never reach across ASCII blanks; its content, of a fixed size, is broadcast. ``part``
     is the number of the task that read the document, ``place`` the ids that the task has before it. Documents of more than 65,536 ids have several rows.
     """
     with open(vocabulary, encoding="utf-8") as file:
