@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.common import col, stored
@@ -30,19 +31,30 @@ def numbered(docs: DataFrame, stable: bool) -> DataFrame:
 
     A row's number is that of its file, by name, and its place in the file, not that of a task: how Spark cuts files into tasks hangs on the
     cores it has just then. ``stable`` says that ``docs`` comes straight from Parquet files; anything else is written first. The file names come to
-    the driver, which holds them to plan the scan, and go back in a broadcast. Input columns named ``id`` are replaced, so keep them
+    the driver, which holds them to plan the scan, and go back with the tasks. Input columns named ``id`` are replaced, so keep them
     inside a struct; ``docs`` may be a selection of columns.
     """
     if not stable:
         docs = stored(docs, "numbered")
     file = F.col("_metadata.file_path")
     names = sorted(r.file for r in docs.select(file.alias("file")).distinct().collect())
-    if len(names) < 2:
-        return docs.select("*", F.col("_metadata.row_index").alias("id"))
-    order = docs.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "_file string, _number long")
-    placed = docs.select("*", file.alias("_path"), F.col("_metadata.row_index").alias("_place"))
-    found = placed.join(F.broadcast(order), F.col("_path") == F.col("_file"))
-    return found.withColumn("id", F.shiftleft("_number", PLACE_BITS) + F.col("_place")).drop("_file", "_number", "_path", "_place")
+    return docs.select("*", (F.shiftleft(number_of(names, file), PLACE_BITS) + F.col("_metadata.row_index")).alias("id"))
+
+
+def number_of(names: list[str], name: Column) -> Column:
+    """The place of ``name`` in ``names``, looked up by hash in constant arrays; a join would keep Spark from using one shuffle of the texts twice."""
+    hashes = [xxhash.xxh64_intdigest(n.encode(), 42) for n in names]
+    if len(set(hashes)) < len(names):
+        raise ValueError("two files have names of one hash")
+    slots: list[list[tuple[int, int]]] = [[] for _ in names] or [[]]
+    for k, h in enumerate(hashes):
+        slots[h % len(slots)].append((h - (1 << 64) if h >> 63 else h, k))
+    keys, places = (F.expr("array(" + ",".join("array(" + ",".join(f"{pair[i]}L" for pair in slot or [(-1, -1)]) + ")" for slot in slots) + ")") for i in (0, 1))
+    h = F.xxhash64(name)
+    # the remainder of the hash as an unsigned number
+    slot = F.pmod(F.pmod(h, F.lit(len(slots))) + F.when(h < 0, (1 << 64) % len(slots)).otherwise(0), F.lit(len(slots))).cast("int")
+    # never NULL, or Spark would put a filter below one of two joins on the number, and shuffle the texts for each
+    return F.coalesce(F.get(F.get(places, slot), (F.array_position(F.get(keys, slot), h) - 1).cast("int")), F.lit(0).cast("long"))
 
 
 def buckets_for(docs: DataFrame) -> int:
