@@ -128,11 +128,10 @@ FAMILIES = [
 ]
 
 
-def touched_blocks(family: Family, old: Tables, new: Tables, build: Build) -> list[int | None]:
-    """Blocks with a row that may differ; their number, at most that of the ids by the size of a block, comes to the driver."""
-    keys = [changed_rows(old[t], new[t], [S.TABLE_KEYS[t]]).select(F.col(f"`{S.TABLE_KEYS[t]}`").alias("id")) for t in family.chain]
-    blocks = [k.select(block_of(F.col("id"), build.bits).alias("b")) for k in (*keys, *family.touched(old, new, build))]
-    return [r.b for r in reduce(DataFrame.union, blocks).distinct().collect()]
+def blocks_of(ids: Sequence[DataFrame], bits: int) -> set[int | None]:
+    """The blocks of ids; their number, at most that of all ids by the size of a block, comes to the driver."""
+    blocks = [i.toDF("id").select(block_of(F.col("id"), bits).alias("b")) for i in ids]
+    return {r.b for r in reduce(DataFrame.union, blocks).distinct().collect()} if blocks else set()
 
 
 def keep_up(spark: SparkSession, root: str, out: str, database: str = MAIN, suffix: str = "", bits: int = BLOCK_BITS, multi: str = "first",
@@ -149,7 +148,7 @@ def keep_up(spark: SparkSession, root: str, out: str, database: str = MAIN, suff
     if plain := [t for t, v in now.items() if v is None or v.number == 0]:
         raise ValueError(f"not stored in versions: {', '.join(plain)}")
     new = M.clean_ids(M.read_tables(spark, root, database, suffix))
-    written = {}
+    written, known = {}, {}
     for family in FAMILIES:
         path, sources = f"{out}/{family.name}", {t: now[t].number for t in family.reads}
         have, how = version(spark, path), f"keep up, {bits} bits, {multi}, {dedupe}"
@@ -160,7 +159,10 @@ def keep_up(spark: SparkSession, root: str, out: str, database: str = MAIN, suff
             before = {t: version(spark, table_path(root, f"{t}{suffix}", database), n) for t, n in have.sources.items()}
             if all(v and v.schema == now[t].schema for t, v in before.items()):
                 old = M.clean_ids(M.read_tables(spark, root, database, suffix, {**{t: v.number for t, v in now.items()}, **have.sources}))
-                blocks = touched_blocks(family, old, new, build)
+                chain = (family.entity, *(have.sources[t] for t in family.chain))
+                if chain not in known:  # families of one entity share it
+                    known[chain] = blocks_of([changed_rows(old[t], new[t], [S.TABLE_KEYS[t]]) for t in family.chain], bits)
+                blocks = list(known[chain] | blocks_of(family.touched(old, new, build), bits))
         if blocks == []:
             publish(spark, path, replace(have, number=have.number + 1, sources=sources))
             written[family.name] = 0
