@@ -173,7 +173,57 @@ def _plain_records(f: BinaryIO, size: int, filters: list) -> Iterator[tuple[dict
         at = start + length
 
 
+class _Member:
+    """The records of one gzip member, decompressed piece by piece."""
+
+    def __init__(self, f: BinaryIO, at: int, piece: int) -> None:
+        self.f, self.at, self.piece, self.z, self.data, self.rest = f, at, piece, zlib.decompressobj(31), b"", b""
+
+    def more(self, limit: int) -> bool:
+        """Decompress further; False at the end of the member."""
+        if self.z.eof:
+            return False
+        self.rest = self.rest or self.f.read(self.piece)
+        self.piece = BLOCK
+        if not self.rest:
+            raise ValueError(f"a gzip member is cut off at byte {self.at}")
+        self.data += self.z.decompress(self.rest, limit)
+        self.rest = self.z.unconsumed_tail
+        return True
+
+    def head(self) -> dict | None:
+        """The headers of the next record, None after the last one."""
+        while True:
+            self.data = self.data.lstrip(b"\r\n")
+            if self.data and (found := parse_head(self.data)):
+                headers, start = found
+                self.data = self.data[start:]
+                return headers
+            if not self.more(HEAD_BYTES):
+                if self.data:
+                    raise ValueError(f"a record ends inside its header at byte {self.at}")
+                return None
+
+    def block(self, length: int, wanted: bool) -> bytes:
+        """The next ``length`` bytes, which are dropped if not wanted."""
+        parts = []
+        while True:
+            piece, self.data = self.data[:length], self.data[length:]
+            length -= len(piece)
+            if wanted:
+                parts.append(piece)
+            if not length:
+                return b"".join(parts)
+            if not self.more(BLOCK):
+                raise ValueError(f"a record ends inside its block at byte {self.at}")
+
+    def end(self) -> int:
+        """Where the next member begins."""
+        return self.f.tell() - len(self.z.unused_data)
+
+
 def _gzip_records(f: BinaryIO, size: int, filters: list) -> Iterator[tuple[dict, dict, bytes]]:
+    """All records of all members; a member of one record that tells its length is skipped unread if the record is not wanted."""
     at = 0
     while at < size:
         f.seek(at)
@@ -182,31 +232,17 @@ def _gzip_records(f: BinaryIO, size: int, filters: list) -> Iterator[tuple[dict,
             raise ValueError(f"no gzip member at byte {at}")
         known = struct.unpack("<I", fixed[16:20])[0] if len(fixed) == 24 and fixed[3] & 4 and fixed[12:14] == b"sl" else None
         f.seek(at)
-        z, data, found, rest = zlib.decompressobj(31), b"", None, b""
-        while found is None:
-            rest = rest or f.read(min(known or BLOCK, HEAD_BYTES))
-            if not rest or z.eof:
-                raise ValueError(f"a record ends inside its header at byte {at}")
-            data += z.decompress(rest, HEAD_BYTES)
-            rest = z.unconsumed_tail
-            found = parse_head(data)
-        headers, start = found
-        wanted = accepts(row := header_row(headers), filters)
-        if not wanted and known:
-            at += known
-            continue
-        parts = [data]
-        while not z.eof:
-            rest = rest or f.read(BLOCK)
-            if not rest:
-                raise ValueError(f"a gzip member is cut off at byte {at}")
-            out = z.decompress(rest, BLOCK)
-            rest = z.unconsumed_tail
+        member = _Member(f, at, min(known or BLOCK, HEAD_BYTES))
+        while headers := member.head():
+            wanted = accepts(row := header_row(headers), filters)
+            if not wanted and known:
+                at += known
+                break
+            block = member.block(int(headers["content-length"]), wanted)
             if wanted:
-                parts.append(out)
-        at = f.tell() - len(z.unused_data)
-        if wanted:
-            yield headers, row, b"".join(parts)[start:start + int(headers["content-length"])]
+                yield headers, row, block
+        else:
+            at = member.end()
 
 
 @dataclass
@@ -343,7 +379,7 @@ class WarcSource(DataSource):
     """``spark.read.format("warc").load(folder)`` and ``df.write.format("warc").mode("append").save(folder)``.
 
     Options: ``partition_bytes`` of archives a task reads (32 MB), ``verify`` digests of decoded payloads, ``max_file_bytes`` of an
-    archive (64 MB), ``level`` of compression. Archives of others are read too, gzipped by record or plain.
+    archive (64 MB), ``level`` of compression. Archives of others are read too, gzipped by record, as a whole, or plain.
     """
 
     @classmethod

@@ -176,6 +176,12 @@ def test_records_survive_and_unwanted_ones_are_skipped(tmp_path, compressed, mon
         assert gzip.decompress(data) == b"".join(map(warc.encode_record, rows))
         other = b"".join(gzip.compress(warc.encode_record(r)) for r in rows)
         assert [b for _, _, b in warc._gzip_records(io.BytesIO(other), len(other), [])] == [b for _, _, b in got]
+        # several records in one member, and members after it
+        whole = gzip.compress(b"".join(map(warc.encode_record, rows))) + other
+        assert [b for _, _, b in warc._gzip_records(io.BytesIO(whole), len(whole), [])] == [b for _, _, b in got] * 2
+        kinds = [("warc_type", "eq", got[-1][1]["warc_type"])]
+        some = [b for _, r, b in got if r["warc_type"] == got[-1][1]["warc_type"]]
+        assert [b for _, _, b in warc._gzip_records(io.BytesIO(whole), len(whole), kinds)] == some * 2
 
 
 def test_packed_places_come_back_by_row():
