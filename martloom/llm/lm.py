@@ -16,8 +16,8 @@ from martloom.llm.common import ascii_lower, col, remainder, stored, text_of, wo
 
 #: Tokens that are not symbols of their own share one of so many symbols, by a hash of their last bytes.
 CLASSES, TAIL = 256, 3
-#: Training sequences are pieces of so many tokens.
-PIECE, ROWS = 256, 1024
+#: Tokens between the places at which a training pass remembers its states; tokens of texts trained on together; texts scored together.
+PIECE, TOGETHER, ROWS = 256, 400_000, 1024
 END = ""  # no word is empty
 
 
@@ -79,46 +79,58 @@ class Model:
         self.start, self.move, self.emit = start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True)
 
 
-def expected(model: Model, pieces: list[np.ndarray], first: list[bool], sums: np.ndarray) -> None:
-    """Add the expected starts, moves and emissions of the pieces, by scaled forward and backward passes over all of them at once.
+def expected(model: Model, texts: list[np.ndarray], sums: np.ndarray, piece: int = PIECE) -> None:
+    """Add the expected starts, moves and emissions of whole texts, by scaled forward and backward passes over all of them at once.
 
-    A piece that continues a text starts from the average of the states, and its start is not counted as a start of a text.
+    The first pass keeps the states before every ``piece`` tokens only. The pieces are then taken from the last to the first: the
+    states inside are computed again, and the backward pass goes on from the piece after. So the counts are those of the texts, and
+    memory is bounded by a piece and the states kept.
     """
     k, s = model.emit.shape
-    order = sorted(range(len(pieces)), key=lambda i: -len(pieces[i]))
-    sizes = np.array([len(pieces[i]) for i in order])
-    x = np.zeros((len(order), sizes[0]), np.int64)
-    for r, i in enumerate(order):
-        x[r, :sizes[r]] = pieces[i]
-    starts = np.array([first[i] for i in order])
-    average = np.full(k, 1 / k) @ np.linalg.matrix_power(model.move, 64)
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    sizes = np.array([len(texts[i]) for i in order])
+    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    longest = int(sizes[0])
+    live = np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()  # rows longer than t
     by_symbol = np.ascontiguousarray(model.emit.T)
-    alphas, scales, live = [], [], []
-    a = np.where(starts[:, None], model.start, average)
-    for t in range(sizes[0]):
-        n = int(np.searchsorted(-sizes, -t, side="left"))  # rows longer than t
-        a = (a[:n] @ model.move if t else a[:n]) * by_symbol[x[:n, t]]
+
+    def step(a: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+        n = live[t]
+        a = (a[:n] @ model.move if t else a[:n]) * by_symbol[flat[begin[:n] + t]]
         c = a.sum(axis=1, keepdims=True)
-        a = a / c
-        alphas.append(a)
-        scales.append(c)
-        live.append(n)
-    move, emit = np.zeros((k, k)), np.zeros((s, k))
-    b = np.ones((live[-1], k))
-    seen_x, seen_g = [], []
-    for t in range(sizes[0] - 1, -1, -1):
-        if len(b) < live[t]:
-            b = np.concatenate([b, np.ones((live[t] - len(b), k))])
-        seen_x.append(x[:live[t], t])
-        seen_g.append(alphas[t] * b)
-        if t:
-            weighted = by_symbol[x[:live[t], t]] * b / scales[t]
-            move += alphas[t - 1][:live[t]].T @ weighted
-            b = weighted @ model.move.T
-    sx, sg = np.concatenate(seen_x), np.concatenate(seen_g)
-    for j in range(k):
-        emit[:, j] = np.bincount(sx, weights=sg[:, j], minlength=s)
-    sums[:k] += seen_g[-1][starts].sum(axis=0)
+        return a / c, c
+
+    a = np.tile(model.start, (len(order), 1))
+    kept = [a]
+    for t in range((longest - 1) // piece * piece):
+        a, _ = step(a, t)
+        if (t + 1) % piece == 0:
+            kept.append(a)
+    move, emit, b = np.zeros((k, k)), np.zeros((s, k)), np.ones((live[-1], k))
+    while kept:
+        a = before = kept.pop()
+        low = len(kept) * piece
+        alphas, scales, seen_x, seen_g = [], [], [], []
+        for t in range(low, min(longest, low + piece)):
+            a, c = step(a, t)
+            alphas.append(a)
+            scales.append(c)
+        for t in range(low + len(alphas) - 1, low - 1, -1):
+            n = live[t]
+            if len(b) < n:
+                b = np.concatenate([b, np.ones((n - len(b), k))])
+            x = flat[begin[:n] + t]
+            seen_x.append(x)
+            seen_g.append(alphas[t - low] * b)
+            if t:
+                weighted = by_symbol[x] * b / scales[t - low]
+                move += (alphas[t - 1 - low] if t > low else before)[:n].T @ weighted
+                b = weighted @ model.move.T
+        sx, sg = np.concatenate(seen_x), np.concatenate(seen_g)
+        for j in range(k):
+            emit[:, j] += np.bincount(sx, weights=sg[:, j], minlength=s)
+    sums[:k] += seen_g[-1].sum(axis=0)
     sums[k:k + k * k] += (move * model.move).ravel()
     sums[k + k * k:] += emit.T.ravel()
 
@@ -168,7 +180,7 @@ def scores(docs: DataFrame, *, states: int = 8, own: int = 4096, frequent: int =
 
     Tokens of all training texts are counted. The ``own`` most frequent are symbols of the hidden Markov model; every other token is a
     symbol of its ending's class, and is drawn from it by (c + 1) / (class count + class tokens + 1). ``rounds`` of Baum-Welch run over all training
-    texts, each partition adding up expected counts, which Spark sums; the score of a text is the exact probability of its
+    texts, each partition adding up the expected counts of whole texts, which Spark sums; the score of a text is the exact probability of its
     symbols, end included, by the scaled forward recursion, times those of the tokens within their symbols.
 
     Of the vocabulary, at most ``frequent`` tokens travel to the tasks; the other tokens of a text meet their counts in a join, so a
@@ -227,18 +239,16 @@ def scores(docs: DataFrame, *, states: int = 8, own: int = 4096, frequent: int =
         now = model
 
         def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums, pieces, first = np.zeros(now.flat_size), [], []
+            sums, texts, size = np.zeros(now.flat_size), [], 0
             for batch in batches:
                 for raw in batch.column("symbols").to_pylist():
-                    symbols = np.frombuffer(raw, width)
-                    for at in range(0, len(symbols), PIECE):
-                        pieces.append(symbols[at:at + PIECE])
-                        first.append(at == 0)
-                    if len(pieces) >= ROWS:
-                        expected(now, pieces, first, sums)
-                        pieces, first = [], []
-            if pieces:
-                expected(now, pieces, first, sums)
+                    texts.append(np.frombuffer(raw, width))
+                    size += len(texts[-1])
+                    if size >= TOGETHER:
+                        expected(now, texts, sums)
+                        texts, size = [], 0
+            if texts:
+                expected(now, texts, sums)
             at = np.nonzero(sums)[0]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.float64())], ["at", "n"])
 

@@ -9,8 +9,8 @@ from martloom.llm.common import col, packed, small, stored, text_of, words
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
-#: Feature and its slack, in thousandths: the least distance of a threshold from the middle half of a group.
-FEATURES = {"word_length": 3000, "symbols": 100, "dup_lines": 300, "repeats": 200}
+#: Feature and its slack, in thousandths: the least distance of a threshold from the tail of a group. It only decides where a tail is as good as flat.
+FEATURES = {"word_length": 200, "symbols": 100, "dup_lines": 300, "repeats": 50}
 #: Bins of a sketch between two powers of two.
 BINS = 32
 GROUPS = 100_000
@@ -72,40 +72,47 @@ def sketches(slim: DataFrame) -> DataFrame:
     return slim.filter(~base_failed()).select("lang", "source", long).groupBy("lang", "source", "f.feature", "f.bin").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """Lower and upper quartile (q1, q3) and size of the merged sketch of every group: the first bin that reaches a quarter, three quarters."""
+def tails(sketch: DataFrame, *by: str) -> DataFrame:
+    """The lowest and highest tenth's ends (low, high), the middle (mid) and size of the merged sketch of every group: the first bins that reach 10, 50, 90 %."""
     merged = sketch.groupBy(*by, "feature", "bin").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*by, "feature")
     merged = merged.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("size", F.sum("n").over(w))
-    reach = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("size"), F.col("bin")))
-    return merged.groupBy(*by, "feature").agg(F.max("size").alias("size"), reach(1).alias("q1"), reach(3).alias("q3"))
+    reach = lambda k: F.min(F.when(10 * F.col("upto") >= k * F.col("size"), F.col("bin")))
+    return merged.groupBy(*by, "feature").agg(F.max("size").alias("size"), reach(1).alias("low"), reach(5).alias("mid"), reach(9).alias("high"))
 
 
-def thresholds(slim: DataFrame, min_group: int, reach: int) -> DataFrame:
-    """One row a (lang, source) with the highest and lowest value of every feature that is kept.
+def spreads(sketch: DataFrame, min_group: int, reach: int) -> DataFrame:
+    """(lang, source, feature, lowest, highest, floored): the range that is kept, and whether the feature's slack set an end that the sketch would set closer.
 
-    A group of fewer than ``min_group`` documents uses the merged sketch of its language, a language of fewer that of all.
+    A tail's end moves out by ``reach`` times its distance from the middle, each side by its own. A group of fewer than ``min_group``
+    documents uses the merged sketch of its language, a language of fewer that of all.
     """
-    sketch = stored(sketches(slim), "quality-sketches")
-    own, lang, every = quartiles(sketch, "lang", "source").alias("o"), quartiles(sketch, "lang").alias("l"), quartiles(sketch).alias("e")
+    own, lang, every = tails(sketch, "lang", "source").alias("o"), tails(sketch, "lang").alias("l"), tails(sketch).alias("e")
     q = (own.join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.feature") == F.col("l.feature")))
          .join(every, F.col("o.feature") == F.col("e.feature")))
     pick = lambda c: (F.when(F.col("o.size") >= min_group, F.col(f"o.{c}"))
                       .when(F.col("l.size") >= min_group, F.col(f"l.{c}")).otherwise(F.col(f"e.{c}")))
-    q = q.select("o.lang", "o.source", "o.feature", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    q = q.select("o.lang", "o.source", "o.feature", *[pick(c).alias(c) for c in ("low", "mid", "high")])
     slack = F.create_map(*[F.lit(x) for pair in FEATURES.items() for x in pair])[F.col("feature")]
-    away = F.greatest(reach * (F.col("q3") - F.col("q1")), slack)
-    limits = [f for name in FEATURES for f in (F.max(F.when(F.col("feature") == name, F.col("q3") + away)).alias(f"{name}_high"),
-                                               F.max(F.when(F.col("feature") == name, F.col("q1") - away)).alias(f"{name}_low"))]
+    up, down = reach * (F.col("high") - F.col("mid")), reach * (F.col("mid") - F.col("low"))
+    return q.select("lang", "source", "feature", (F.col("low") - F.greatest(down, slack)).alias("lowest"), (F.col("high") + F.greatest(up, slack)).alias("highest"),
+                    (up < slack).alias("floored"))
+
+
+def thresholds(slim: DataFrame, min_group: int, reach: int) -> DataFrame:
+    """One row a (lang, source) with the highest and lowest value of every feature that is kept, see ``spreads``."""
+    q = spreads(stored(sketches(slim), "quality-sketches"), min_group, reach)
+    limits = [f for name in FEATURES for f in (F.max(F.when(F.col("feature") == name, F.col("highest"))).alias(f"{name}_high"),
+                                               F.max(F.when(F.col("feature") == name, F.col("lowest"))).alias(f"{name}_low"))]
     return stored(q.groupBy("lang", "source").agg(*limits), "quality-thresholds")
 
 
-def judge(docs: DataFrame, *, min_group: int = 50, reach: int = 3) -> DataFrame:
+def judge(docs: DataFrame, *, min_group: int = 50, reach: int = 5) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept.
 
     A document that passes the base rules is kept unless one of its features (characters and symbols per word, shares of
-    repeated lines and of words in repeated windows) lies further from the middle half of its language and source than
-    ``reach`` times that half's width and the feature's slack. Only documents that pass the base rules shape the thresholds.
+    repeated lines and of words in repeated windows) lies beyond the outer tenth of its language and source by more than ``reach``
+    times the distance of that tenth from the middle and by more than the feature's slack. Only documents that pass the base rules shape the thresholds.
 
     NULL language or source: a group of its own. NULL or blank text: zeros, base_failed. Repeated rows are judged each, and
     alike. A group without any document that passes the base rules has no thresholds and keeps none. Empty table: no rows.

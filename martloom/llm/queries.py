@@ -131,21 +131,22 @@ f AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([f1, f2, f3, f4]) A
 bins AS (SELECT lang, source, k, CAST(floor(v / pow(2.0, greatest(length(bin(v)) - 6, 0))) * pow(2.0, greatest(length(bin(v)) - 6, 0)) AS BIGINT) AS bin FROM f),
 s AS (SELECT lang, source, k, bin, count(*) AS n FROM bins GROUP BY ALL),
 o AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY lang, source, k) AS size FROM s),
-own AS (SELECT lang, source, k, any_value(size) AS size, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o GROUP BY lang, source, k),
+own AS (SELECT lang, source, k, any_value(size) AS size, min(bin) FILTER (10 * upto >= size) AS lo, min(bin) FILTER (10 * upto >= 5 * size) AS mid, min(bin) FILTER (10 * upto >= 9 * size) AS hi FROM o GROUP BY lang, source, k),
 s2 AS (SELECT lang, k, bin, sum(n) AS n FROM s GROUP BY ALL),
 o2 AS (SELECT *, sum(n) OVER (PARTITION BY lang, k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY lang, k) AS size FROM s2),
-own2 AS (SELECT lang, k, any_value(size) AS size, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o2 GROUP BY lang, k),
+own2 AS (SELECT lang, k, any_value(size) AS size, min(bin) FILTER (10 * upto >= size) AS lo, min(bin) FILTER (10 * upto >= 5 * size) AS mid, min(bin) FILTER (10 * upto >= 9 * size) AS hi FROM o2 GROUP BY lang, k),
 s3 AS (SELECT k, bin, sum(n) AS n FROM s GROUP BY ALL),
 o3 AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY k) AS size FROM s3),
-own3 AS (SELECT k, min(bin) FILTER (4 * upto >= size) AS q1, min(bin) FILTER (4 * upto >= 3 * size) AS q3 FROM o3 GROUP BY k),
+own3 AS (SELECT k, min(bin) FILTER (10 * upto >= size) AS lo, min(bin) FILTER (10 * upto >= 5 * size) AS mid, min(bin) FILTER (10 * upto >= 9 * size) AS hi FROM o3 GROUP BY k),
 q AS (SELECT own.lang, own.source, own.k,
-        CASE WHEN own.size >= 50 THEN own.q1 WHEN own2.size >= 50 THEN own2.q1 ELSE own3.q1 END AS q1,
-        CASE WHEN own.size >= 50 THEN own.q3 WHEN own2.size >= 50 THEN own2.q3 ELSE own3.q3 END AS q3
+        CASE WHEN own.size >= 50 THEN own.lo WHEN own2.size >= 50 THEN own2.lo ELSE own3.lo END AS lo,
+        CASE WHEN own.size >= 50 THEN own.mid WHEN own2.size >= 50 THEN own2.mid ELSE own3.mid END AS mid,
+        CASE WHEN own.size >= 50 THEN own.hi WHEN own2.size >= 50 THEN own2.hi ELSE own3.hi END AS hi
       FROM own JOIN own2 ON own.lang IS NOT DISTINCT FROM own2.lang AND own.k = own2.k JOIN own3 ON own.k = own3.k),
-lim AS (SELECT *, greatest(3 * (q3 - q1), ([3000, 100, 300, 200])[k]) AS away FROM q),
+lim AS (SELECT *, greatest(5 * (hi - mid), ([200, 100, 300, 50])[k]) AS up, greatest(5 * (mid - lo), ([200, 100, 300, 50])[k]) AS down FROM q),
 bad AS (SELECT DISTINCT m.doc_id FROM (SELECT doc_id, lang, source, unnest([1, 2, 3, 4]) AS k, unnest([f1, f2, f3, f4]) AS v FROM m) m
         LEFT JOIN lim ON m.lang IS NOT DISTINCT FROM lim.lang AND m.source IS NOT DISTINCT FROM lim.source AND m.k = lim.k
-        WHERE coalesce(v NOT BETWEEN q1 - away AND q3 + away, TRUE))
+        WHERE coalesce(v NOT BETWEEN lo - down AND hi + up, TRUE))
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
 FROM m LEFT JOIN bad ON m.doc_id = bad.doc_id
 """

@@ -101,6 +101,22 @@ def test_quality_values(docs):
     assert got[9].n_words == 30 and got[9].n_repeat_words == 30 and got[9].base_failed
 
 
+def test_quality_thresholds_follow_their_group(spark):
+    """The same values are kept in a source that varies widely and not in one that hardly does."""
+    def text(size, extra=0):
+        return " ".join("abcdefghijklmnopqrstuvwxyz"[:size - (k % 3 == 0)] + str(k) for k in range(60 - extra)) + " #&" * extra
+
+    rows = [(k, "narrow", text(5 + k % 2)) for k in range(200)] + [(1000 + k, "wide", text(4 + k % 12, 30 * (k % 4 == 0))) for k in range(200)]
+    rows += [(5000, "narrow", text(14)), (5001, "wide", text(14)), (5002, "narrow", text(6, 30)), (5003, "wide", text(6, 30))]
+    df = spark.createDataFrame([(i, "en", s, t) for i, s, t in rows], "doc_id long, lang string, source string, text string")
+    got = by_id(quality.judge(df))
+    assert [got[k].kept for k in (5000, 5001, 5002, 5003)] == [False, True, False, True]
+    assert all(got[k].kept for k in (0, 1, 199, 1001, 1199))
+    ranges = {(r.source, r.feature): r for r in quality.spreads(quality.sketches(quality.measured(df)), 50, 5).collect()}
+    assert ranges["wide", "word_length"].highest - ranges["narrow", "word_length"].highest > 5000
+    assert not ranges["wide", "symbols"].floored and ranges["narrow", "symbols"].floored and not ranges["narrow", "word_length"].floored
+
+
 def test_mixing_values(docs):
     rows = mixing.mix(docs).collect()
     by_source = {}

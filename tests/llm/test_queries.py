@@ -92,6 +92,31 @@ def test_language_model_base_scores(spark, sf_dir, texts):
     assert sum(r.score for r in out) > sum(r.base_score for r in out) * 1.02
 
 
+def test_language_model_scores_equal_a_plain_recursion(spark, sf_dir, texts, monkeypatch):
+    seen = []
+    again = lm.Model.reestimated
+    monkeypatch.setattr(lm.Model, "reestimated", lambda self, sums, f: (again(self, sums, f), seen.append(self))[0])
+    rows = {r.doc_id: r.score for r in lm.scores(common.table(spark, sf_dir, "documents"), states=3, frequent=500, own=100, rounds=2).collect()}
+    model = seen[-1]
+    tokens = {i: [*(w.encode() for w in WORD.findall(t.translate(LOWER))), None] for i, t in texts.items()}
+    c = Counter(w for i, ws in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2 for w in ws)
+    ranked = sorted((w for w in c if w is not None), key=lambda w: (-c[w], w))[:100]
+    symbol = {w: k for k, w in enumerate(ranked)} | {None: 100 + lm.CLASSES}
+    mass, kinds = Counter(), Counter()
+    for w in c.keys() - symbol.keys():
+        mass[zlib.crc32(w[-3:]) % lm.CLASSES] += c[w]
+        kinds[zlib.crc32(w[-3:]) % lm.CLASSES] += 1
+    assert len(seen) == 2 and rows.keys() == tokens.keys()
+    for i, ws in tokens.items():
+        a, total = model.start, 0.0
+        for t, w in enumerate(ws):
+            k = zlib.crc32(w[-3:]) % lm.CLASSES if w not in symbol else None
+            a = (a @ model.move if t else a) * model.emit[:, symbol[w] if k is None else 100 + k]
+            total += log10(a.sum()) + (log10((c[w] + 1) / (mass[k] + kinds[k] + 1)) if k is not None else 0)
+            a = a / a.sum()
+        assert rows[i] == pytest.approx(total)
+
+
 def test_language_on_held_out_rows(spark, sf_dir, con):
     lang = dict(con.execute("SELECT doc_id, lang FROM documents").fetchall())
     rows = [r for r in QUERIES["op4_language"](spark, sf_dir).collect() if r.held_out]
