@@ -112,7 +112,7 @@ def test_quality_thresholds_follow_their_group(spark):
     got = by_id(quality.judge(df))
     assert [got[k].kept for k in (5000, 5001, 5002, 5003)] == [False, True, False, True]
     assert all(got[k].kept for k in (0, 1, 199, 1001, 1199))
-    ranges = {(r.source, r.feature): r for r in quality.spreads(quality.sketches(quality.measured(df)), 50, 5).collect()}
+    ranges = {(r.source, r.feature): r for r in quality.spreads(quality.sketches(common.stored(quality.measured(df), "test")), 50, 5).collect()}
     assert ranges["wide", "word_length"].highest - ranges["narrow", "word_length"].highest > 5000
     assert not ranges["wide", "symbols"].floored and ranges["narrow", "symbols"].floored and not ranges["narrow", "word_length"].floored
 
