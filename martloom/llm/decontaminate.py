@@ -91,11 +91,8 @@ def best_overlap(ours: Column, theirs: Column) -> Column:
     return F.array_max(sums)
 
 
-def passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, content, around, equal) of the documents that hold a passage of an item, and (around, item_id) of the items.
-
-    content is a hash of the text, around the words of the item around the passage, equal the most equal words. A passage that many items
-    share is found once, by its words; which items have it tells the second table.
+def _hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, content, around, item_id, equal): every verified seed hit, with the first item that has these words; and (around, item_id) of the items.
 
     A passage is WINDOW words in a row of which at least EQUAL equal the item's at the same places; for an item of fewer words all
     of its words, with one difference at most per six (none below 10 words). Every passage holds a seed hit at which it is verified.
@@ -103,41 +100,43 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFram
     items = stored(benchmark.select("item_id", token_hashes(col("text")).alias("item_tokens")).filter("item_id is not null"), "benchmark-items")
     masks = masks_for(items)
     placed = stored(benchmark_seeds(items, masks).distinct(), "benchmark-places")
-    seeds = stored(placed.select("seed", F.col("mask").alias("seed_mask"), "left", "around").distinct(), "benchmark-seeds")
+    first = placed.groupBy("seed", F.col("mask").alias("seed_mask"), "left", "around").agg(F.min("item_id").alias("item_id"))
+    seeds = stored(first, "benchmark-seeds")
     texts = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(F.coalesce(col("text").cast("string"), F.lit(""))).alias("content"), token_hashes(col("text")).alias("tokens"))
     pieces = chunks(texts, max(m[-1] + 1 for m, _, _ in masks), "doc_id", "content")
     hits = _placed(pieces, "tokens", [m for m, _, _ in masks], "doc_id", "content", skip=EDGE, most=CHUNK).join(small(seeds, BROADCAST), "seed").filter("mask = seed_mask")
     # what would lie before the text's start or after its end is no token, and equal to none
     ours = F.slice("tokens", F.col("at") - F.col("left") + (EDGE + 1), F.size("around"))
-    hits = hits.select("doc_id", "content", "around", ours.alias("ours"), F.size("around").alias("wide"))
-    hits = hits.select("doc_id", "content", "around", "wide", best_overlap(F.col("ours"), F.col("around")).alias("equal"))
+    hits = hits.select("doc_id", "content", "around", "item_id", ours.alias("ours"), F.size("around").alias("wide"))
+    hits = hits.select("doc_id", "content", "around", "item_id", "wide", best_overlap(F.col("ours"), F.col("around")).alias("equal"))
     need = F.when(F.col("wide") >= WINDOW, EQUAL).otherwise(F.col("wide") - F.floor(F.col("wide") / 6) * (F.col("wide") >= 10).cast("int"))
-    found = hits.filter(F.col("equal") >= need).groupBy("doc_id", "content", "around").agg(F.max("equal").alias("equal"))
-    return found, placed.select("around", "item_id").distinct()
+    return hits.filter(F.col("equal") >= need).drop("wide"), placed.select("around", "item_id").distinct()
 
 
-def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, content, item_id, equal): every document and item of which it holds a passage (see ``passages``), with the most equal words."""
-    found, owners = passages(docs, benchmark)
-    return found.join(owners, "around").groupBy("doc_id", "content", "item_id").agg(F.max("equal").alias("equal"))
+def passages(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, content, around, equal) of the documents that hold a passage of an item, and (around, item_id) of the items.
+
+    content is a hash of the text, around the words of the item around the passage, equal the most equal words. A passage that many items
+    share is found once, by its words; which items have it tells the second table. Items that share a passage but not the words
+    next to it are different words around it, and a document is listed with each: for one row a document see ``contaminated``.
+    """
+    found, owners = _hits(docs, benchmark)
+    return found.groupBy("doc_id", "content", "around").agg(F.max("equal").alias("equal")), owners
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, content, item_id, n_items, equal) of the documents that hold benchmark passages: the smallest item, their number, the most equal words.
+    """(doc_id, content, item_id, n_hits, equal) of the documents that hold benchmark passages: the smallest item, the number of verified seed hits
+    (of different words around), the most equal words.
 
-    Items are counted once for all documents that hold the same passages, so a passage that many items and many documents share is no product of both.
+    Hits are added up in the task that verifies them, so of a passage that many items and documents share a row a document leaves it.
     """
-    found, owners = passages(docs, benchmark)
-    held = found.groupBy("doc_id", "content").agg(F.sort_array(F.collect_set(F.xxhash64("around"))).alias("held"), F.max("equal").alias("equal"))
-    held = stored(held, "benchmark-held")
-    each = held.select("held").distinct().select("held", F.explode("held").alias("place"))
-    items = each.join(owners.select(F.xxhash64("around").alias("place"), "item_id").distinct(), "place")
-    counted = items.groupBy("held").agg(F.min("item_id").alias("item_id"), F.count_distinct("item_id").alias("n_items"))
-    return held.join(counted, "held").select("doc_id", "content", "item_id", "n_items", "equal")
+    found, _ = _hits(docs, benchmark)
+    return found.groupBy("doc_id", "content").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_hits"), F.max("equal").alias("equal"))
 
 
 def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, contaminated, item_id, n_items and n_equal per row of ``docs``.
+    """doc_id, contaminated, item_id, n_hits and n_equal per row of ``docs``: the smallest item of which the text holds a passage, the number of verified
+    seed hits, and the most equal words of one.
 
     NULL or empty text: not contaminated. Items without a word or an id match nothing. Repeated rows are marked each, and alike; rows
     of one id with different texts each for their own. An empty benchmark marks nothing; no documents: no rows.
@@ -145,12 +144,12 @@ def marked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = contaminated(docs, benchmark).withColumnsRenamed({"doc_id": "id", "content": "of"})
     d = docs.select(col("doc_id").alias("doc_id"), F.xxhash64(F.coalesce(col("text").cast("string"), F.lit(""))).alias("content"))
     d = d.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("of")), "left")
-    return d.select("doc_id", F.col("of").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).alias("n_items"),
+    return d.select("doc_id", F.col("of").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_hits", F.lit(0)).alias("n_hits"),
                     F.coalesce("equal", F.lit(0)).alias("n_equal"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, all columns as they came."""
-    found = passages(docs, benchmark)[0].select(F.col("doc_id").alias("__found_id"), F.col("content").alias("__found_content")).distinct()
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__found_id"), F.col("content").alias("__found_content"))
     content = F.xxhash64(F.coalesce(col("text").cast("string"), F.lit("")))
     return docs.join(found, col("doc_id").eqNullSafe(F.col("__found_id")) & (content == F.col("__found_content")), "left_anti")

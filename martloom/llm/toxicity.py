@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,38 +95,42 @@ def score(model: tuple[float, ...], x: tuple[float, ...]) -> float:
 
 
 def _count(make: Callable[[str], Iterable[str]]) -> Callable:
-    """Documents of each label that have a string made of their text, one row a string and batch."""
+    """Weight of the documents of each label that have a string made of their text, one row a string and batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = (Counter(), Counter())
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                seen[toxic].update(set(make(fold(text))))
-            keys = list(seen[0].keys() | seen[1].keys())
+            seen: tuple[dict[str, float], dict[str, float]] = (defaultdict(float), defaultdict(float))
+            for text, toxic, weight in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "weight"))):
+                for key in set(make(fold(text))):
+                    seen[toxic][key] += weight
+            keys = sorted(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([seen[1][k] for k in keys], pa.int64()), pa.array([seen[0][k] for k in keys], pa.int64())],
-                ["pattern", "toxic", "clean"])
+                [pa.array(keys, pa.string()), *(pa.array([seen[k].get(key, 0.0) for key in keys], pa.float64()) for k in (1, 0))], ["pattern", "toxic", "clean"])
     return run
 
 
-COUNTS = "pattern string, toxic long, clean long"
+COUNTS = "pattern string, toxic double, clean double"
 
 
 def labelled(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[DataFrame, int, int]:
-    """At most ``per_label`` texts of each label, by hash of the id, of rows with crc32(id) mod 4 other than 2; and how many rows there are of each."""
+    """(text, toxic, weight) of at most ``per_label`` texts of each label, by hash of the id, of rows with crc32(id) mod 4 other than 2; and how many rows
+    there are of each.
+
+    No row of the sample is left out. Copies of a text and most near copies, which share both its smallest and its largest hash of 3-word runs, together weigh
+    as much as one text, each the same. Of unlike texts with a line in common few share both; those weigh less, but count.
+    """
     ids = (labels.filter(col("doc_id").isNotNull() & col("toxic").isin(0, 1) & (remainder("doc_id", 4) != 2))
            .groupBy(col("doc_id").alias("doc_id")).agg(F.max(col("toxic").cast("int")).alias("toxic")))
     n = {r.toxic: r.n for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     part = [ids.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for k in (0, 1)]
     # at most 2 * per_label ids: a bound that holds whatever the tables' size
     texts = docs.select(col("doc_id").alias("doc_id"), text_of().alias("text")).join(F.broadcast(part[0].union(part[1])), "doc_id").select("text", "toxic")
-    # copies and near copies of one text are one witness: they share the smallest, or the largest, hash of their 3-word runs
     hashed = texts.select("text", "toxic", words(F.col("text")).alias("tokens")).select("text", "toxic", shingle_hashes(F.col("tokens"), 3).alias("h"))
-    for pick in (F.array_min, F.array_max):
-        hashed = hashed.withColumn("mark", pick("h")).dropDuplicates(["toxic", "mark"])
-    return stored(hashed.select("text", "toxic"), "toxicity-sample"), n.get(1, 0), n.get(0, 0)
+    size = F.count("*").over(Window.partitionBy("toxic", F.array_min("h"), F.array_max("h")))
+    weighed = hashed.select("text", "toxic", (1 / size).alias("weight"))
+    return stored(weighed, "toxicity-sample"), n.get(1, 0), n.get(0, 0)
 
 
-def prune(found: dict[str, tuple[float, int]]) -> dict[str, float]:
+def prune(found: dict[str, tuple[float, float]]) -> dict[str, float]:
     """Weights of the patterns that are left when, of two of which one begins with the other, the longer goes if it is found in clearly
     fewer toxic texts, and else the shorter, which would also match other words."""
     gone = set()
@@ -139,7 +143,7 @@ def prune(found: dict[str, tuple[float, int]]) -> dict[str, float]:
 def learn(docs: DataFrame, labels: DataFrame, *, per_label: int = 3000, max_patterns: int = 20_000, significance: float = 25.0) -> Lexicon:
     """A lexicon from at most ``per_label`` labelled texts of each label.
 
-    Patterns are counted on the executors by documents; one is a candidate if its likelihood ratio against chance reaches
+    Patterns are counted on the executors by documents, copies by their weight; one is a candidate if its likelihood ratio against chance reaches
     ``significance`` and it is likelier in toxic texts, and its weight is the log odds. Of
     two beginnings of one word only one is kept. Word pairs around a match that are likelier in clean texts become exceptions. The
     two features are weighed by logistic regression, each label at its share of all labelled rows. Without both labels there is nothing to
@@ -148,7 +152,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_label: int = 3000, max_patt
     texts, n_toxic, n_clean = labelled(docs, labels, per_label)
     if not n_toxic or not n_clean:
         return Lexicon()
-    t_all, c_all = (texts.filter(F.col("toxic") == k).count() for k in (1, 0))
+    held = {r.toxic: r.w for r in texts.groupBy("toxic").agg(F.sum("weight").alias("w")).collect()}
+    t_all, c_all = held.get(1, 0.0), held.get(0, 0.0)
     if not t_all or not c_all:
         return Lexicon()
     counts = texts.mapInArrow(_count(lambda text: patterns_of(_WORD.findall(text))), COUNTS).groupBy("pattern").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
@@ -181,11 +186,12 @@ def learn(docs: DataFrame, labels: DataFrame, *, per_label: int = 3000, max_patt
         automaton = lexicon.automaton()
         for batch in batches:
             x = np.array([features(automaton, t) for t in batch.column("text").to_pylist()]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), batch.column("toxic")], ["a", "b", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 1]), pa.array(x[:, 2]), batch.column("toxic"), batch.column("weight")], ["a", "b", "toxic", "weight"])
 
-    data = np.array([tuple(r) for r in texts.mapInArrow(measure, "a double, b double, toxic int").collect()], dtype=float).reshape(-1, 3)
+    # two numbers for each of at most 2 * per_label texts
+    data = np.array(sorted(tuple(r) for r in texts.mapInArrow(measure, "a double, b double, toxic int, weight double").collect()), dtype=float).reshape(-1, 4)
     y = data[:, 2]
-    weights = np.where(y == 1, n_toxic / max(1, (y == 1).sum()), n_clean / max(1, (y == 0).sum()))
+    weights = data[:, 3] * np.where(y == 1, n_toxic / t_all, n_clean / c_all)
     lexicon.model = fit(np.column_stack([np.ones(len(y)), data[:, :2]]), y, weights / weights.sum() * len(y))
     return lexicon
 

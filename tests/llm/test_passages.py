@@ -33,7 +33,8 @@ def test_all_differences_of_short_items_are_found(spark):
     want = {i for i, b in best.items() if any(e >= (11 if n >= 13 else n - ALLOWED[n]) for n, e in b.items())}
     got = {r.doc_id: r for r in decontaminate.marked(table, benchmark).collect()}
     assert {i for i, r in got.items() if r.contaminated} == want
-    assert all(got[i].n_items == 1 for i in want)
+    assert all(got[i].item_id == min(n for n, e in best[i].items() if e >= (11 if n >= 13 else n - ALLOWED[n])) for i in want)
+    assert all((got[i].n_hits > 0) == (i in want) for i in docs)
     assert {r.doc_id for r in decontaminate.clean(table, benchmark).collect()} == set(docs) - want
 
 
@@ -43,7 +44,24 @@ def test_items_that_share_a_passage_are_all_counted(spark):
     docs = [(1, " ".join(prompt)), (2, " ".join([*prompt, *[f"own3w{i}" for i in range(20)]])), (3, " ".join(f"own4w{i}" for i in range(20))), (4, "say yes no"), (5, "no")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     table = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r.doc_id: (r.item_id, r.n_items) for r in decontaminate.marked(table, benchmark).collect()}
-    assert got == {1: (1, 5), 2: (1, 5), 3: (4, 1), 4: (6, 2), 5: (None, 0)}
-    pairs = {(r.doc_id, r.item_id) for r in decontaminate.matches(table, benchmark).collect()}
+    got = {r.doc_id: (r.item_id, r.n_hits > 0) for r in decontaminate.marked(table, benchmark).collect()}
+    assert got == {1: (1, True), 2: (1, True), 3: (4, True), 4: (6, True), 5: (None, False)}
+    found, owners = decontaminate.passages(table, benchmark)
+    pairs = {(r.doc_id, r.item_id) for r in found.join(owners, "around").select("doc_id", "item_id").collect()}
     assert pairs == {*((d, k) for d in (1, 2) for k in range(1, 6)), (3, 4), (4, 6), (4, 7)}
+
+
+def test_a_prompt_of_many_items_and_documents_gives_a_row_a_document(spark, monkeypatch):
+    n = 40
+    prompt = [f"prompt{k}" for k in range(13)]
+    benchmark = spark.createDataFrame([(k, " ".join([*prompt, *[f"own{k}w{i}" for i in range(13)]])) for k in range(n)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join([*prompt, *[f"own{k}w{i}" for i in range(13)]])) for k in range(n)], "doc_id long, text string")
+    runs = []
+    for broadcast in (decontaminate.BROADCAST, 0):  # the seeds broadcast, and joined by shuffle
+        monkeypatch.setattr(decontaminate, "BROADCAST", broadcast)
+        found = decontaminate.contaminated(docs, benchmark)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # the hits are added up before they are shuffled: no Exchange holds the words around
+        assert not any("Exchange" in line and "around" in line for line in plan.splitlines())
+        runs.append(sorted((r.doc_id, r.item_id, r.n_hits, r.equal) for r in found.collect()))
+    assert runs[0] == runs[1] and [r[:2] + r[3:] for r in runs[0]] == [(k, 0, 13) for k in range(n)]
