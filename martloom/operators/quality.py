@@ -64,7 +64,7 @@ def max_id(df: DataFrame, id_col: str) -> DataFrame:
 _DATE, _LEADING_ZERO, _WHOLE, _FRACTION, _OTHER = 1, 2, 4, 8, 16
 
 
-def _vote(field: StructField) -> Column:
+def vote(field: StructField) -> Column:
     """Kind of each value of a column, NULL for unset and empty ones."""
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, IntegralType):
@@ -91,26 +91,30 @@ def infer_types(df: DataFrame, mode: str = "intended") -> DataFrame:
     count, a bare number is not read as a date. ``mode="reference"`` gives what the loader does
     in effect: text for every column. Empty values have no vote. All columns are voted on in one pass.
     """
-    kinds = df.select(*[_vote(f).alias(f.name) for f in df.schema.fields])
+    kinds = df.select(*[vote(f).alias(f.name) for f in df.schema.fields])
     votes = kinds.agg(*[
         F.struct(F.bit_or(F.col(f"`{c}`")).alias("kinds"), F.count(F.col(f"`{c}`")).alias("n")).alias(c) for c in df.columns
     ])
 
     def verdict(name: str) -> Column:
-        v = F.col(f"`{name}`")["kinds"]
-        kind = (
-            F.when(v == _DATE, "DATETIME")
-            .when(v.isNull() | (v.bitwiseAND(_DATE | _LEADING_ZERO | _OTHER) != 0), "TEXT")
-            .when(v == _WHOLE, "INTEGER")
-            .otherwise("FLOAT")
-        )
-        if mode == "reference":
-            kind = F.lit("TEXT")
-        return F.struct(F.lit(name).alias("column_name"), kind.alias("sql_type"), F.col(f"`{name}`")["n"].alias("n_values"))
+        v = F.col(f"`{name}`")
+        return F.struct(F.lit(name).alias("column_name"), sql_type(v["kinds"], mode).alias("sql_type"), v["n"].alias("n_values"))
 
     return votes.select(F.inline(F.array(*[verdict(c) for c in df.columns])))
 
 
+def sql_type(kinds: Column, mode: str = "intended") -> Column:
+    """The type that the votes of a column give; without votes, and with ``mode="reference"``, text."""
+    if mode == "reference":
+        return F.lit("TEXT")
+    return (
+        F.when(kinds == _DATE, "DATETIME")
+        .when(kinds.isNull() | (kinds.bitwiseAND(_DATE | _LEADING_ZERO | _OTHER) != 0), "TEXT")
+        .when(kinds == _WHOLE, "INTEGER")
+        .otherwise("FLOAT")
+    )
+
+
 def date_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     """Text columns in which every set value is an offset timestamp and at least one is valid.
 

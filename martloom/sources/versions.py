@@ -80,7 +80,7 @@ def _below(spark: SparkSession, folder: str) -> list[str]:
     return sorted(found)
 
 
-def _plain(name: str) -> str:
+def plain_name(name: str) -> str:
     """A file name without the escapes that paths may have more than once."""
     while (shorter := unquote(name)) != name:
         name = shorter
@@ -265,8 +265,8 @@ def write_version(df: DataFrame, path: str, operation: str, *, add: bool = False
     if by and new:
         # one task writes files of the same name into several parts
         sizes = spark.read.parquet(*[f"{path}/{e.file}" for e in new]).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
-        held = {_plain(r.f).rpartition(f"/{folder}/")[2]: r["count"] for r in sizes}
-        new = [replace(e, rows=held.get(_plain(e.file.removeprefix(f"{folder}/")), 0)) for e in new]
+        held = {plain_name(r.f).rpartition(f"/{folder}/")[2]: r["count"] for r in sizes}
+        new = [replace(e, rows=held.get(plain_name(e.file.removeprefix(f"{folder}/")), 0)) for e in new]
     gone = set(instead_of or ())
     left = [e for e in old.files if e.part not in gone] if old and (add or instead_of is not None) else []
     # files can always hold NULL

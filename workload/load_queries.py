@@ -7,11 +7,12 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from martloom.operators import columns as cols
-from martloom.operators import filters, gaps, loading, quality
+from martloom.operators import filters, gaps, loading, quality, votes
 from martloom.operators.joins import new_rows as rows_not_in
 from martloom.plans.refresh import audit_row, refresh_connector, refresh_entity
 from martloom.session import work_dir
 from martloom.sources import history, load_table, read_stored, read_version, table_path
+from martloom.sources.versions import write_version
 from martloom.streaming.arrivals import stream_new_rows as stream
 from workload.function_queries import raw, raw_orders
 from workload.oracle_views import CRM_TABLES
@@ -200,6 +201,19 @@ def infer_types(spark, d):
     return quality.infer_types(load(spark, d, "lineitem"))
 
 
+@query(_vote_sql("lineitem", *LINEITEM))
+def voted_types(spark, d):
+    """The same after two loads, each of which had only its own files voted on."""
+    path, rows = table_path(work_dir(spark, "votes"), "lineitem"), load(spark, d, "lineitem")
+    first = F.col("l_linenumber") == 1
+    for part, add in ((rows.where(first), False), (rows.where(~first), True)):
+        loaded = write_version(part, path, "load", add=add)
+        voted = votes.keep_votes(spark, path)
+        assert {e.file for e in voted} <= {e.file for e in loaded.files}
+    assert not votes.keep_votes(spark, path)
+    return votes.voted_types(spark, path)
+
+
 @query("\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, 'TEXT' AS sql_type, count({c}) AS n_values FROM orders"
     for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")))
