@@ -11,6 +11,7 @@ from martloom.operators.loading import replace_table
 from martloom.operators.ordering import top_page
 from martloom.operators.quality import max_id
 from martloom.session import work_dir
+from martloom.sources.matrices import read_document
 from workload.registry import query
 from workload.views import load
 
@@ -189,3 +190,18 @@ def stored_table(spark, d):
         replace_table(load(spark, d, "customer"), path)
         assert src.has_table(spark, path) and src.has_column(src.load_table(spark, root, "customer", database), "C_CUSTKEY")
     return src.load_sources(spark, root, "customer").select(*src.column_names(spark, path), "database_name")
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS "ID", c_name AS "NAME", CAST(c_acctbal AS VARCHAR) AS "BALANCE" FROM customer""")
+def matrix_document(spark, d):
+    """One matrix document per market segment, each a file that many tasks read; names hold brackets and quotes on the way."""
+    folder, c = work_dir(spark, "documents"), load(spark, d, "customer")
+    line = lambda at, text: F.struct(F.lit(at).alias("at"), text.alias("value"))
+    cells = F.array(F.col("c_custkey").cast("string"), F.concat(F.lit('["'), "c_name", F.lit('"],[')), F.col("c_acctbal").cast("string"))
+    body = c.select("c_mktsegment", F.col("c_custkey").alias("key"), line(1, F.concat(F.lit(","), F.to_json(cells))).alias("line"))
+    ends = F.explode(F.array(line(0, F.lit('[["ID","NAME","BALANCE"]')), line(2, F.lit("]")))).alias("line")
+    lines = body.unionByName(c.select("c_mktsegment").distinct().select("c_mktsegment", F.lit(0).cast("bigint").alias("key"), ends))
+    lines = lines.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "line.at", "key")
+    lines.select("c_mktsegment", "line.value").write.partitionBy("c_mktsegment").text(folder)
+    rows = read_document(spark, [folder])
+    return rows.withColumn("NAME", F.replace(F.replace("NAME", F.lit('["'), F.lit("")), F.lit('"],['), F.lit("")))
