@@ -83,7 +83,10 @@ def keep_votes(spark: SparkSession, path: str, number: int | None = None) -> lis
     # a file without a row has nothing to vote on
     missing = sorted((e for e in missing if e.rows != 0), key=lambda e: e.file)
     for files in _alike(missing):
-        file_votes(rows_of(spark, path, v, files)).write.parquet(f"{path.rstrip('/')}/{VOTES}/{uuid.uuid4().hex}")
+        named = spark.createDataFrame([(_key(e.file),) for e in files], "file string")
+        # where the manifest does not count a file's rows, one without any is stored with NULL for its votes, so that it is not opened again
+        told = named.join(file_votes(rows_of(spark, path, v, files)), "file", "left")
+        told.write.parquet(f"{path.rstrip('/')}/{VOTES}/{uuid.uuid4().hex}")
     return missing
 
 

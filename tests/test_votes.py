@@ -68,6 +68,16 @@ def test_new_columns_empty_tables_and_replaced_tables(spark, tmp_path):
         votes.keep_votes(spark, str(tmp_path / "absent"))
 
 
+def test_a_file_without_a_row_is_voted_on_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    # the first of four tasks has no row and leaves an empty file all the same
+    df = spark.range(0, 40, 1, 4).where("id >= 10").select("id", F.col("id").cast("string").alias("whole"))
+    loaded = write_version(df, path, "load")
+    assert len(loaded.files) == 4
+    assert len(votes.keep_votes(spark, path)) == 4 and votes.keep_votes(spark, path) == []
+    same(spark, path)
+
+
 def test_votes_of_divided_and_copied_tables(spark, tmp_path):
     path, copy = str(tmp_path / "t"), str(tmp_path / "copy")
     df = spark.createDataFrame(rows(1, 60), SCHEMA).withColumn("kind", F.when(F.col("id") % 3 > 0, F.concat(F.lit("a+b %"), F.col("id") % 3)))
