@@ -22,6 +22,8 @@ from martloom.sources.versions import divided_by, publish, version, write_versio
 
 #: Ids of a block, as a power of two.
 BLOCK_BITS = 16
+#: Blocks of an entity from which on they are widened: every block is a file in each part of a mart, so their number must not grow with the ids.
+MAX_BLOCKS = 128
 Tables = Mapping[str, DataFrame]
 
 
@@ -30,6 +32,14 @@ def block_of(key: Column, bits: int) -> Column:
     return F.shiftright(fn.to_id(key), bits)
 
 
+def block_width(ids: Column, rows: DataFrame, bits: int) -> int:
+    """The least width from ``bits`` on at which the ids fall into at most about MAX_BLOCKS blocks. Blocks without an id do not count, so one far-off id widens none."""
+    widths = range(bits, 64)
+    blocks = rows.select(block_of(ids, bits).alias("b")).distinct()
+    counts = blocks.agg(*[F.approx_count_distinct(F.shiftright("b", w - bits)).alias(str(w)) for w in widths]).first()
+    return next((w for w in widths if counts[str(w)] <= MAX_BLOCKS), widths[-1])
+
+
 def changed_rows(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The given cells of all rows that only one of two versions has, or that it has more often; the versions have the same columns.
 
@@ -142,33 +152,43 @@ def keep_up(spark: SparkSession, root: str, out: str, database: str = MAIN, suff
     the touched blocks are computed from the tables' rows in these blocks and take the place of the old files in a new version; all other
     files stay. Where there is no mart yet, a table's columns have changed or an old version has expired, everything is written. The marts equal
     those of :func:`martloom.plans.marts.write_all` and are read in the same way. Ids are typed first.
+
+    Blocks have 2 ** ``bits`` ids, or more where an entity would have over MAX_BLOCKS of them; when its ids outgrow that, its marts are written with wider ones.
     """
-    build, out = Build(bits, multi, dedupe), out.rstrip("/")
+    out = out.rstrip("/")
     now = {t: version(spark, table_path(root, f"{t}{suffix}", database)) for t in M.TABLES}
     if plain := [t for t, v in now.items() if v is None or v.number == 0]:
         raise ValueError(f"not stored in versions: {', '.join(plain)}")
     new = M.clean_ids(M.read_tables(spark, root, database, suffix))
-    written, known = {}, {}
+    asked = f"keep up, {bits} bits, {multi}, {dedupe}"
+    hows = {w: asked if w == bits else f"{asked}, widened to {w}" for w in range(bits, 64)}
+    written, known, needed = {}, {}, {}
     for family in FAMILIES:
         path, sources = f"{out}/{family.name}", {t: now[t].number for t in family.reads}
-        have, how = version(spark, path), f"keep up, {bits} bits, {multi}, {dedupe}"
-        if have and have.operation == how and dict(have.sources) == sources:
+        have = version(spark, path)
+        held = next((w for w, how in hows.items() if have and have.operation == how), None)
+        if held is not None and dict(have.sources) == sources:
             continue
+        if family.entity not in needed:
+            main = family.chain[0]
+            needed[family.entity] = block_width(F.col(f"`{S.TABLE_KEYS[main]}`"), new[main], bits)
+        width = max(needed[family.entity], held or bits)
+        build, how = Build(width, multi, dedupe), hows[width]
         blocks = None
-        if have and have.operation == how:
+        if held == width:
             before = {t: version(spark, table_path(root, f"{t}{suffix}", database), n) for t, n in have.sources.items()}
             if all(v and v.schema == now[t].schema for t, v in before.items()):
                 old = M.clean_ids(M.read_tables(spark, root, database, suffix, {**{t: v.number for t, v in now.items()}, **have.sources}))
-                chain = (family.entity, *(have.sources[t] for t in family.chain))
+                chain = (family.entity, width, *(have.sources[t] for t in family.chain))
                 if chain not in known:  # families of one entity share it
-                    known[chain] = blocks_of([changed_rows(old[t], new[t], [S.TABLE_KEYS[t]]) for t in family.chain], bits)
-                blocks = list(known[chain] | blocks_of(family.touched(old, new, build), bits))
+                    known[chain] = blocks_of([changed_rows(old[t], new[t], [S.TABLE_KEYS[t]]) for t in family.chain], width)
+                blocks = list(known[chain] | blocks_of(family.touched(old, new, build), width))
         if blocks == []:
             publish(spark, path, replace(have, number=have.number + 1, sources=sources))
             written[family.name] = 0
             continue
-        some = {t: within(new[t], S.TABLE_KEYS[t], blocks, bits) for t in family.chain}
-        rows = family.rows(M.clean_ids({**new, **some}), build).withColumn("_block", block_of(F.col("ID"), bits))
+        some = {t: within(new[t], S.TABLE_KEYS[t], blocks, width) for t in family.chain}
+        rows = family.rows(M.clean_ids({**new, **some}), build).withColumn("_block", block_of(F.col("ID"), width))
         if not family.name.endswith("_role"):  # those come in the order of their blocks
             rows = rows.repartition("_block").sortWithinPartitions(*family.by, "_block", "ID")
         gone = None

@@ -240,3 +240,27 @@ def test_changed_columns_and_lost_versions_build_anew(spark, kept):
     with pytest.raises(ValueError):
         upkeep.keep_up(spark, str(out), out)
     assert S.TABLE_KEYS["crm_company"] == "ID"
+
+
+def test_many_ids_widen_the_blocks(spark, sf_dir, tmp_path, monkeypatch):
+    ids = spark.range(1000).union(spark.createDataFrame([(10 ** 15,)], "id long")).selectExpr("CAST(id AS string) AS id").union(spark.createDataFrame([("X1",)], "id string"))
+    monkeypatch.setattr(upkeep, "MAX_BLOCKS", 10)
+    assert upkeep.block_width(F.col("id"), ids, 4) == 7 and upkeep.block_width(F.col("id"), ids, 8) == 8
+    assert upkeep.block_width(F.col("id"), ids.where("false"), 4) == 4
+    monkeypatch.setattr(upkeep, "FAMILIES", [f for f in upkeep.FAMILIES if f.name in ("deals", "companies")])
+    root, out = str(tmp_path / "tables"), str(tmp_path / "marts")
+    for name, view in VIEWS.items():
+        loading.replace_table(view(spark, sf_dir), table_path(root, name))
+    monkeypatch.setattr(upkeep, "MAX_BLOCKS", 1000)
+    assert set(upkeep.keep_up(spark, root, out, bits=4).values()) == {-1}
+    monkeypatch.setattr(upkeep, "MAX_BLOCKS", 8)
+    assert upkeep.keep_up(spark, root, out, bits=4) == {}  # marts of present versions stay
+    changed = load_table(spark, root, "crm_deal").withColumn("SOURCE_NAME", F.when(F.col("ID") == 5, "new").otherwise(F.col("SOURCE_NAME")))
+    loading.replace_table(changed, table_path(root, "crm_deal"))
+    assert upkeep.keep_up(spark, root, out, bits=4) == {"deals": -1}  # outgrown: written with wider blocks
+    blocks = {V.divided_by(e.part)["_block"] for e in version(spark, f"{out}/deals").files}
+    assert 4 <= len(blocks) <= 9
+    loading.replace_table(changed.withColumn("SOURCE_NAME", F.when(F.col("ID") == 6, "newer").otherwise(F.col("SOURCE_NAME"))), table_path(root, "crm_deal"))
+    assert upkeep.keep_up(spark, root, out, bits=4) == {"deals": 1}  # the wide blocks are kept up
+    want = M.build_mart(M.clean_ids(M.read_tables(spark, root)), "deals", ordered=False)
+    assert rows(M.read_mart(spark, out, "deals").select(*want.columns)) == rows(want)
