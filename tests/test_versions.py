@@ -178,6 +178,16 @@ def test_half_characters_go(spark, one):
     assert got == {"a": "xy"}
 
 
+def test_names_are_padded_per_file_and_not_per_page(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    for name in ("a7", "a10", "a007", "b" + "9" * 25):
+        (tmp_path / "p" / f"{name}.txt").write_text("x\ny\n")
+    pages = spark.read.text(str(tmp_path / "p")).select(landing_order().alias(LANDED))
+    assert "regexp" not in pages._jdf.queryExecution().toString()
+    found = [(r.name.rpartition("/")[2], r.file.rpartition("/")[2]) for r in pages.select(f"{LANDED}.*").orderBy("name", "file").collect()][::2]
+    assert found == [(f"a{7:020}.txt", "a007.txt"), (f"a{7:020}.txt", "a7.txt"), (f"a{10:020}.txt", "a10.txt"), ("b" + "9" * 20 + ".txt", "b" + "9" * 25 + ".txt")]
+
+
 def test_missing_pages(spark):
     pages = spark.createDataFrame([("a", p * 50) for p in (0, 1, 4, 9)] + [("a", 50), ("b", 0), ("a", 999_950), ("d", 0)], "t string, start long")
     totals = spark.createDataFrame([("a", 1_000_000), ("b", 49), ("c", 120), ("d", 50), ("e", 0), ("f", None)], "t string, n_source long")
